@@ -69,17 +69,35 @@ def compute_cutoff(watermark, lookback_hours: int):
 
 def late_data_filter(df: DataFrame, ts_col: str, cutoff, ts_type: str = "timestamp") -> DataFrame:
     """Keep a row if there is no cutoff, its time is blank or does not
-    parse (validation quarantines it later), or it is at/after the cutoff."""
+    parse (validation quarantines it later), or it is at/after the cutoff.
+
+    ``ts_type`` is the type text times are parsed to (``timestamp`` for
+    instants with offsets, ``timestamp_ntz`` for wall-clock times).
+    """
     if cutoff is None:
         return df
-    col = df.schema[ts_col].dataType
-    if isinstance(col, T.StringType):
+    dtype = df.schema[ts_col].dataType
+    if isinstance(dtype, T.StringType):
         ts = X.strip(ts_col).try_cast(ts_type)
+        target = T.TimestampNTZType() if ts_type == "timestamp_ntz" else T.TimestampType()
     else:
         ts = F.col(ts_col)
-    text = cutoff.isoformat(sep=" ") if isinstance(cutoff, (dt.datetime, dt.date)) else str(cutoff)
-    cut = F.lit(text).cast(ts_type if isinstance(col, T.StringType) else col)
-    return df.where(ts.isNull() | (ts >= cut))
+        target = dtype
+    return df.where(ts.isNull() | (ts >= ts_literal(cutoff, target)))
+
+
+def ts_literal(value, target: T.DataType) -> Column:
+    """A timestamp literal of the target type.
+
+    Python datetimes from ``collect`` are naive local times for ``TIMESTAMP``
+    (PySpark converts with the local zone both ways) and plain wall-clock
+    values for ``TIMESTAMP_NTZ``; text is cast in the session time zone.
+    """
+    if isinstance(value, dt.datetime):
+        if isinstance(target, T.TimestampNTZType):
+            return F.lit(value.replace(tzinfo=None).isoformat(sep=" ")).cast(target)
+        return F.lit(value).cast(target)
+    return F.lit(str(value)).cast(target)
 
 
 def next_watermark(df: DataFrame, ts_col: str) -> DataFrame:

@@ -1,0 +1,102 @@
+"""A keyed table stored as ``bucket=<b>/run_id=<r>`` Parquet partitions.
+
+Rows are placed in ``bucket = pmod(xxhash64(key), B)``. A load run rewrites
+only the buckets its keys fall in, as new ``run_id`` partitions; the current
+version of a bucket is the one written by the newest *successful* run that
+touched it, read from the run ledger (``touched_buckets`` of the success
+event). So:
+
+* the work of a run is proportional to the buckets it touches, not to history;
+* a run is invisible until its success event is appended, and stays invisible
+  if it fails (its files remain for diagnosis);
+* readers select current partitions with a semi join on the partition
+  columns against a table of at most ``B`` rows (broadcast, with dynamic
+  partition pruning), i.e. ordinary Spark reads, not a storage engine.
+
+Bucketing is by key rather than by day because an upsert may move a row to
+another day.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ledgerflow.operators.ledger import SUCCESS, current_runs
+
+BUCKET = "bucket"
+RUN = "run_id"
+
+
+def bucket_of(key_col: str, buckets: int):
+    return F.pmod(F.xxhash64(F.col(key_col)), F.lit(buckets)).cast("int")
+
+
+def bucket_versions(
+    spark: SparkSession,
+    ledger: DataFrame,
+    staged_run: int | None = None,
+    staged_buckets: Sequence[int] = (),
+) -> DataFrame:
+    """``(bucket, run_id)`` of the current version of every bucket (<= B rows).
+
+    ``staged_run``/``staged_buckets`` treat a run that has written its files but
+    not yet its success event as committed (used by its own DQ checks).
+    """
+    ok = current_runs(ledger).where((F.col("status") == SUCCESS) & F.col("touched_buckets").isNotNull())
+    pairs = ok.select(F.col(RUN), F.explode("touched_buckets").alias(BUCKET))
+    if staged_run is not None and staged_buckets:
+        staged = spark.createDataFrame(
+            [(int(staged_run), int(b)) for b in staged_buckets],
+            T.StructType([T.StructField(RUN, T.LongType()), T.StructField(BUCKET, T.IntegerType())]),
+        )
+        pairs = pairs.unionByName(staged)
+    return pairs.groupBy(BUCKET).agg(F.max(RUN).alias(RUN))
+
+
+def read_current(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    versions: DataFrame,
+    buckets: Sequence[int] | None = None,
+) -> DataFrame:
+    """Rows of the current bucket versions (optionally only some buckets).
+
+    The versions table has at most one row per bucket, a bound that does not
+    grow with the data, so it is broadcast; the semi join on the partition
+    columns lets Spark prune partitions at run time.
+    """
+    from pyspark.errors import AnalysisException
+
+    full = T.StructType(
+        list(schema.fields)
+        + [T.StructField(BUCKET, T.IntegerType()), T.StructField(RUN, T.LongType())]
+    )
+    try:
+        df = spark.read.schema(full).parquet(path)
+        df.schema
+    except AnalysisException:
+        return spark.createDataFrame([], full)
+    v = versions
+    if buckets is not None:
+        df = df.where(F.col(BUCKET).isin([int(b) for b in buckets]))
+        v = v.where(F.col(BUCKET).isin([int(b) for b in buckets]))
+    return df.join(F.broadcast(v), [BUCKET, RUN], "left_semi")
+
+
+def write_version(df: DataFrame, path: str) -> None:
+    """Write new ``(bucket, run_id)`` partitions; other partitions are untouched.
+
+    Dynamic partition overwrite makes a retried run replace its own partial
+    output instead of adding to it.
+    """
+    (
+        df.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(BUCKET, RUN)
+        .parquet(path)
+    )
