@@ -84,9 +84,17 @@ def _append_event(event: DataFrame, cfg: LoadConfig) -> None:
     event.write.mode("append").parquet(cfg.path("etl_runs"))
 
 
-def read_clean(spark: SparkSession, cfg: LoadConfig, schema: T.StructType, ledger: DataFrame | None = None) -> DataFrame:
-    """The committed clean table: current version of every bucket."""
+def read_clean(
+    spark: SparkSession, cfg: LoadConfig, schema: T.StructType | None = None, ledger: DataFrame | None = None
+) -> DataFrame:
+    """The committed clean table: current version of every bucket.
+
+    Without ``schema`` the column types are taken from the Parquet footers.
+    """
     ledger = read_ledger(spark, cfg) if ledger is None else ledger
+    if schema is None:
+        found = spark.read.parquet(cfg.path("clean")).schema
+        schema = T.StructType([f for f in found.fields if f.name not in (B.BUCKET, B.RUN)])
     versions = B.bucket_versions(spark, ledger)
     return B.read_current(spark, cfg.path("clean"), schema, versions).drop(B.BUCKET, B.RUN)
 
