@@ -53,12 +53,16 @@ def string_array(values: Iterable[str]) -> Column:
 
 # --- X5 / X6: whitespace and case ----------------------------------------------
 
-def strip(c: ColumnOrName) -> Column:
-    """Python ``str.strip()``: removes leading/trailing whitespace of any kind.
+# Fixed value: the whitespace characters stripped from feed values (space, tab,
+# newline, vertical tab, form feed, carriage return).
+WHITESPACE = " \t\n\x0b\x0c\r"
 
-    Spark's ``trim`` only removes spaces, so tabs and newlines would survive.
-    """
-    return F.regexp_replace(_col(c), r"^\s+|\s+$", "")
+
+def strip(c: ColumnOrName) -> Column:
+    """``str.strip()`` for ASCII whitespace: removes leading/trailing blanks,
+    tabs and line breaks (plain ``trim`` only removes spaces). ``btrim`` with
+    a character set, no regular expression."""
+    return F.btrim(_col(c), F.lit(WHITESPACE))
 
 
 def upper_stripped(c: ColumnOrName) -> Column:

@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from ledgerflow.operators import ledger as L
 from ledgerflow.operators.incremental import compute_cutoff, late_data_filter
-from ledgerflow.operators.merge import POSITION, dedupe, upsert, with_file_position
+from ledgerflow.operators.merge import POSITION, dedupe, with_file_position
 from ledgerflow.operators.quality import (
     ERROR,
     RAW_ROW,
@@ -179,12 +179,10 @@ def run_load(spark: SparkSession, cfg: LoadConfig, feed: DataFrame | None = None
         if touched:
             versions = B.bucket_versions(spark, ledger)
             current = B.read_current(spark, cfg.path("clean"), cschema, versions, touched).drop(B.BUCKET, B.RUN)
-            merged = upsert(current, source.select(*current.columns), [cfg.key])
-            new_version = merged.withColumns(
-                {B.BUCKET: B.bucket_of(cfg.key, cfg.buckets), B.RUN: F.lit(run_id).cast("bigint")}
-            )
+            merged = B.upsert_buckets(current, source.select(*current.columns), cfg.key, cfg.buckets)
             # Reads (bucket, older run) partitions and writes (bucket, R): disjoint
             # partitions of one folder, committed by dynamic partition overwrite.
+            new_version = merged.withColumn(B.RUN, F.lit(run_id).cast("bigint"))
             B.write_version(new_version, cfg.path("clean"))
 
         # DQ on the staged version (this run's buckets as if committed).

@@ -44,26 +44,27 @@ def dedupe(
     keep: str = "first",
     columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """M1/M3: one row per key; the first (``min``) or last (``max``) by ``order_by``.
+    """M1/M3: one row per key; the first or last by ``order_by``.
 
     ``ON CONFLICT DO NOTHING`` keeps the first row in input order (M1); a row
-    loop of upserts leaves the last one (M3). Written as
-    ``min/max(struct(order..., payload...))`` per key: a hash aggregate whose
-    partial step runs before the shuffle, so a key holding a third of the
-    input is collapsed on the map side instead of landing whole in one task.
-    Ties in ``order_by`` fall back to the remaining columns, so the result is
-    deterministic.
+    loop of upserts leaves the last one (M3). Planned as ``row_number() = 1``:
+    a partial ``WindowGroupLimit`` runs before the shuffle, so a key holding a
+    third of the input is reduced to one row per map task instead of landing
+    whole in one reducer. Ties in ``order_by`` are broken by the remaining
+    columns, so the result is deterministic.
     """
+    from ledgerflow.operators.relational import first_per_key
+
     if keep not in ("first", "last"):
         raise ValueError("keep must be 'first' or 'last'")
     keys = list(keys)
     columns = list(columns) if columns is not None else [c for c in df.columns if c not in keys]
-    order = [c for c in order_by if c not in keys]
-    payload = [c for c in columns if c not in order]
-    packed = F.struct(*[F.col(c) for c in order + payload])
-    pick = F.min(packed) if keep == "first" else F.max(packed)
-    best = df.groupBy(*keys).agg(pick.alias("_pick"))
-    return best.select(*keys, *[F.col("_pick").getField(c).alias(c) for c in columns])
+    order = list(order_by) + [c for c in columns if c not in order_by and c not in keys]
+    if keep == "first":
+        spec = [F.col(c).asc_nulls_first() for c in order]
+    else:
+        spec = [F.col(c).desc_nulls_last() for c in order]
+    return first_per_key(df, keys, spec, columns)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

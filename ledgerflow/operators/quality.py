@@ -133,9 +133,19 @@ def validate(df: DataFrame, spec: FeedSpec) -> DataFrame:
     Output columns: the typed feed columns (money rounded HALF_UP to
     ``DECIMAL(12,2)``), ``extra_columns`` passed through, ``error`` (NULL when
     good) and ``raw_row`` (JSON of the original text columns, NULLs kept).
+
+    Parsing happens once, in a first projection; the rule chain then only
+    compares the parsed columns. (Catalyst keeps the two projections apart
+    because collapsing them would repeat the parsing in every branch.)
     """
     raw_cols = list(spec.raw_columns or [c for c in df.columns if c not in spec.extra_columns])
-    t = typed_columns(spec)
+    parsed = typed_columns(spec)
+    staged = df.select(
+        *[F.col(c) for c in raw_cols],
+        *[F.col(c) for c in spec.extra_columns if c not in raw_cols],
+        *[expr.alias(_TYPED + c) for c, expr in parsed.items()],
+    )
+    t = {c: F.col(_TYPED + c) for c in parsed}
     rules = feed_rules(spec, t)
     typed = []
     for c in raw_cols:
@@ -145,7 +155,7 @@ def validate(df: DataFrame, spec: FeedSpec) -> DataFrame:
             typed.append(t[c].alias(c))
         else:
             typed.append(F.col(c))
-    return df.select(
+    return staged.select(
         *typed,
         *[F.col(c) for c in spec.extra_columns],
         first_error(rules).alias(ERROR),
@@ -153,6 +163,9 @@ def validate(df: DataFrame, spec: FeedSpec) -> DataFrame:
     )
 
 
+_TYPED = "__typed_"
+
+
 def good_rows(validated: DataFrame) -> DataFrame:
     """V3: rows without an error, error and raw JSON dropped."""
     return validated.where(F.col(ERROR).isNull()).drop(ERROR, RAW_ROW)

@@ -159,19 +159,32 @@ def latest_per_key(
 ) -> DataFrame:
     """The row with the greatest ``order_desc`` tuple per key (``row_number() = 1``).
 
-    Written as ``max(struct(order..., payload...))`` per key: a hash aggregate
-    with a map-side partial step, so a key that holds a third of all rows is
-    reduced to one row per task before any shuffle. The order columns double as
-    tie-breaks, which makes the result deterministic (the reference leaves ties
-    unordered). Struct comparison puts NULL order values lowest.
+    Catalyst plans ``row_number() ... = 1`` as a partial ``WindowGroupLimit``
+    before the shuffle and a final one after it, so a key that holds a third
+    of all rows is cut to one row per map task before it is exchanged. The
+    order columns double as tie-breaks, which makes the result deterministic
+    (the original leaves ties unordered). NULL order values sort first, as
+    PostgreSQL does for ``DESC``.
     """
     keys = list(keys)
     columns = list(columns) if columns is not None else [c for c in df.columns if c not in keys]
-    order = list(order_desc)
-    payload = [c for c in columns if c not in order]
-    packed = F.struct(*[F.col(c) for c in order + payload])
-    best = df.groupBy(*keys).agg(F.max(packed).alias("_best"))
-    return best.select(*keys, *[F.col("_best").getField(c).alias(c) for c in columns])
+    return first_per_key(df, keys, [F.col(c).desc_nulls_first() for c in order_desc], columns)
+
+
+def first_per_key(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], columns: Sequence[str] | None = None
+) -> DataFrame:
+    """The first row per key under an arbitrary ordering (mixed directions allowed)."""
+    from pyspark.sql.window import Window
+
+    keys = list(keys)
+    columns = list(columns) if columns is not None else [c for c in df.columns if c not in keys]
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return (
+        df.withColumn("_rn", F.row_number().over(w))
+        .where(F.col("_rn") == 1)
+        .select(*keys, *[c for c in columns if c not in keys])
+    )
 
 
 def rank_within(

@@ -100,3 +100,24 @@ def write_version(df: DataFrame, path: str) -> None:
         .partitionBy(BUCKET, RUN)
         .parquet(path)
     )
+
+
+def upsert_buckets(current: DataFrame, source: DataFrame, key: str, buckets: int) -> DataFrame:
+    """New versions of the touched buckets: ``current`` rows replaced by ``source`` rows.
+
+    One shuffle: both inputs are unioned with a priority, hash-partitioned by
+    bucket, and the newest row per key is kept by ``row_number`` over
+    ``(bucket, key)``, which the bucket partitioning already satisfies (no
+    second exchange). Every bucket then sits in exactly one task, so each new
+    bucket version is written as one file. Keys are unique on both sides, so
+    no key is hot; bucket sizes are balanced by the hash.
+    """
+    from pyspark.sql.window import Window
+
+    cols = current.columns
+    both = current.select(*cols, F.lit(0).alias("_prio")).unionByName(
+        source.select(*cols, F.lit(1).alias("_prio"))
+    )
+    both = both.withColumn(BUCKET, bucket_of(key, buckets)).repartition(BUCKET)
+    w = Window.partitionBy(BUCKET, key).orderBy(F.col("_prio").desc())
+    return both.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).select(*cols, BUCKET)
