@@ -109,11 +109,10 @@ def visible_table(spark: SparkSession, cfg: LoadConfig, table: str, schema: T.St
 def run_load(spark: SparkSession, cfg: LoadConfig, feed: DataFrame | None = None, run_id: int | None = None) -> RunResult:
     """Execute one run; returns its counters. Raises when the run fails."""
     ledger = read_ledger(spark, cfg)
+    next_id, watermark = L.ledger_state(ledger)
     if run_id is None:
-        run_id = L.next_run_id(ledger)
+        run_id = next_id
     _append_event(L.run_event(spark, run_id, 1, L.RUNNING, cfg.source_path), cfg)
-
-    watermark = L.last_watermark(ledger)
     cutoff = compute_cutoff(watermark, cfg.lookback_hours)
     rows_read = rows_loaded = bad = 0
     touched: list[int] = []
@@ -189,15 +188,12 @@ def run_load(spark: SparkSession, cfg: LoadConfig, feed: DataFrame | None = None
         staged_versions = B.bucket_versions(spark, ledger, run_id, touched)
         staged = B.read_current(spark, cfg.path("clean"), cschema, staged_versions, touched)
         dq = dq_checks(staged, [cfg.key], cfg.spec.number_col, "last_run_id", run_id, rows_loaded)
-        dq = dq.withColumns({"created_at": F.current_timestamp(), "run_id": F.lit(run_id).cast("bigint")})
-        append_partitioned(dq, cfg.path("dq"), ["run_id"])
-        failed = [
-            r["check_name"]
-            for r in read_or_empty(spark, cfg.path("dq"), _dq_schema())
-            .where((F.col("run_id") == run_id) & ~F.col("passed"))
-            .select("check_name")
-            .collect()
-        ]
+        dq_rows = dq.collect()  # four rows
+        recorded = spark.createDataFrame(dq_rows, dq.schema).withColumns(
+            {"created_at": F.current_timestamp(), "run_id": F.lit(run_id).cast("bigint")}
+        )
+        append_partitioned(recorded.coalesce(1), cfg.path("dq"), ["run_id"])
+        failed = [r["check_name"] for r in dq_rows if not r["passed"]]
         if failed:
             raise RuntimeError(f"Data Quality checks failed: {', '.join(failed)}")
 
@@ -221,12 +217,6 @@ def run_load(spark: SparkSession, cfg: LoadConfig, feed: DataFrame | None = None
         raise
 
 
-def _dq_schema() -> T.StructType:
-    from ledgerflow.schemas import DQ_RESULTS
-
-    return DQ_RESULTS
-
-
 def preview_run(spark: SparkSession, cfg: LoadConfig, run_id: int, clean: DataFrame, k: int = 10) -> tuple[DataFrame, DataFrame]:
     """The run's current ledger row and the first ``k`` clean rows by event time."""
     summary = L.current_runs(read_ledger(spark, cfg)).where(F.col("run_id") == run_id)

@@ -79,3 +79,16 @@ def last_watermark(ledger: DataFrame):
     ok = current_runs(ledger).where((F.col("status") == SUCCESS) & F.col("watermark").isNotNull())
     row = ok.agg(F.max_by("watermark", "run_id").alias("wm")).first()
     return None if row is None else row["wm"]
+
+
+def ledger_state(ledger: DataFrame) -> tuple[int, object]:
+    """``(next run id, last committed watermark)`` from one aggregate over the ledger."""
+    cur = current_runs(ledger)
+    ok = (F.col("status") == SUCCESS) & F.col("watermark").isNotNull()
+    row = cur.agg(
+        F.max("run_id").alias("m"),
+        F.max_by(F.when(ok, F.col("watermark")), F.when(ok, F.col("run_id"))).alias("wm"),
+    ).first()
+    if row is None or row["m"] is None:
+        return 1, None
+    return int(row["m"]) + 1, row["wm"]
