@@ -82,13 +82,15 @@ def merchant_spend_rank(
 
 def first_transactions_with_channel(transactions: DataFrame, k: int = 12) -> DataFrame:
     """P5: the first ``k`` transactions by time with JSON metadata fields."""
-    projected = transactions.select(
-        "transaction_id",
-        "ts_event",
-        "amount",
-        *json_fields("metadata", ["channel", "device_id", "ip"]),
+    first = R.top_k(
+        transactions.select("transaction_id", "ts_event", "amount", "metadata"),
+        k,
+        [R.asc("ts_event"), R.asc("transaction_id")],
+    )
+    # Parsed after the top-k, so only k JSON documents are read.
+    return first.select(
+        "transaction_id", "ts_event", "amount", *json_fields("metadata", ["channel", "device_id", "ip"])
     )
-    return R.top_k(projected, k, [R.asc("ts_event"), R.asc("transaction_id")])
 
 
 def customers_with_tag(customers: DataFrame, tag: str = "vip") -> DataFrame:
