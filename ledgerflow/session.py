@@ -85,6 +85,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: configure a shared folder (HDFS/object store) "
+                "for checkpoints and intermediate tables"
+            )
         configured = tempfile.mkdtemp(prefix="ledgerflow-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
