@@ -37,10 +37,14 @@ def assign_surrogate_keys(
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    order = [F.col(c).asc_nulls_last() for c in order_by]
+    # The scan position breaks ties: rows with an equal order value (even a
+    # third of the input) can then be split across range partitions instead of
+    # all landing in one. Equal values are numbered in scan order.
+    order = [F.col(c).asc_nulls_last() for c in order_by] + [F.col("_tie").asc()]
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     positioned = (
-        df.repartitionByRange(n, *order)
+        df.withColumn("_tie", F.monotonically_increasing_id())
+        .repartitionByRange(n, *order)
         .sortWithinPartitions(*order)
         .withColumn("_mid", F.monotonically_increasing_id())
         .checkpoint(eager=True)

@@ -301,11 +301,19 @@ def unique_report(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
 def foreign_key_report(
     child: DataFrame, table: str, fk: str, parent: DataFrame, pk: str
 ) -> DataFrame:
-    """Child rows whose non-NULL key has no parent (left anti join)."""
-    orphans = child.select(F.col(fk).alias("_k")).where(F.col("_k").isNotNull()).join(
-        parent.select(F.col(pk).alias("_k")), "_k", "left_anti"
+    """Child rows whose non-NULL key has no parent (left anti join).
+
+    Child rows are first counted per key value (partial aggregation on the
+    map side), so a foreign key shared by a third of the child rows reaches
+    the join as one row; the anti join then sees distinct values only.
+    """
+    per_key = (
+        child.where(F.col(fk).isNotNull())
+        .groupBy(F.col(fk).alias("_k"))
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
-    return orphans.agg(F.count(F.lit(1)).alias("v")).select(
+    orphans = per_key.join(parent.select(F.col(pk).alias("_k")), "_k", "left_anti")
+    return orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("v")).select(
         *[x.alias(n) for x, n in zip(_report_row(table, "foreign_key", fk, F.col("v")), REPORT_COLUMNS)]
     )
 

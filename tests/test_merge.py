@@ -57,3 +57,13 @@ def test_surrogate_keys_consecutive_in_order(spark):
     out = assign_surrogate_keys(df, ["k"], "sid", start=100, num_partitions=7)
     got = [(r.k, r.sid) for r in out.orderBy("k").collect()]
     assert got == [(k, 100 + k) for k in range(5000)]
+
+
+def test_surrogate_keys_split_a_hot_value(spark):
+    """A value held by most rows is spread over several range partitions."""
+    df = spark.range(0, 6000).select(F.when(F.col("id") < 4000, F.lit(7)).otherwise(F.col("id")).alias("k"))
+    out = assign_surrogate_keys(df, ["k"], "sid", num_partitions=6)
+    ids = sorted(r.sid for r in out.collect())
+    assert ids == list(range(1, 6001))
+    hot = out.where("k = 7")
+    assert sorted(r.sid for r in hot.collect()) == list(range(1, 4001))
