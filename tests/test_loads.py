@@ -111,3 +111,15 @@ def test_p10_missing_column(spark, workdir, tmp_path):
     feed.write_text("customer_id,full_name\n1,X Y\n")
     with pytest.raises(ValueError, match="email"):
         CD.run(spark, workdir, str(feed))
+
+
+def test_p9_preview(spark, workdir):
+    from ledgerflow.jobs.incremental_load import preview_run
+
+    r = TL.run(spark, workdir, FEED)
+    cfg = TL.transactions_config(workdir, FEED)
+    summary, first = preview_run(spark, cfg, r.run_id, TL.clean_transactions(spark, workdir))
+    s = summary.first()
+    assert (s.status, s.rows_read, s.rows_loaded, s.bad_rows, s.message) == ("success", 16, 11, 4, "OK")
+    assert [x.txn_id for x in first.collect()][:3] == ["T1001", "T1012", "T1002"]
+    assert first.count() == 10

@@ -94,3 +94,9 @@ def test_latest_per_key_is_deterministic_on_ties(spark):
     df = spark.createDataFrame([(1, 5, "a"), (1, 5, "b"), (2, 1, "c")], "k int, t int, p string")
     rows = sorted(tuple(r) for r in R.latest_per_key(df, ["k"], ["t", "p"], ["t", "p"]).collect())
     assert rows == [(1, 5, "b"), (2, 1, "c")]
+
+
+def test_minus_hours_and_day(spark):
+    df = spark.createDataFrame([("2026-01-05 04:20:00",)], "t string").select(F.col("t").cast("timestamp").alias("t"))
+    r = df.select(X.minus_hours("t", 24).cast("string").alias("c"), X.day_of("t").cast("string").alias("d")).first()
+    assert (r.c, r.d) == ("2026-01-04 04:20:00", "2026-01-05")
