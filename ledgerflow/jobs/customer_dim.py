@@ -99,3 +99,25 @@ def run(spark: SparkSession, root: str, csv_path: str, now: dt.datetime | None =
         raise
     staging = spark.read.parquet(p["staging_customers"])
     return count_tables({"staging_customers": staging, "dim_customer": current_dimension(spark, root)})
+
+
+def main(argv: list[str] | None = None) -> int:
+    """``python -m ledgerflow.jobs.customer_dim --root R --csv F``: load, then print the counts."""
+    import argparse
+
+    from ledgerflow.session import build_session
+
+    ap = argparse.ArgumentParser(description="Customer feed -> staging -> customer dimension")
+    ap.add_argument("--root", required=True)
+    ap.add_argument("--csv", required=True)
+    ap.add_argument("--seed", action="store_true", help="insert the seed staging row first")
+    args = ap.parse_args(argv)
+    spark = build_session(app_name="customer_dim")
+    if args.seed:
+        seed_staging(spark, args.root)
+    run(spark, args.root, args.csv).show(truncate=False)
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

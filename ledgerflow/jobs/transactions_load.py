@@ -63,3 +63,34 @@ def clean_transactions(spark: SparkSession, root: str) -> DataFrame:
     """The committed clean table (``clean_transactions``)."""
     cfg = transactions_config(root, os.devnull)
     return read_clean(spark, cfg, CLEAN_TRANSACTIONS)
+
+
+def main(argv: list[str] | None = None) -> int:
+    """``python -m ledgerflow.jobs.transactions_load --root R --csv F``: one run, then the preview."""
+    import argparse
+
+    from ledgerflow.jobs.incremental_load import preview_run
+    from ledgerflow.session import build_session
+
+    ap = argparse.ArgumentParser(description="Incremental load of a transactions CSV feed")
+    ap.add_argument("--root", required=True, help="namespace folder of the load tables (shared storage)")
+    ap.add_argument("--csv", required=True, help="feed file or folder")
+    ap.add_argument("--lookback-hours", type=int, default=LOOKBACK_HOURS)
+    ap.add_argument("--buckets", type=int, default=16)
+    ap.add_argument("--on-duplicate", choices=["ignore", "error"], default="ignore")
+    args = ap.parse_args(argv)
+    spark = build_session(app_name="transactions_load")
+    result = run(
+        spark, args.root, args.csv,
+        lookback_hours=args.lookback_hours, buckets=args.buckets, on_duplicate=args.on_duplicate,
+    )
+    summary, first = preview_run(
+        spark, transactions_config(args.root, args.csv), result.run_id, clean_transactions(spark, args.root)
+    )
+    summary.show(truncate=False)
+    first.show(truncate=False)
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())
