@@ -2,9 +2,10 @@
 
 The dimension keeps each customer's first ``created_at``; a key delivered
 twice in the feed takes its last row; customers absent from the feed stay.
-Every load writes the new dimension as partition ``run_id=R`` and commits it
-with a ledger success event, so a failed load never leaves a half-written
-dimension behind.
+The dimension is stored like the clean transactions table: ``bucket=<b>/
+run_id=<r>`` partitions, a load rewrites only the buckets it touches, and the
+ledger success event commits it, so a failed load never leaves a
+half-written dimension behind.
 """
 
 from __future__ import annotations
@@ -17,8 +18,9 @@ from pyspark.sql import functions as F
 
 from ledgerflow.functions.scalars import split_name, strip, to_int
 from ledgerflow.operators import ledger as L
-from ledgerflow.operators.merge import POSITION, dedupe, insert_if_absent, merge_keep, with_file_position
+from ledgerflow.operators.merge import POSITION, dedupe, insert_if_absent, with_file_position
 from ledgerflow.schemas import DIM_CUSTOMER, ETL_RUNS, STAGING_CUSTOMERS
+from ledgerflow.sources import bucketed as B
 from ledgerflow.sources.files import read_csv_strings, replace_table, require_columns
 from ledgerflow.sources.tables import count_tables, read_or_empty
 
@@ -43,23 +45,26 @@ def seed_staging(spark: SparkSession, root: str) -> DataFrame:
 
 
 def current_dimension(spark: SparkSession, root: str) -> DataFrame:
+    """The committed dimension: the current version of every bucket."""
     p = _paths(root)
     ledger = read_or_empty(spark, p["dim_runs"], ETL_RUNS)
-    ok = L.current_runs(ledger).where(F.col("status") == L.SUCCESS).agg(F.max("run_id").alias("r")).first()
-    full = read_or_empty(spark, p["dim_customer"], _dim_with_run())
-    if ok is None or ok["r"] is None:
-        return full.where(F.lit(False)).drop("run_id")
-    return full.where(F.col("run_id") == int(ok["r"])).drop("run_id")
-
-
-def _dim_with_run():
-    from pyspark.sql import types as T
-
-    return T.StructType(list(DIM_CUSTOMER.fields) + [T.StructField("run_id", T.LongType())])
-
-
-def run(spark: SparkSession, root: str, csv_path: str, now: dt.datetime | None = None) -> DataFrame:
-    """Load the feed; returns the table counts ``(table_name, rows)``."""
+    versions = B.bucket_versions(spark, ledger)
+    return B.read_current(spark, p["dim_customer"], DIM_CUSTOMER, versions).drop(B.BUCKET, B.RUN)
+
+
+def run(
+    spark: SparkSession,
+    root: str,
+    csv_path: str,
+    now: dt.datetime | None = None,
+    buckets: int = 16,
+) -> DataFrame:
+    """Load the feed; returns the table counts ``(table_name, rows)``.
+
+    The dimension is a bucketed, run-versioned table (see
+    :mod:`ledgerflow.sources.bucketed`): a load rewrites only the buckets its
+    customers fall in and becomes visible with its ledger success event.
+    """
     p = _paths(root)
     feed = read_csv_strings(spark, csv_path)
     require_columns(feed, REQUIRED)
@@ -73,25 +78,32 @@ def run(spark: SparkSession, root: str, csv_path: str, now: dt.datetime | None =
     replace_table(typed.select("customer_id", "full_name", "email"), p["staging_customers"])
 
     ledger = read_or_empty(spark, p["dim_runs"], ETL_RUNS)
-    run_id = L.next_run_id(ledger)
+    run_id, _ = L.ledger_state(ledger)
     L.run_event(spark, run_id, 1, L.RUNNING, csv_path).write.mode("append").parquet(p["dim_runs"])
     try:
-        latest = dedupe(typed, ["customer_id"], POSITION, "last", ["full_name", "email"])
-        first, last = split_name("full_name")
-        src = latest.select("customer_id", first.alias("first_name"), last.alias("last_name"), "email")
-        created = F.lit(now) if now is not None else F.current_timestamp()
-        merged = merge_keep(
-            current_dimension(spark, root), src, ["customer_id"], ["created_at"], {"created_at": created}
-        ).withColumn("run_id", F.lit(run_id).cast("bigint"))
-        (
-            merged.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("run_id")
-            .parquet(p["dim_customer"])
+        # Last delivery of a key wins (file position taken at the feed scan).
+        latest = dedupe(
+            typed.where(F.col("customer_id").isNotNull()), ["customer_id"], POSITION, "last", ["full_name", "email"]
         )
-        L.run_event(spark, run_id, 2, L.SUCCESS, csv_path, message="OK").write.mode("append").parquet(
-            p["dim_runs"]
+        first, last = split_name("full_name")
+        created = F.lit(now).cast("timestamp") if now is not None else F.current_timestamp()
+        src = latest.select(
+            "customer_id", first.alias("first_name"), last.alias("last_name"), "email", created.alias("created_at")
         )
+        touched = sorted(
+            int(r[B.BUCKET])
+            for r in src.select(B.bucket_of("customer_id", buckets).alias(B.BUCKET)).distinct().collect()
+        )  # at most `buckets` values
+        if touched:
+            versions = B.bucket_versions(spark, ledger)
+            current = B.read_current(spark, p["dim_customer"], DIM_CUSTOMER, versions, touched).drop(
+                B.BUCKET, B.RUN
+            )
+            merged = B.upsert_buckets(current, src, "customer_id", buckets, keep_from_current=["created_at"])
+            B.write_version(merged.withColumn(B.RUN, F.lit(run_id).cast("bigint")), p["dim_customer"])
+        L.run_event(
+            spark, run_id, 2, L.SUCCESS, csv_path, message="OK", touched_buckets=touched
+        ).write.mode("append").parquet(p["dim_runs"])
     except Exception as exc:
         L.run_event(spark, run_id, 2, L.FAILED, csv_path, message=str(exc)[:2000]).write.mode(
             "append"

@@ -102,15 +102,23 @@ def write_version(df: DataFrame, path: str) -> None:
     )
 
 
-def upsert_buckets(current: DataFrame, source: DataFrame, key: str, buckets: int) -> DataFrame:
+def upsert_buckets(
+    current: DataFrame,
+    source: DataFrame,
+    key: str,
+    buckets: int,
+    keep_from_current: Sequence[str] = (),
+) -> DataFrame:
     """New versions of the touched buckets: ``current`` rows replaced by ``source`` rows.
 
     One shuffle: both inputs are unioned with a priority, hash-partitioned by
     bucket, and the newest row per key is kept by ``row_number`` over
     ``(bucket, key)``, which the bucket partitioning already satisfies (no
-    second exchange). Every bucket then sits in exactly one task, so each new
-    bucket version is written as one file. Keys are unique on both sides, so
-    no key is hot; bucket sizes are balanced by the hash.
+    second exchange). Columns in ``keep_from_current`` (e.g. ``created_at``)
+    keep the existing row's value when there is one, via ``min_by`` over the
+    same window partition. Every bucket then sits in exactly one task, so
+    each new bucket version is written as one file. Keys are unique on both
+    sides, so no key is hot; bucket sizes are balanced by the hash.
     """
     from pyspark.sql.window import Window
 
@@ -119,5 +127,11 @@ def upsert_buckets(current: DataFrame, source: DataFrame, key: str, buckets: int
         source.select(*cols, F.lit(1).alias("_prio"))
     )
     both = both.withColumn(BUCKET, bucket_of(key, buckets)).repartition(BUCKET)
-    w = Window.partitionBy(BUCKET, key).orderBy(F.col("_prio").desc())
-    return both.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).select(*cols, BUCKET)
+    per_key = Window.partitionBy(BUCKET, key)
+    ordered = per_key.orderBy(F.col("_prio").desc())
+    kept = {c: F.min_by(F.col(c), F.col("_prio")).over(per_key) for c in keep_from_current}
+    out = both.withColumn("_rn", F.row_number().over(ordered))
+    if kept:
+        out = out.withColumns({f"_keep_{c}": e for c, e in kept.items()})
+    out = out.where(F.col("_rn") == 1)
+    return out.select(*[F.col(f"_keep_{c}").alias(c) if c in kept else F.col(c) for c in cols], BUCKET)
