@@ -135,3 +135,26 @@ def upsert_buckets(
         out = out.withColumns({f"_keep_{c}": e for c, e in kept.items()})
     out = out.where(F.col("_rn") == 1)
     return out.select(*[F.col(f"_keep_{c}").alias(c) if c in kept else F.col(c) for c in cols], BUCKET)
+
+
+def superseded_versions(spark: SparkSession, ledger: DataFrame, keep_runs: int = 0) -> DataFrame:
+    """``(bucket, run_id)`` partitions that no reader can reach any more.
+
+    A bucket version is superseded when a newer successful run rewrote the
+    bucket; versions of failed runs are never visible. ``keep_runs`` keeps the
+    versions of the newest N runs for time travel and diagnosis. The result is
+    one row per (bucket, run) (bounded by buckets x runs, read from the
+    ledger only) for the storage's retention or cleanup step.
+    """
+    cur = current_runs(ledger)
+    newest = cur.agg(F.max(RUN).alias("m")).first()["m"]
+    if newest is None:
+        return spark.createDataFrame([], "bucket int, run_id bigint")
+    written = cur.where(F.col("touched_buckets").isNotNull() | (F.col("status") != SUCCESS)).select(
+        F.col(RUN), F.col("status"), F.explode_outer("touched_buckets").alias(BUCKET)
+    )
+    live = bucket_versions(spark, ledger)
+    old = written.where(F.col(RUN) <= F.lit(int(newest) - keep_runs))
+    stale_ok = old.where(F.col("status") == SUCCESS).join(live, [BUCKET, RUN], "left_anti")
+    failed = old.where(F.col("status") == "failed").select(RUN, BUCKET)
+    return stale_ok.select(BUCKET, RUN).unionByName(failed.select(BUCKET, RUN))

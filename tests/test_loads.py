@@ -123,3 +123,15 @@ def test_p9_preview(spark, workdir):
     assert (s.status, s.rows_read, s.rows_loaded, s.bad_rows, s.message) == ("success", 16, 11, 4, "OK")
     assert [x.txn_id for x in first.collect()][:3] == ["T1001", "T1012", "T1002"]
     assert first.count() == 10
+
+
+def test_superseded_versions(spark, workdir, tmp_path):
+    from ledgerflow.sources.bucketed import superseded_versions
+
+    TL.run(spark, workdir, FEED)
+    r2 = TL.run(spark, workdir, FEED)
+    ledger = read_ledger(spark, TL.transactions_config(workdir, FEED))
+    old = {(x.bucket, x.run_id) for x in superseded_versions(spark, ledger).collect()}
+    assert old == {(b, 1) for b in r2.touched_buckets}
+    assert superseded_versions(spark, ledger, keep_runs=1).count() == len(r2.touched_buckets)
+    assert superseded_versions(spark, ledger, keep_runs=2).count() == 0
