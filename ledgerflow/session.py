@@ -23,6 +23,9 @@ BASE_CONF: dict[str, str] = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Target size of a shuffle partition after AQE coalescing; large shuffles
+    # keep ~128 MB per task, small ones collapse to a few partitions.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
