@@ -27,7 +27,6 @@ BASE_CONF: dict[str, str] = {
     # keep ~128 MB per task, small ones collapse to a few partitions.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
 }
