@@ -36,15 +36,15 @@ def _run_id_for(spark: SparkSession, cfg: LoadConfig, source: str) -> tuple[int,
     return L.next_run_id(ledger), False
 
 
-def file_stream(spark: SparkSession, landing: str, columns: list[str]) -> DataFrame:
+def file_stream(
+    spark: SparkSession, landing: str, columns: list[str], max_files_per_trigger: int | None = None
+) -> DataFrame:
     """Streaming CSV source over a landing folder, all fields as text,
     with each row's file path and split offset taken at the scan."""
-    stream = (
-        spark.readStream.schema(string_schema(columns))
-        .option("header", True)
-        .option("escape", '"')
-        .csv(landing)
-    )
+    reader = spark.readStream.schema(string_schema(columns)).option("header", True).option("escape", '"')
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    stream = reader.csv(landing)
     return stream.select(
         *columns,
         F.col("_metadata.file_path").alias(FILE_PATH),
@@ -59,6 +59,7 @@ def start(
     checkpoint: str,
     available_now: bool = True,
     processing_time: str | None = None,
+    max_files_per_trigger: int | None = None,
 ):
     """Start the stream; returns the ``StreamingQuery``."""
 
@@ -72,7 +73,7 @@ def start(
         run_load(batch.sparkSession, batch_cfg, feed=feed, run_id=run_id)
 
     writer = (
-        file_stream(spark, landing, cfg.feed_columns)
+        file_stream(spark, landing, cfg.feed_columns, max_files_per_trigger)
         .writeStream.foreachBatch(each_batch)
         .option("checkpointLocation", checkpoint)
     )
@@ -83,9 +84,11 @@ def start(
     return writer.start()
 
 
-def run_available(spark: SparkSession, cfg: LoadConfig, landing: str, checkpoint: str) -> None:
-    """Process every file that has arrived, then stop."""
-    q = start(spark, cfg, landing, checkpoint, available_now=True)
+def run_available(
+    spark: SparkSession, cfg: LoadConfig, landing: str, checkpoint: str, max_files_per_trigger: int | None = None
+) -> None:
+    """Process every file that has arrived, then stop (one run per micro-batch)."""
+    q = start(spark, cfg, landing, checkpoint, available_now=True, max_files_per_trigger=max_files_per_trigger)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

@@ -63,3 +63,19 @@ def test_p13_backfill(spark, workdir):
     assert again.count() == 0
     more = backfill.run(spark, events, workdir, dt.date(2024, 1, 1), dt.date(2024, 1, 16))
     assert [str(r.run_date) for r in more.collect()] == ["2024-01-15", "2024-01-16"]
+
+
+def test_p11_one_run_per_micro_batch(spark, workdir):
+    landing = os.path.join(workdir, "landing")
+    os.makedirs(landing)
+    header = "txn_id,account_id,ts_event,amount,currency,channel\n"
+    with open(os.path.join(landing, "a.csv"), "w") as f:
+        f.write(header + "S1,1,2026-01-01T10:00:00+00:00,10,NPR,pos\nS2,1,2026-01-01T11:00:00+00:00,11,USD,pos\n")
+    with open(os.path.join(landing, "b.csv"), "w") as f:
+        f.write(header + "S3,2,2026-01-01T12:00:00+00:00,12,NPR,web\nS1,1,2026-01-01T10:30:00+00:00,15,NPR,pos\n")
+    cfg = TL.transactions_config(os.path.join(workdir, "t"), landing)
+    file_load.run_available(spark, cfg, landing, os.path.join(workdir, "ck"), max_files_per_trigger=1)
+    runs = L.current_runs(read_ledger(spark, cfg)).orderBy("run_id").collect()
+    assert [(r.run_id, r.status, r.rows_read, r.bad_rows) for r in runs] == [(1, "success", 2, 1), (2, "success", 2, 0)]
+    got = {r.txn_id: (float(r.amount), r.last_run_id) for r in TL.clean_transactions(spark, cfg.root).collect()}
+    assert got == {"S1": (15.0, 2), "S3": (12.0, 2)}
