@@ -20,7 +20,6 @@ Steps of one run (mirroring the original job, but on Spark):
 
 from __future__ import annotations
 
-import datetime as dt
 import os
 from dataclasses import dataclass, field
 
@@ -222,7 +221,3 @@ def preview_run(spark: SparkSession, cfg: LoadConfig, run_id: int, clean: DataFr
     summary = L.current_runs(read_ledger(spark, cfg)).where(F.col("run_id") == run_id)
     first = clean.orderBy(F.col(cfg.spec.ts_col).asc_nulls_last(), F.col(cfg.key)).limit(k)
     return summary, first
-
-
-def utc(ts: dt.datetime | None) -> dt.datetime | None:
-    return ts

@@ -74,12 +74,6 @@ def next_run_id(ledger: DataFrame) -> int:
     return 1 if row is None or row["m"] is None else int(row["m"]) + 1
 
 
-def last_watermark(ledger: DataFrame):
-    """I1 over the ledger: watermark of the newest successful run that has one."""
-    ok = current_runs(ledger).where((F.col("status") == SUCCESS) & F.col("watermark").isNotNull())
-    row = ok.agg(F.max_by("watermark", "run_id").alias("wm")).first()
-    return None if row is None else row["wm"]
-
 
 def ledger_state(ledger: DataFrame) -> tuple[int, object]:
     """``(next run id, last committed watermark)`` from one aggregate over the ledger."""

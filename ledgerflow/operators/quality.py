@@ -267,12 +267,6 @@ def dq_checks(
     return main.unionByName(extra)
 
 
-def raise_on_failed(dq_rows: DataFrame) -> None:
-    """Q5: after recording, fail the run if any check did not pass (reads 4 rows)."""
-    failed = [r["check_name"] for r in dq_rows.where(~F.col("passed")).select("check_name").collect()]
-    if failed:
-        raise RuntimeError(f"Data Quality checks failed: {', '.join(failed)}")
-
 
 # --- K: constraint checks -------------------------------------------------------------
 

@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ledgerflow.functions.scalars import json_fields
 from ledgerflow.operators import relational as R
@@ -122,8 +121,3 @@ def run_all(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         "P7": customers_per_tag(c),
         "P8": table_row_counts({"customers": c, "accounts": a, "merchants": m, "transactions": t}),
     }
-
-
-def select_money(df: DataFrame, *cols: str) -> DataFrame:
-    """Cast the named double columns back to ``DECIMAL(12,2)`` for display."""
-    return df.select(*[F.col(c).cast("decimal(22,2)").alias(c) if c in cols else F.col(c) for c in df.columns])

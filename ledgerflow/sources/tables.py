@@ -31,10 +31,6 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(root, name))
 
 
-def read_tables(spark: SparkSession, root: str, *names: str) -> dict[str, DataFrame]:
-    return {n: read_table(spark, root, n) for n in names}
-
-
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A table that may not exist yet reads as an empty frame of its schema."""
     from pyspark.errors import AnalysisException

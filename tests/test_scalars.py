@@ -100,3 +100,12 @@ def test_minus_hours_and_day(spark):
     df = spark.createDataFrame([("2026-01-05 04:20:00",)], "t string").select(F.col("t").cast("timestamp").alias("t"))
     r = df.select(X.minus_hours("t", 24).cast("string").alias("c"), X.day_of("t").cast("string").alias("d")).first()
     assert (r.c, r.d) == ("2026-01-04 04:20:00", "2026-01-05")
+
+
+def test_semi_anti_and_domain_filters(spark):
+    df = spark.createDataFrame([(1, "pos"), (2, "atm"), (3, None)], "k int, ch string")
+    keys = spark.createDataFrame([(1,), (3,)], "k int")
+    assert sorted(r.k for r in R.semi_join(df, keys, "k").collect()) == [1, 3]
+    assert [r.k for r in R.anti_join(df, keys, "k").collect()] == [2]
+    assert [r.k for r in R.where_in(df, "ch", ["pos", "web"]).collect()] == [1]
+    assert R.row_count(df).first()["rows"] == 3
