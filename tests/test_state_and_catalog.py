@@ -107,3 +107,21 @@ def test_stream_dedupe_within_watermark(spark, workdir):
          .queryName("dedupe_wm").trigger(availableNow=True).option("checkpointLocation", os.path.join(workdir, "ck")).start())
     q.awaitTermination()
     assert sorted(r.id for r in spark.table("dedupe_wm").collect()) == ["1", "2"]
+
+
+def test_read_csv_typed_and_strings(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from ledgerflow.sources.files import read_csv_strings, read_csv_typed, require_columns
+
+    p = tmp_path / "c.csv"
+    p.write_text('customer_id,full_name,email\n101,"Rai, Nisha",n@x\n\n102,Sarita Karki\n')
+    schema = T.StructType([T.StructField("customer_id", T.IntegerType()), T.StructField("full_name", T.StringType()),
+                           T.StructField("email", T.StringType())])
+    typed = read_csv_typed(spark, str(p), schema).collect()
+    assert [(r.customer_id, r.full_name, r.email) for r in typed] == [(101, "Rai, Nisha", "n@x"), (102, "Sarita Karki", None)]
+    inferred = read_csv_typed(spark, str(p))
+    assert dict(inferred.dtypes)["customer_id"] == "int"
+    text = read_csv_strings(spark, str(p), ["customer_id", "email", "missing"])
+    assert text.dtypes == [("customer_id", "string"), ("email", "string"), ("missing", "string")]
+    require_columns(text, ["customer_id"])
