@@ -78,10 +78,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/object store)
-    folder and is used as given. Only when nothing is configured (tests, local
-    runs) a fresh folder under the system temp dir is created.
+    folder and is used as given. Only when nothing is configured and the
+    master is local (tests, local runs) a fresh folder under the system temp
+    dir is created; on a cluster a missing setting is an error.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set on the server session")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
