@@ -112,13 +112,26 @@ def _try_cast(c: Column, type_name: str) -> Column:
     return c.try_cast(type_name)
 
 
+def cents(c: ColumnOrName) -> Column:
+    """Money as a whole number of cents (``BIGINT``), rounded HALF_UP like
+    ``NUMERIC(12,2)``. Sums of cents are exact and add primitive longs, where
+    a ``DECIMAL(22,2)`` sum buffer would use big-decimal arithmetic; under
+    ANSI an overflow raises instead of wrapping."""
+    return (_col(c).cast(MONEY) * F.lit(100)).cast("bigint")
+
+
+def cents_to_double(total_cents: Column) -> Column:
+    """A sum of cents back to money, as the double nearest the exact decimal."""
+    return (total_cents.cast("decimal(38,0)") / F.lit(100)).cast("double")
+
+
 def money_sum(c: ColumnOrName) -> Column:
-    """Exact sum of money values: cast to ``DECIMAL(12,2)``, add, return as double.
+    """Exact sum of money values, returned as double.
 
-    Decimal addition is associative, so the value does not depend on partitioning
-    or the order in which partial aggregates are merged.
+    Integer addition is associative, so the value does not depend on
+    partitioning or the order in which partial aggregates are merged.
     """
-    return F.sum(_col(c).cast(MONEY)).cast("double")
+    return cents_to_double(F.sum(cents(c)))
 
 
 # --- X11 / X12 / X13: time ----------------------------------------------------

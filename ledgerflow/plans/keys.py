@@ -3,9 +3,10 @@ tables, each with an independent DuckDB oracle (SURVEY §2.14).
 
 Role mapping: customer -> customers, orders -> accounts (status, date),
 lineitem -> transactions (amount), supplier -> merchants, events -> the CSV
-feed and JSON metadata, part names -> tags and full names. Money is summed as
-``DECIMAL(12,2)`` and returned as double in both engines, so sums are exact
-and independent of the order partial aggregates meet.
+feed and JSON metadata, part names -> tags and full names. Money is rounded
+to ``DECIMAL(12,2)``, summed exactly (as whole cents here, as decimals in the
+oracle) and returned as double, so sums do not depend on the order partial
+aggregates meet.
 
 Every query reads whole tables; no key subsets or row caps. ``LIMIT`` only
 appears where it is the operator (top-k, first-k).
@@ -20,7 +21,6 @@ from pyspark.sql import functions as F
 
 from ledgerflow.functions import scalars as X
 from ledgerflow.operators import relational as R
-from ledgerflow.schemas import MONEY
 from ledgerflow.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,7 +51,7 @@ DATE_HI = "1997-01-01 00:00:00"
 # --- P1 -------------------------------------------------------------------------
 
 def _revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items are summed per order before the join (exact: decimal sums).
+    """Line items are summed per order before the join (exact: sums of cents).
 
     The partial aggregate collapses the line items of an order inside each
     scan task, so the shuffle on the order key moves about one row per order
@@ -69,7 +69,7 @@ def _revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
         _t(spark, sf_dir, "lineitem")
         .groupBy(F.col("l_orderkey").alias("o_orderkey"))
         .agg(
-            F.sum(F.col("l_extendedprice").cast(MONEY)).alias("order_amount"),
+            F.sum(X.cents("l_extendedprice")).alias("order_cents"),
             F.count(F.lit(1)).alias("order_lines"),
         )
     )
@@ -79,7 +79,7 @@ def _revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
         (customer.select("c_custkey", "c_name"), "c_custkey"),
     )
     return joined.groupBy("c_custkey", "c_name").agg(
-        F.sum("order_amount").cast("double").alias("total_amount"),
+        X.cents_to_double(F.sum("order_cents")).alias("total_amount"),
         F.sum("order_lines").alias("txn_count"),
     )
 
@@ -169,16 +169,14 @@ def supplier_spend_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").alias("o_orderkey"), F.col("l_suppkey").alias("s_suppkey"), "l_extendedprice"
     )
     facts = R.join_chain(lineitem, (orders.select("o_orderkey", F.col("o_custkey").alias("c_custkey")), "o_orderkey"))
-    pairs = facts.groupBy("c_custkey", "s_suppkey").agg(
-        F.sum(F.col("l_extendedprice").cast(MONEY)).alias("pair_spend")
-    )
+    pairs = facts.groupBy("c_custkey", "s_suppkey").agg(F.sum(X.cents("l_extendedprice")).alias("pair_cents"))
     named = R.join_chain(
         pairs,
         (_t(spark, sf_dir, "customer").select("c_custkey", "c_name"), "c_custkey"),
         (_t(spark, sf_dir, "supplier").select("s_suppkey", "s_name"), "s_suppkey"),
     )
     spend = named.groupBy("c_custkey", "c_name", "s_name").agg(
-        F.sum("pair_spend").cast("double").alias("total_spend")
+        X.cents_to_double(F.sum("pair_cents")).alias("total_spend")
     )
     ranked = R.rank_within(spend, ["c_custkey"], "total_spend", "spend_rank")
     ranked = ranked.withColumn("spend_rank", F.col("spend_rank").cast("bigint"))
