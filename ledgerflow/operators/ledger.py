@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ledgerflow.operators.relational import latest_per_key
 from ledgerflow.schemas import ETL_RUNS
 
+# Run statuses.
 RUNNING = "running"
 SUCCESS = "success"
 FAILED = "failed"

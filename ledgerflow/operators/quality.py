@@ -19,6 +19,22 @@ from ledgerflow.functions import scalars as X
 ERROR = "error"
 RAW_ROW = "raw_row"
 
+# Rule messages of the feed validation ({} is the column name)
+# and the names and detail texts of the four data-quality checks.
+MSG_EMPTY = "{} is empty"
+MSG_MUST_EXCEED = "{} must be > {}"
+MSG_UNSUPPORTED = "unsupported {}: %s"
+MSG_VALIDATION = "validation error: invalid {}: %s"
+MSG_OUT_OF_RANGE = "validation error: {} out of range: %s"
+DQ_MIN_ROWS = "min_rows_loaded_nonzero"
+DQ_NO_DUPLICATES = "no_duplicates_in_clean_transactions"
+DQ_NO_NON_POSITIVE = "no_non_positive_amounts_in_clean"
+DQ_RUN_INFLUENCED = "recent_run_influenced_clean"
+DQ_MIN_ROWS_DETAIL = "Expected at least %d rows loaded, got %d"
+DQ_NO_DUPLICATES_DETAIL = "Total rows: %d, Distinct txn_id: %d"
+DQ_NO_NON_POSITIVE_DETAIL = "Non-positive amount count: %d"
+DQ_RUN_INFLUENCED_DETAIL = "Expected at least some rows influenced by run_id={}, got %d"
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -69,19 +85,19 @@ def feed_rules(spec: FeedSpec, t: Mapping[str, Column]) -> list[Rule]:
         Rule(
             "id_blank",
             t[spec.id_col].isNull() | (t[spec.id_col] == ""),
-            F.lit(f"{spec.id_col} is empty"),
+            F.lit(MSG_EMPTY.format(spec.id_col)),
         )
     ]
     for c in spec.int_cols:
         rules.append(
-            Rule(f"{c}_int", t[c].isNull(), X.message(f"validation error: invalid {c}: %s", F.col(c)))
+            Rule(f"{c}_int", t[c].isNull(), X.message(MSG_VALIDATION.format(c), F.col(c)))
         )
     num = t[spec.number_col]
     rules.append(
         Rule(
             f"{spec.number_col}_number",
             num.isNull(),
-            X.message(f"validation error: invalid {spec.number_col}: %s", F.col(spec.number_col)),
+            X.message(MSG_VALIDATION.format(spec.number_col), F.col(spec.number_col)),
         )
     )
     if spec.ts_col:
@@ -89,7 +105,7 @@ def feed_rules(spec: FeedSpec, t: Mapping[str, Column]) -> list[Rule]:
             Rule(
                 f"{spec.ts_col}_ts",
                 t[spec.ts_col].isNull(),
-                X.message(f"validation error: invalid {spec.ts_col}: %s", F.col(spec.ts_col)),
+                X.message(MSG_VALIDATION.format(spec.ts_col), F.col(spec.ts_col)),
             )
         )
     bound = spec.min_exclusive
@@ -98,14 +114,14 @@ def feed_rules(spec: FeedSpec, t: Mapping[str, Column]) -> list[Rule]:
         Rule(
             f"{spec.number_col}_positive",
             num <= F.lit(bound),
-            F.lit(f"{spec.number_col} must be > {bound_txt}"),
+            F.lit(MSG_MUST_EXCEED.format(spec.number_col, bound_txt)),
         )
     )
     rules.append(
         Rule(
             f"{spec.number_col}_range",
             F.isnan(num) | (F.abs(num) == F.lit(float("inf"))) | X.to_money(num).isNull(),
-            X.message(f"validation error: {spec.number_col} out of range: %s", F.col(spec.number_col)),
+            X.message(MSG_OUT_OF_RANGE.format(spec.number_col), F.col(spec.number_col)),
         )
     )
     for c, allowed, _case in spec.domains:
@@ -113,7 +129,7 @@ def feed_rules(spec: FeedSpec, t: Mapping[str, Column]) -> list[Rule]:
             Rule(
                 f"{c}_domain",
                 t[c].isNull() | ~t[c].isin(list(allowed)),
-                X.message(f"unsupported {c}: %s", t[c]),
+                X.message(MSG_UNSUPPORTED.format(c), t[c]),
             )
         )
     return rules
@@ -220,10 +236,10 @@ def dq_checks(
     loaded = F.col("loaded")
     expected = F.when(loaded == 0, F.lit(0)).otherwise(F.lit(1))
     q1 = F.struct(
-        F.lit("min_rows_loaded_nonzero").alias("check_name"),
+        F.lit(DQ_MIN_ROWS).alias("check_name"),
         (loaded >= expected).alias("passed"),
         loaded.cast("double").alias("metric"),
-        F.format_string("Expected at least %d rows loaded, got %d", expected, loaded).alias("details"),
+        F.format_string(DQ_MIN_ROWS_DETAIL, expected, loaded).alias("details"),
     )
     keys = [F.col(k) for k in key_cols]
     own_amounts = amounts is None
@@ -236,26 +252,24 @@ def dq_checks(
     )
     dup = F.col("total") - F.col("distinct_total")
     q2 = F.struct(
-        F.lit("no_duplicates_in_clean_transactions").alias("check_name"),
+        F.lit(DQ_NO_DUPLICATES).alias("check_name"),
         (dup == 0).alias("passed"),
         dup.cast("double").alias("metric"),
-        F.format_string("Total rows: %d, Distinct txn_id: %d", F.col("total"), F.col("distinct_total")).alias("details"),
+        F.format_string(DQ_NO_DUPLICATES_DETAIL, F.col("total"), F.col("distinct_total")).alias("details"),
     )
     q4 = F.struct(
-        F.lit("recent_run_influenced_clean").alias("check_name"),
+        F.lit(DQ_RUN_INFLUENCED).alias("check_name"),
         F.when(loaded > 0, F.col("influenced") > 0).otherwise(F.lit(True)).alias("passed"),
         F.col("influenced").cast("double").alias("metric"),
-        F.format_string(
-            f"Expected at least some rows influenced by run_id={run_id}, got %d", F.col("influenced")
-        ).alias("details"),
+        F.format_string(DQ_RUN_INFLUENCED_DETAIL.format(run_id), F.col("influenced")).alias("details"),
     )
 
     def q3(col: Column) -> Column:
         return F.struct(
-            F.lit("no_non_positive_amounts_in_clean").alias("check_name"),
+            F.lit(DQ_NO_NON_POSITIVE).alias("check_name"),
             (col == 0).alias("passed"),
             col.cast("double").alias("metric"),
-            F.format_string("Non-positive amount count: %d", col).alias("details"),
+            F.format_string(DQ_NO_NON_POSITIVE_DETAIL, col).alias("details"),
         )
 
     if own_amounts:
