@@ -125,3 +125,20 @@ def test_read_csv_typed_and_strings(spark, tmp_path):
     text = read_csv_strings(spark, str(p), ["customer_id", "email", "missing"])
     assert text.dtypes == [("customer_id", "string"), ("email", "string"), ("missing", "string")]
     require_columns(text, ["customer_id"])
+
+
+def test_dq_checks_exact_and_approximate(spark):
+    from pyspark.sql import functions as F
+
+    clean = spark.range(0, 5000).select(
+        (F.col("id") % 4000).alias("k"), F.lit(1).alias("part"), F.lit(5.0).alias("amount"),
+        F.when(F.col("id") < 10, F.lit(7)).otherwise(F.lit(3)).alias("last_run_id"),
+    )
+    exact = {r.check_name: r for r in Q.dq_checks(clean, ["k", "part"], "amount", "last_run_id", 7, 5000).collect()}
+    assert exact["no_duplicates_in_clean_transactions"].metric == 1000.0
+    assert not exact["no_duplicates_in_clean_transactions"].passed
+    assert exact["recent_run_influenced_clean"].metric == 10.0 and exact["recent_run_influenced_clean"].passed
+    assert exact["no_non_positive_amounts_in_clean"].passed and exact["min_rows_loaded_nonzero"].passed
+    approx = {r.check_name: r for r in Q.dq_checks(clean, ["k", "part"], "amount", "last_run_id", 7, 5000,
+                                                    approximate=True).collect()}
+    assert abs(approx["no_duplicates_in_clean_transactions"].metric - 1000.0) < 300
