@@ -115,6 +115,7 @@ def run_load(spark: SparkSession, cfg: LoadConfig, feed: DataFrame | None = None
     cutoff = compute_cutoff(watermark, cfg.lookback_hours)
     rows_read = rows_loaded = bad = 0
     touched: list[int] = []
+    validated = None
     try:
         if feed is None:
             feed = read_csv_strings(spark, cfg.source_path, cfg.feed_columns or None)
@@ -206,6 +207,8 @@ def run_load(spark: SparkSession, cfg: LoadConfig, feed: DataFrame | None = None
         )
         return RunResult(run_id, L.SUCCESS, rows_read, rows_loaded, bad, cutoff, new_wm, touched)
     except Exception as exc:
+        if validated is not None:
+            validated.unpersist()
         _append_event(
             L.run_event(
                 spark, run_id, 2, L.FAILED, cfg.source_path, rows_read, rows_loaded, bad, str(exc)[:2000],

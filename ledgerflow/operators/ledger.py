@@ -49,9 +49,16 @@ def run_event(
 
 
 def current_runs(ledger: DataFrame) -> DataFrame:
-    """M6 as a view: the newest event of every run."""
+    """M6 as a view: the newest event of every run.
+
+    Newest by event time (when the ledger records it), then by sequence
+    number: a retried run (a stream
+    batch re-executed under its run id) appends new events that supersede the
+    failed attempt's, even with the same sequence number.
+    """
     cols = [c for c in ledger.columns if c != "run_id"]
-    return latest_per_key(ledger, ["run_id"], ["event_seq"], cols)
+    order = ["event_at", "event_seq"] if "event_at" in ledger.columns else ["event_seq"]
+    return latest_per_key(ledger, ["run_id"], order, cols)
 
 
 def successful_run_ids(ledger: DataFrame) -> DataFrame:

@@ -142,3 +142,16 @@ def test_dq_checks_exact_and_approximate(spark):
     approx = {r.check_name: r for r in Q.dq_checks(clean, ["k", "part"], "amount", "last_run_id", 7, 5000,
                                                     approximate=True).collect()}
     assert abs(approx["no_duplicates_in_clean_transactions"].metric - 1000.0) < 300
+
+
+def test_ledger_retry_supersedes_failed_attempt(spark):
+    t0 = dt.datetime(2026, 1, 1, 10, 0, tzinfo=dt.timezone.utc)
+    ev = [
+        L.run_event(spark, 1, 1, L.RUNNING, "b", at=t0),
+        L.run_event(spark, 1, 2, L.FAILED, "b", at=t0 + dt.timedelta(minutes=1)),
+        L.run_event(spark, 1, 1, L.RUNNING, "b", at=t0 + dt.timedelta(minutes=2)),
+    ]
+    ledger = ev[0].unionByName(ev[1]).unionByName(ev[2])
+    assert L.current_runs(ledger).first().status == "running"
+    ledger = ledger.unionByName(L.run_event(spark, 1, 2, L.SUCCESS, "b", at=t0 + dt.timedelta(minutes=3)))
+    assert L.current_runs(ledger).first().status == "success"
