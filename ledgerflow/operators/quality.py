@@ -47,7 +47,7 @@ class Rule:
 
 @dataclass
 class FeedSpec:
-    """How a text feed becomes typed rows (the reference's ``validate_row``).
+    """How a text feed becomes typed rows: the validation rules of a load.
 
     ``id_col`` must be non-blank; ``int_cols`` parse as INT; ``number_col`` as a
     plain number that must exceed ``min_exclusive`` and fit ``DECIMAL(12,2)``;
