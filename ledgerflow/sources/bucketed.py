@@ -140,21 +140,24 @@ def upsert_buckets(
 def superseded_versions(spark: SparkSession, ledger: DataFrame, keep_runs: int = 0) -> DataFrame:
     """``(bucket, run_id)`` partitions that no reader can reach any more.
 
-    A bucket version is superseded when a newer successful run rewrote the
-    bucket; versions of failed runs are never visible. ``keep_runs`` keeps the
-    versions of the newest N runs for time travel and diagnosis. The result is
-    one row per (bucket, run) (bounded by buckets x runs, read from the
-    ledger only) for the storage's retention or cleanup step.
+    * versions of successful runs that a newer successful run rewrote;
+    * everything written by failed runs, and by runs left ``running`` when a
+      newer run has started (a crashed writer; one writer per job). Their
+      buckets were never recorded, so ``bucket`` is NULL: all partitions of
+      that run.
+
+    ``keep_runs`` keeps the output of the newest N runs for diagnosis. The
+    result is read from the ledger only (bounded by buckets x runs) and is
+    meant for the storage's retention or cleanup step.
     """
     cur = current_runs(ledger)
     newest = cur.agg(F.max(RUN).alias("m")).first()["m"]
     if newest is None:
         return spark.createDataFrame([], "bucket int, run_id bigint")
-    written = cur.where(F.col("touched_buckets").isNotNull() | (F.col("status") != SUCCESS)).select(
-        F.col(RUN), F.col("status"), F.explode_outer("touched_buckets").alias(BUCKET)
-    )
-    live = bucket_versions(spark, ledger)
-    old = written.where(F.col(RUN) <= F.lit(int(newest) - keep_runs))
-    stale_ok = old.where(F.col("status") == SUCCESS).join(live, [BUCKET, RUN], "left_anti")
-    failed = old.where(F.col("status") == "failed").select(RUN, BUCKET)
-    return stale_ok.select(BUCKET, RUN).unionByName(failed.select(BUCKET, RUN))
+    old = cur.where(F.col(RUN) <= F.lit(int(newest) - keep_runs))
+    ok = old.where(F.col("status") == SUCCESS).select(F.col(RUN), F.explode("touched_buckets").alias(BUCKET))
+    stale_ok = ok.join(bucket_versions(spark, ledger), [BUCKET, RUN], "left_anti")
+    dead = old.where(
+        (F.col("status") == "failed") | ((F.col("status") == "running") & (F.col(RUN) < F.lit(int(newest))))
+    ).select(F.lit(None).cast("int").alias(BUCKET), F.col(RUN))
+    return stale_ok.select(BUCKET, RUN).unionByName(dead)

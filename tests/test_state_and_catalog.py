@@ -155,3 +155,22 @@ def test_ledger_retry_supersedes_failed_attempt(spark):
     assert L.current_runs(ledger).first().status == "running"
     ledger = ledger.unionByName(L.run_event(spark, 1, 2, L.SUCCESS, "b", at=t0 + dt.timedelta(minutes=3)))
     assert L.current_runs(ledger).first().status == "success"
+
+
+def test_superseded_lists_failed_and_abandoned_runs(spark):
+    from ledgerflow.sources.bucketed import superseded_versions
+
+    t0 = dt.datetime(2026, 1, 1, tzinfo=dt.timezone.utc)
+    m = lambda i: t0 + dt.timedelta(minutes=i)
+    ev = [
+        L.run_event(spark, 1, 1, L.RUNNING, "f", at=m(0)), L.run_event(spark, 1, 2, L.SUCCESS, "f", touched_buckets=[0, 1], at=m(1)),
+        L.run_event(spark, 2, 1, L.RUNNING, "f", at=m(2)), L.run_event(spark, 2, 2, L.FAILED, "f", at=m(3)),
+        L.run_event(spark, 3, 1, L.RUNNING, "f", at=m(4)),  # crashed writer
+        L.run_event(spark, 4, 1, L.RUNNING, "f", at=m(5)), L.run_event(spark, 4, 2, L.SUCCESS, "f", touched_buckets=[1], at=m(6)),
+        L.run_event(spark, 5, 1, L.RUNNING, "f", at=m(7)),  # in flight, newest
+    ]
+    ledger = ev[0]
+    for e in ev[1:]:
+        ledger = ledger.unionByName(e)
+    got = {(r.bucket, r.run_id) for r in superseded_versions(spark, ledger).collect()}
+    assert got == {(1, 1), (None, 2), (None, 3)}
