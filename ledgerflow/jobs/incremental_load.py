@@ -57,6 +57,7 @@ class LoadConfig:
     buckets: int = 16
     on_duplicate: str = "ignore"  # "ignore" (insert ... do nothing) or "error" (bulk copy)
     feed_columns: list[str] = field(default_factory=list)
+    compact_every: int = 64  # compact the run ledger after every N-th successful run (0: never)
 
     def path(self, table: str) -> str:
         return os.path.join(self.root, table)
@@ -205,7 +206,7 @@ def run_load(spark: SparkSession, cfg: LoadConfig, feed: DataFrame | None = None
             ),
             cfg,
         )
-        return RunResult(run_id, L.SUCCESS, rows_read, rows_loaded, bad, cutoff, new_wm, touched)
+        result = RunResult(run_id, L.SUCCESS, rows_read, rows_loaded, bad, cutoff, new_wm, touched)
     except Exception as exc:
         if validated is not None:
             validated.unpersist()
@@ -217,6 +218,10 @@ def run_load(spark: SparkSession, cfg: LoadConfig, feed: DataFrame | None = None
             cfg,
         )
         raise
+    # After the commit point: a failed compaction leaves the committed run as it is.
+    if cfg.compact_every and run_id % cfg.compact_every == 0:
+        L.compact(spark, cfg.path("etl_runs"), cfg.path("etl_runs_retired"))
+    return result
 
 
 def preview_run(spark: SparkSession, cfg: LoadConfig, run_id: int, clean: DataFrame, k: int = 10) -> tuple[DataFrame, DataFrame]:

@@ -76,6 +76,36 @@ def visible(df: DataFrame, ledger: DataFrame, run_col: str = "run_id") -> DataFr
     return df.join(ok, run_col, "left_semi")
 
 
+def compact(spark: SparkSession, path: str, retired_path: str | None = None) -> int:
+    """Write the newest event of every run as one file into the ledger folder.
+
+    The ledger gets one small file per event, so a long-lived job (a stream
+    makes one run per micro-batch) piles up files that every read must list
+    and open. Readers only use the newest event per run, and those rows
+    repeated by the compacted file change no result (identical rows tie and
+    either is taken). So every event file read here is redundant once the
+    compacted file is committed: their paths are appended to ``retired_path``
+    for the storage's retention step, which may delete them at any time.
+
+    Run by the job's single writer between runs. Reads the ledger once
+    (bounded by runs, not data rows); returns the number of retired files.
+    """
+    from ledgerflow.sources.tables import read_or_empty
+
+    ledger = read_or_empty(spark, path, ETL_RUNS)
+    files = ledger.inputFiles()
+    if len(files) <= 1:
+        return 0
+    newest = current_runs(ledger).select(*ETL_RUNS.fieldNames())
+    newest.coalesce(1).write.mode("append").parquet(path)
+    if retired_path is not None:
+        at = dt.datetime.now(dt.timezone.utc)
+        spark.createDataFrame([(f, at) for f in files], "file STRING, retired_at TIMESTAMP").coalesce(1).write.mode(
+            "append"
+        ).parquet(retired_path)
+    return len(files)
+
+
 def next_run_id(ledger: DataFrame) -> int:
     """S11 for runs: ``max(run_id) + 1`` (one writer per job)."""
     row = ledger.agg(F.max("run_id").alias("m")).first()

@@ -135,3 +135,35 @@ def test_superseded_versions(spark, workdir, tmp_path):
     assert old == {(b, 1) for b in r2.touched_buckets}
     assert superseded_versions(spark, ledger, keep_runs=1).count() == len(r2.touched_buckets)
     assert superseded_versions(spark, ledger, keep_runs=2).count() == 0
+
+
+def test_ledger_compaction_keeps_state_and_retires_files(spark, workdir):
+    import dataclasses
+
+    from ledgerflow.jobs.incremental_load import run_load
+    from ledgerflow.schemas import ETL_RUNS
+    from ledgerflow.sources.bucketed import bucket_versions
+
+    cfg = dataclasses.replace(TL.transactions_config(workdir, FEED), compact_every=2)
+    run_load(spark, cfg)
+    assert not os.path.exists(cfg.path("etl_runs_retired"))
+    run_load(spark, cfg)  # run 2: compacted after its commit
+    ledger = read_ledger(spark, cfg)
+    retired = {r.file for r in spark.read.parquet(cfg.path("etl_runs_retired")).collect()}
+    assert len(retired) >= 4  # at least one file per event of runs 1 and 2
+    remaining = [f for f in ledger.inputFiles() if f not in retired]
+    assert len(remaining) == 1  # the compacted file alone
+
+    # What readers see is unchanged when the retired files are gone.
+    only = spark.read.schema(ETL_RUNS).parquet(*remaining)
+
+    def runs(df):
+        return sorted(tuple(r) for r in L.current_runs(df).collect())
+
+    assert runs(only) == runs(ledger) and len(runs(only)) == 2
+    assert L.ledger_state(only) == L.ledger_state(ledger) == (3, dt.datetime(2026, 1, 5, 4, 20))
+    assert sorted(bucket_versions(spark, only).collect()) == sorted(bucket_versions(spark, ledger).collect())
+
+    # Later runs keep working on the compacted ledger.
+    r3 = run_load(spark, cfg)
+    assert r3.run_id == 3 and r3.rows_loaded == 1 and TL.clean_transactions(spark, workdir).count() == 11
