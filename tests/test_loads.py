@@ -106,6 +106,27 @@ def test_p10_customer_dimension(spark, workdir, tmp_path):
     assert (dim[105].first_name, dim[105].last_name) == ("Last", "Wins")
 
 
+def test_p10_compacted_ledger(spark, workdir, tmp_path):
+    from ledgerflow.schemas import ETL_RUNS
+    from ledgerflow.sources.bucketed import bucket_versions
+
+    CD.seed_staging(spark, workdir)
+    feed = tmp_path / "c2.csv"
+    feed.write_text("customer_id,full_name,email\n101,Aarav Shrestha,changed@example.com\n105,Last Wins,z@z\n")
+    CD.run(spark, workdir, os.path.join(DATA, "customers.csv"), now=dt.datetime(2026, 1, 1), compact_every=1)
+    CD.run(spark, workdir, str(feed), now=dt.datetime(2026, 2, 1), compact_every=1)
+    runs = os.path.join(workdir, "dim_runs")
+    ledger = spark.read.schema(ETL_RUNS).parquet(runs)
+    retired = {r.file for r in spark.read.parquet(os.path.join(workdir, "dim_runs_retired")).collect()}
+    remaining = [f for f in ledger.inputFiles() if f not in retired]
+    assert len(remaining) == 1
+    only = spark.read.schema(ETL_RUNS).parquet(*remaining)
+    assert sorted(bucket_versions(spark, only).collect()) == sorted(bucket_versions(spark, ledger).collect())
+    dim = {r.customer_id: r for r in CD.current_dimension(spark, workdir).collect()}
+    assert len(dim) == 5 and dim[101].email == "changed@example.com"
+    assert dim[101].created_at == dt.datetime(2026, 1, 1)
+
+
 def test_p10_missing_column(spark, workdir, tmp_path):
     feed = tmp_path / "bad.csv"
     feed.write_text("customer_id,full_name\n1,X Y\n")
