@@ -29,6 +29,9 @@ from ledgerflow.operators.ledger import SUCCESS, current_runs
 
 BUCKET = "bucket"
 RUN = "run_id"
+# Reads of some buckets list only those bucket folders (a glob over their
+# names) up to this many buckets; beyond it the whole folder is listed.
+GLOB_BUCKETS_MAX = 1024
 
 
 def bucket_of(key_col: str, buckets: int):
@@ -68,7 +71,9 @@ def read_current(
 
     The versions table has at most one row per bucket, a bound that does not
     grow with the data, so it is broadcast; the semi join on the partition
-    columns lets Spark prune partitions at run time.
+    columns lets Spark prune partitions at run time. When only some buckets
+    are read (a load run), only their folders are listed, so the listing
+    grows with the buckets a run touches, not with the table and its history.
     """
     from pyspark.errors import AnalysisException
 
@@ -76,10 +81,16 @@ def read_current(
         list(schema.fields)
         + [T.StructField(BUCKET, T.IntegerType()), T.StructField(RUN, T.LongType())]
     )
+    wanted = sorted({int(b) for b in buckets}) if buckets is not None else []
+    source = path
+    reader = spark.read.schema(full)
+    if 0 < len(wanted) <= GLOB_BUCKETS_MAX:
+        source = f"{path}/{BUCKET}={{{','.join(str(b) for b in wanted)}}}"
+        reader = reader.option("basePath", path)
     try:
-        df = spark.read.schema(full).parquet(path)
+        df = reader.parquet(source)
         df.schema
-    except AnalysisException:
+    except AnalysisException:  # no table yet, or none of the buckets written yet
         return spark.createDataFrame([], full)
     v = versions
     if buckets is not None:

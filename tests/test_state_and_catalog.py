@@ -174,3 +174,26 @@ def test_superseded_lists_failed_and_abandoned_runs(spark):
         ledger = ledger.unionByName(e)
     got = {(r.bucket, r.run_id) for r in superseded_versions(spark, ledger).collect()}
     assert got == {(1, 1), (None, 2), (None, 3)}
+
+
+def test_read_current_lists_only_the_wanted_buckets(spark, workdir):
+    from ledgerflow.sources import bucketed as B
+
+    df = spark.range(200).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v"))
+    path = f"{workdir}/store"
+    keyed = df.withColumn(B.BUCKET, B.bucket_of("k", 8))
+    B.write_version(keyed.where("bucket < 4").withColumn(B.RUN, F.lit(1).cast("bigint")), path)
+    B.write_version(keyed.where("bucket < 2").withColumn(B.RUN, F.lit(2).cast("bigint")), path)
+    versions = spark.createDataFrame([(0, 2), (1, 2), (2, 1), (3, 1)], "bucket int, run_id bigint")
+
+    # Buckets 1 and 3 hold versions; bucket 6 was never written.
+    got = B.read_current(spark, path, df.schema, versions, [1, 3, 6])
+    assert {f.split("/bucket=")[1].split("/")[0] for f in got.inputFiles()} == {"1", "3"}
+    want = keyed.where("bucket in (1, 3)").select("k", "v", "bucket")
+    assert sorted(got.select("k", "v", "bucket").collect()) == sorted(want.collect())
+    assert got.where("(bucket = 1 and run_id = 2) or (bucket = 3 and run_id = 1)").count() == got.count()
+
+    assert B.read_current(spark, path, df.schema, versions, [6]).count() == 0
+    assert B.read_current(spark, f"{workdir}/absent", df.schema, versions, [1]).count() == 0
+    everything = B.read_current(spark, path, df.schema, versions)
+    assert everything.count() == keyed.where("bucket < 4").count()
