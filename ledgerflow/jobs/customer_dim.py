@@ -58,7 +58,7 @@ def run(
     csv_path: str,
     now: dt.datetime | None = None,
     buckets: int = 16,
-    compact_every: int = 64,
+    compact_every: int = 0,
 ) -> DataFrame:
     """Load the feed; returns the table counts ``(table_name, rows)``.
 
@@ -111,7 +111,7 @@ def run(
         ).parquet(p["dim_runs"])
         raise
     if compact_every and run_id % compact_every == 0:
-        L.compact(spark, p["dim_runs"], os.path.join(root, "dim_runs_retired"))
+        L.compact_after_commit(spark, p["dim_runs"], os.path.join(root, "dim_runs_retired"))
     staging = spark.read.parquet(p["staging_customers"])
     return count_tables({"staging_customers": staging, "dim_customer": current_dimension(spark, root)})
 

@@ -57,7 +57,9 @@ class LoadConfig:
     buckets: int = 16
     on_duplicate: str = "ignore"  # "ignore" (insert ... do nothing) or "error" (bulk copy)
     feed_columns: list[str] = field(default_factory=list)
-    compact_every: int = 64  # compact the run ledger after every N-th successful run (0: never)
+    # Compact the run ledger after every N-th run (0: never). Enable only with a
+    # retention step that deletes the retired files (see ledger.compact).
+    compact_every: int = 0
 
     def path(self, table: str) -> str:
         return os.path.join(self.root, table)
@@ -218,9 +220,8 @@ def run_load(spark: SparkSession, cfg: LoadConfig, feed: DataFrame | None = None
             cfg,
         )
         raise
-    # After the commit point: a failed compaction leaves the committed run as it is.
     if cfg.compact_every and run_id % cfg.compact_every == 0:
-        L.compact(spark, cfg.path("etl_runs"), cfg.path("etl_runs_retired"))
+        L.compact_after_commit(spark, cfg.path("etl_runs"), cfg.path("etl_runs_retired"))
     return result
 
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerflow.operators import incremental as I
@@ -197,3 +198,16 @@ def test_read_current_lists_only_the_wanted_buckets(spark, workdir):
     assert B.read_current(spark, f"{workdir}/absent", df.schema, versions, [1]).count() == 0
     everything = B.read_current(spark, path, df.schema, versions)
     assert everything.count() == keyed.where("bucket < 4").count()
+
+
+def test_compaction_failure_after_commit_only_warns(spark, workdir):
+    path = f"{workdir}/runs"
+    for run in (1, 2):
+        L.run_event(spark, run, 1, L.SUCCESS, "feed").write.mode("append").parquet(path)
+    blocker = f"{workdir}/retired"
+    open(blocker, "w").close()  # a plain file where the retired list should go: the write fails
+    with pytest.warns(RuntimeWarning, match="compaction failed"):
+        assert L.compact_after_commit(spark, path, blocker) == 0
+    ledger = spark.read.schema(ETL_RUNS).parquet(path)
+    assert sorted(r.run_id for r in L.current_runs(ledger).collect()) == [1, 2]
+    assert L.ledger_state(ledger)[0] == 3
