@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_rules
+from . import ngram_join, quality_rules
 from .common import prepare, read
 
 
@@ -16,8 +16,15 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all documents at a Jaccard similarity of 0.8 of five-word shingles."""
+    prepare(spark)
+    return ngram_join.join(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
+    "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
 }
 
 ORACLE_SQL: dict[str, str] = {}
