@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, ngram_join, quality_rules
+from . import decontaminate, histogram_sort, mix, ngram_join, quality_rules
 from .common import prepare, read
 
 
@@ -17,6 +17,24 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents that the mix of sources takes."""
+    prepare(spark)
+    taken = mix.Mix(read(spark, sf_dir, "documents")).taken()
+    return taken.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op4_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards of near equal bytes."""
+    prepare(spark)
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
+    placed = histogram_sort.shard(docs.withColumn("text_crc32", crc), columns=["doc_id", "text_crc32"])
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows found in all documents."""
     prepare(spark)
@@ -34,7 +52,9 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_mix_sources": op2_mix_sources,
     "op3_quality_rules": op3_quality_rules,
+    "op4_histogram_sort": op4_histogram_sort,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
 }
