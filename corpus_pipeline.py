@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerflow.llm import quality_rules
+from ledgerflow.llm import decontaminate, histogram_sort, mix, ngram_join, quality_rules
 from ledgerflow.llm.common import prepare, read, scratch_path
 
 
@@ -15,8 +15,32 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality_rules.keep_content(docs, read(spark, sf_dir, "labels"))
 
 
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked documents, the one with the smallest doc_id."""
+    return ngram_join.keep_one(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not contaminated by the benchmark."""
+    return decontaminate.drop_contaminated(docs, read(spark, sf_dir, "benchmark"))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The words of the documents that the mix takes, a row per document and turn."""
+    return mix.mixed_documents(docs)
+
+
+def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows with their size, shard and slot."""
+    return histogram_sort.shard(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", quality_stage),
+    ("ngram_jaccard_join", near_duplicate_stage),
+    ("benchmark_decontamination", decontamination_stage),
+    ("mix_sources", mixing_stage),
+    ("histogram_sort", sharding_stage),
 ]
 
 #: The decoded lines and the pseudorandom mix have no SQL form.
