@@ -84,7 +84,7 @@ def shard_counts(quota: np.ndarray, shard_slots: int, seed: int = SEED) -> np.nd
             drawn[k] += min(short, int(left[k] - drawn[k]))
         left -= drawn
         rows.append(drawn)
-    return np.array(rows, dtype=np.int64).reshape(-1, len(quota))
+    return np.array(rows, dtype=np.int64) if rows else np.zeros((0, len(quota)), np.int64)
 
 
 def permute(index: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -244,16 +244,18 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     """
     mix = Mix(docs)
     spans = (
-        mix.mixed().groupBy("doc_id", "text_key", "copy", "turn")
+        mix.mixed().groupBy("doc_id", "text_key", "src", "copy", "turn")
         .agg(F.collect_set(F.struct("begin", "end")).alias("_spans"))
-        .select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "_spans", "copy", "turn")
+        .join(F.broadcast(mix.table.select("src", "name")), "src")
+        .select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("name").alias("_source"), "_spans", "copy", "turn")
     )
     keyed = docs.withColumn("_text_key", F.xxhash64("text"))
     # rows repeated exactly were numbered by the mix; one of them carries all copies
     spans = materialize(spans, "mix-spans")
     if not spans.where("copy > 0").isEmpty():
         keyed = keyed.dropDuplicates(["doc_id", "_text_key", "source"])
-    rows = keyed.join(spans, keyed["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")))
+    same = keyed["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))
+    rows = keyed.join(spans, same & keyed["source"].eqNullSafe(F.col("_source")))
     rows = rows.withColumn("text", cut_words(F.col("text"), F.col("_spans")))
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

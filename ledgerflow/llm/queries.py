@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, histogram_sort, mix, ngram_join, quality_rules
+from . import decontaminate, histogram_sort, mix, ngram_join, quality_rules, warc
 from .common import prepare, read
 
 
@@ -35,6 +35,13 @@ def op4_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write all pages into a content-addressed archive and read its records back."""
+    prepare(spark)
+    found = warc.index(spark, warc.write(read(spark, sf_dir, "pages")))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows found in all documents."""
     prepare(spark)
@@ -55,10 +62,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_sources": op2_mix_sources,
     "op3_quality_rules": op3_quality_rules,
     "op4_histogram_sort": op4_histogram_sort,
+    "op5_warc_archive": op5_warc_archive,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op5_warc_archive": warc.ORACLE,
     "op6_benchmark_decontamination": decontaminate.ORACLE,
 }
