@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, histogram_sort, mix, ngram_join, quality_rules, warc
-from .common import prepare, read
+from . import decontaminate, histogram_sort, mix, ngram_join, quality_rules, toxicity, warc
+from .common import fold, prepare, read
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +58,16 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(read(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents, learned outside the held-out fold."""
+    prepare(spark)
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(fold(F.col("doc_id"), 3) != 1))
+    return model.score(docs).select(
+        "doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_sources": op2_mix_sources,
     "op3_quality_rules": op3_quality_rules,
@@ -65,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_warc_archive": op5_warc_archive,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {
