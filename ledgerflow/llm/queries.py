@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, histogram_sort, mix, ngram_join, quality_rules, toxicity, warc
+from . import decontaminate, histogram_sort, language_id, mix, ngram_join, quality_rules, quality_score, toxicity, warc
 from .common import fold, prepare, read
 
 
@@ -52,6 +52,25 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents, learned outside the held-out fold."""
+    prepare(spark)
+    stats = quality_score.describe(read(spark, sf_dir, "documents"))
+    model = quality_score.fit(stats, read(spark, sf_dir, "labels").where(fold(F.col("doc_id"), 5) != 0))
+    return model.score(stats).select(
+        "doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents, learned outside the held-out fold."""
+    prepare(spark)
+    docs = read(spark, sf_dir, "documents")
+    model = language_id.fit(docs.where(fold(F.col("doc_id"), 5) != 0))
+    found = language_id.predict(docs, model)
+    return found.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all documents at a Jaccard similarity of 0.8 of five-word shingles."""
     prepare(spark)
@@ -74,6 +93,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_histogram_sort": op4_histogram_sort,
     "op5_warc_archive": op5_warc_archive,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op7_quality_classifier": op7_quality_classifier,
+    "op8_language_id": op8_language_id,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_toxicity": op10_toxicity,
 }
