@@ -16,7 +16,8 @@ copies never meet in pairs. The steps, each a Spark job:
 3. *Groups.* Nodes that meet in such a rare shingle are connected; whole
    components are packed into blocks of about :data:`BLOCK` shingles. A component
    larger than a block is cut into slices, and every pair of slices is a block,
-   which keeps the search exact at any size.
+   which keeps the search exact at any size. Texts go to their blocks only if
+   their key passes a bitmap, of bounded size, of the nodes in blocks.
 4. *Search.* In a block: inverted lists over all shingles. For each query set the
    L longest lists are set aside, the short ones are merged, sets that reach
    T - L occurrences are probed in the long ones by binary search, and those that
@@ -41,6 +42,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from .common import materialize, text_words
 from .graph import components
@@ -113,11 +115,18 @@ def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 yield pd.DataFrame({"doc_id": None, "sid": None, "n": None, "tkey": None, "token": token[much].view(np.int64), "seen": seen[much]}).astype({"doc_id": "Int64", "sid": "Int64", "n": "Int64", "tkey": "Int64"})
 
 
+def _slices(batches: Iterator[pd.DataFrame], rows: int = 2_000) -> Iterator[pd.DataFrame]:
+    """The same rows in smaller frames, which bounds the memory of a Python worker."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.iloc[at : at + rows]
+
+
 def _prefixes(long: np.ndarray, seen: np.ndarray, buckets: int):
     """Prefix postings of each batch: (bucket, payload) for short lists, (sid, token, df) for long ones."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in _slices(batches):
             known, toks, sids, far, far_sid = set(), [], [], [], []
             for text in batch["text"]:
                 tokens = shingles(text)
@@ -314,7 +323,8 @@ def _classes(docs: DataFrame) -> DataFrame:
         ).alias("block"),
         F.when(F.col("i") == F.col("j"), ALONE).otherwise((F.col("i") > F.col("j")).cast("int")).alias("side"),
     )
-    texts = source.join(
+    bitmap = key_filter(members.select("rep.tkey"), members.count())
+    texts = source.where(maybe_in(bitmap)("tkey")).join(
         placed.select("rep.*", "sid", "n", "copies", "block", "side").withColumnRenamed("doc_id", "rep_id").withColumnRenamed("tkey", "rep_key"),
         F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("tkey") == F.col("rep_key")),
     )
@@ -336,6 +346,47 @@ def _classes(docs: DataFrame) -> DataFrame:
     return sets.join(classes, "sid", "left")
 
 
+def key_filter(keys: DataFrame, n_keys: int) -> np.ndarray:
+    """Bitmap of the keys (a column of longs): a bounded summary with false positives only.
+
+    Its bits are 16 a key, rounded up to a power of two, between 2^20 and 2^28
+    (32 MB); beyond that it lets more keys through, never fewer. The bits of each
+    partition are sent in pieces and joined by piece.
+    """
+    bits = 1 << min(28, max(20, int(np.ceil(np.log2(16 * max(1, n_keys))))))
+    piece = 1 << 15
+
+    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            at = np.unique(batch.iloc[:, 0].to_numpy().view(np.uint64) % U(bits)).astype(np.int64)
+            cuts = np.flatnonzero(np.diff(at // piece, prepend=-1, append=-2))
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                yield pd.DataFrame({"piece": [at[a] // piece], "bits": [(at[a:b] % piece).astype(np.uint16).tobytes()]})
+
+    def merge(rows: pd.DataFrame) -> pd.DataFrame:
+        on = np.zeros(piece, dtype=bool)
+        for b in rows["bits"]:
+            on[np.frombuffer(b, dtype=np.uint16)] = True
+        return pd.DataFrame({"piece": [rows["piece"].iloc[0]], "bits": [np.packbits(on).tobytes()]})
+
+    found = keys.mapInPandas(mark, "piece long, bits binary").groupBy("piece").applyInPandas(merge, "piece long, bits binary")
+    out = np.zeros(bits // 8, dtype=np.uint8)
+    for p, b in found.toPandas().itertuples(index=False):
+        out[p * piece // 8 : (p + 1) * piece // 8] = np.frombuffer(b, dtype=np.uint8)
+    return out
+
+
+def maybe_in(bitmap: np.ndarray):
+    """Column function: may this key be among the bitmap's?"""
+
+    @pandas_udf("boolean")
+    def test(key: pd.Series) -> pd.Series:
+        at = key.to_numpy().view(np.uint64) % U(8 * len(bitmap))
+        return pd.Series((bitmap[(at >> U(3)).astype(np.int64)] >> (U(7) - (at & U(7))).astype(np.uint8)) & 1 > 0)
+
+    return test
+
+
 def join(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, n_links, set_id.
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, histogram_sort, language_id, mix, ngram_join, quality_rules, quality_score, toxicity, warc
+from . import decontaminate, histogram_sort, language_id, lm_score, mix, ngram_join, quality_rules, quality_score, toxicity, warc
 from .common import fold, prepare, read
 
 
@@ -17,6 +17,13 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cross-entropy differences of all documents, good documents against all."""
+    prepare(spark)
+    target = lm_score.good_documents(read(spark, sf_dir, "labels"))
+    return lm_score.score(read(spark, sf_dir, "documents"), target)
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents that the mix of sources takes."""
     prepare(spark)
@@ -88,6 +95,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_score": op1_lm_score,
     "op2_mix_sources": op2_mix_sources,
     "op3_quality_rules": op3_quality_rules,
     "op4_histogram_sort": op4_histogram_sort,
