@@ -33,6 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import LongType
 
 from .common import materialize, text_words
 
@@ -47,7 +48,7 @@ SEED = 20_231
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-@pandas_udf("long")
+@pandas_udf(LongType())
 def count_words(text: pd.Series) -> pd.Series:
     return pd.Series([len(text_words(t)) for t in text], dtype="int64")
 
@@ -105,7 +106,7 @@ def permute(index: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray:
     return out.astype(np.int64)
 
 
-@pandas_udf("long")
+@pandas_udf(LongType())
 def permuted(index: pd.Series, size: pd.Series, key: pd.Series) -> pd.Series:
     return pd.Series(permute(index.to_numpy(), size.to_numpy(), key.to_numpy()))
 
