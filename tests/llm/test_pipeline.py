@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import numpy as np
@@ -9,7 +10,7 @@ from ledgerflow.llm import mix, quality_rules
 from .test_decontaminate import brute as brute_benchmark
 from .test_ngram_join import brute as brute_near
 
-CLEAN = [f"w{k}" for k in range(300)]
+CLEAN = ["".join(p) for p in itertools.product("bcdfg", "aeiou", "lmnr", "aeo")]
 
 
 def rows(seed=1):
