@@ -7,6 +7,7 @@ whole-stage codegen; none is a Python UDF.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -24,8 +25,11 @@ def _col(c: ColumnOrName) -> Column:
 # --- X1: JSON field as text -------------------------------------------------
 
 def json_field(c: ColumnOrName, key: str) -> Column:
-    """``metadata->>'key'``: text of a top-level JSON field, NULL when absent or null."""
-    return F.get_json_object(_col(c), f"$.{key}")
+    """``metadata->>'key'``: text of a top-level JSON field, NULL when absent or null.
+
+    The key is a name, never a path: ``a.b`` means the field called ``a.b``.
+    """
+    return json_fields(c, [key])[0]
 
 
 def json_fields(c: ColumnOrName, keys: Sequence[str]) -> list[Column]:
@@ -53,15 +57,18 @@ def string_array(values: Iterable[str]) -> Column:
 
 # --- X5 / X6: whitespace and case ----------------------------------------------
 
-# Fixed value: the whitespace characters stripped from feed values (space, tab,
-# newline, vertical tab, form feed, carriage return).
-WHITESPACE = " \t\n\x0b\x0c\r"
+# Fixed value: the characters that Python's str.strip() and str.split() take as
+# whitespace.
+WHITESPACE = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(c: ColumnOrName) -> Column:
-    """``str.strip()`` for ASCII whitespace: removes leading/trailing blanks,
-    tabs and line breaks (plain ``trim`` only removes spaces). ``btrim`` with
-    a character set, no regular expression."""
+    """``str.strip()``: removes leading/trailing whitespace of any kind (plain
+    ``trim`` only removes spaces). ``btrim`` with a character set, no regular
+    expression."""
     return F.btrim(_col(c), F.lit(WHITESPACE))
 
 
@@ -92,9 +99,17 @@ def to_double(c: ColumnOrName) -> Column:
     return F.when(s.rlike(NUMBER_PATTERN), _try_cast(s, "double"))
 
 
-def to_instant(c: ColumnOrName) -> Column:
-    """ISO-8601 text (offset honoured) to a TIMESTAMP instant; NULL when unparseable."""
-    return _try_cast(strip(c), "timestamp")
+# Fixed value: the shape of an ISO date or date and time with optional offset.
+# Spark's cast would also take a bare time (as today) or a bare year.
+TIMESTAMP_PATTERN = (
+    r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}(:?\d{2})?(:\d{2})?)?)?$"
+)
+
+
+def to_instant(c: ColumnOrName, ts_type: str = "timestamp") -> Column:
+    """ISO-8601 text (offset honoured) to a timestamp; NULL when it is none."""
+    s = strip(c)
+    return F.when(s.rlike(TIMESTAMP_PATTERN), _try_cast(s, ts_type))
 
 
 def to_money(c: ColumnOrName) -> Column:
@@ -120,18 +135,18 @@ def cents(c: ColumnOrName) -> Column:
     return (_col(c).cast(MONEY) * F.lit(100)).cast("bigint")
 
 
-def cents_to_double(total_cents: Column) -> Column:
-    """A sum of cents back to money, as the double nearest the exact decimal."""
-    return (total_cents.cast("decimal(38,0)") / F.lit(100)).cast("double")
+def cents_to_money(total_cents: Column) -> Column:
+    """A sum of cents back to money, exactly (``DECIMAL(22,2)``)."""
+    return (total_cents.cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast("decimal(22,2)")
 
 
 def money_sum(c: ColumnOrName) -> Column:
-    """Exact sum of money values, returned as double.
+    """Exact sum of money values (``DECIMAL(22,2)``).
 
     Integer addition is associative, so the value does not depend on
     partitioning or the order in which partial aggregates are merged.
     """
-    return cents_to_double(F.sum(cents(c)))
+    return cents_to_money(F.sum(cents(c)))
 
 
 # --- X11 / X12 / X13: time ----------------------------------------------------
@@ -164,7 +179,7 @@ def split_name(c: ColumnOrName) -> tuple[Column, Column]:
     """
     cleaned = strip(c)
     parts = F.when(cleaned.isNull() | (cleaned == ""), F.array().cast("array<string>")).otherwise(
-        F.split(cleaned, r"\s+")
+        F.split(cleaned, f"[{WHITESPACE}]+")
     )
     n = F.size(parts)
     first = F.when(n >= 1, F.element_at(parts, 1)).otherwise(F.lit(UNKNOWN))

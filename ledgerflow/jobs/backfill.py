@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from ledgerflow.functions.scalars import money_sum
 from ledgerflow.operators.incremental import missing_intervals, schedule_starts
+from ledgerflow.operators.relational import where_between
 from ledgerflow.sources.tables import read_or_empty
 
 DONE_SCHEMA = T.StructType([T.StructField("run_date", T.DateType())])
@@ -54,14 +55,26 @@ def run(
     start: dt.date,
     end: dt.date,
     hour: int = 9,
+    as_of: dt.datetime | None = None,
 ) -> DataFrame:
-    """Backfill every missing interval between ``start`` and ``end``; returns them."""
+    """Backfill every missing interval between ``start`` and ``end``; returns them.
+
+    As a schedule runs an interval only after it has ended, intervals that end
+    after ``as_of`` (default: now, UTC) are left for a later call.
+    """
     done_path = os.path.join(out_root, "done_intervals")
     out_path = os.path.join(out_root, "interval_totals")
     schedule = schedule_starts(spark, start, end, hour)
     done = read_or_empty(spark, done_path, DONE_SCHEMA)
+    as_of = as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    schedule = schedule.where(F.col("interval_end") <= F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz"))
     todo = missing_intervals(schedule, done).select("run_date", "interval_start", "interval_end")
     todo = todo.checkpoint(eager=True)  # bounded by the calendar; fixes the set for both writes
+    bounds = todo.agg(F.min("interval_start").alias("lo"), F.max("interval_end").alias("hi")).first()
+    if bounds["lo"] is None:  # nothing is missing: the events are not read
+        return todo
+    # The missing intervals' time range reaches the scan as a pushed filter.
+    events = where_between(events, "ts", bounds["lo"].isoformat(sep=" "), bounds["hi"].isoformat(sep=" "))
     totals = interval_totals(events, hour=hour).join(F.broadcast(todo.select("run_date")), "run_date", "inner")
     (
         totals.write.mode("overwrite")

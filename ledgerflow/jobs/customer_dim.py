@@ -2,10 +2,10 @@
 
 The dimension keeps each customer's first ``created_at``; a key delivered
 twice in the feed takes its last row; customers absent from the feed stay.
-The dimension is stored like the clean transactions table: ``bucket=<b>/
-run_id=<r>`` partitions, a load rewrites only the buckets it touches, and the
-ledger success event commits it, so a failed load never leaves a
-half-written dimension behind.
+A load writes only its own customers as ``run_id=<r>``; the dimension is the
+newest successful run's row per customer with the earliest ``created_at``, and
+the ledger success event commits a load, so a failed one changes nothing.
+Rows whose id is no integer go to the rejects with a reason, and are counted.
 """
 
 from __future__ import annotations
@@ -16,12 +16,13 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.functions.scalars import split_name, strip, to_int
+from ledgerflow.functions.scalars import message, row_to_json, split_name, to_int
 from ledgerflow.operators import ledger as L
-from ledgerflow.operators.merge import POSITION, dedupe, insert_if_absent, with_file_position
-from ledgerflow.schemas import DIM_CUSTOMER, ETL_RUNS, STAGING_CUSTOMERS
-from ledgerflow.sources import bucketed as B
+from ledgerflow.operators.merge import POSITION, dedupe, insert_if_absent
+from ledgerflow.schemas import DIM_CUSTOMER, ETL_RUNS, REJECTED_CUSTOMERS, STAGING_CUSTOMERS
+from ledgerflow.operators.quality import MSG_VALIDATION
 from ledgerflow.sources.files import read_csv_strings, replace_table, require_columns
+from ledgerflow.sources.runs import append_run, newest_per_key, run_rows
 from ledgerflow.sources.tables import count_tables, read_or_empty
 
 REQUIRED = ["customer_id", "full_name", "email"]
@@ -31,7 +32,7 @@ SEED_ROW = (1, "Seed User", "seed.user@example.com")
 
 
 def _paths(root: str) -> dict[str, str]:
-    return {t: os.path.join(root, t) for t in ("staging_customers", "dim_customer", "dim_runs")}
+    return {t: os.path.join(root, t) for t in ("staging_customers", "dim_customer", "dim_rejects", "dim_runs")}
 
 
 def seed_staging(spark: SparkSession, root: str) -> DataFrame:
@@ -45,73 +46,57 @@ def seed_staging(spark: SparkSession, root: str) -> DataFrame:
 
 
 def current_dimension(spark: SparkSession, root: str) -> DataFrame:
-    """The committed dimension: the current version of every bucket."""
+    """The committed dimension: newest row per customer, earliest ``created_at``."""
     p = _paths(root)
     ledger = read_or_empty(spark, p["dim_runs"], ETL_RUNS)
-    versions = B.bucket_versions(spark, ledger)
-    return B.read_current(spark, p["dim_customer"], DIM_CUSTOMER, versions).drop(B.BUCKET, B.RUN)
-
-
-def run(
-    spark: SparkSession,
-    root: str,
-    csv_path: str,
-    now: dt.datetime | None = None,
-    buckets: int = 16,
-    compact_every: int = 0,
-) -> DataFrame:
-    """Load the feed; returns the table counts ``(table_name, rows)``.
-
-    The dimension is a bucketed, run-versioned table (see
-    :mod:`ledgerflow.sources.bucketed`): a load rewrites only the buckets its
-    customers fall in and becomes visible with its ledger success event.
-    """
+    rows = run_rows(spark, p["dim_customer"], DIM_CUSTOMER, ledger)
+    return newest_per_key(rows, "customer_id", ["created_at"]).select(*DIM_CUSTOMER.fieldNames())
+
+
+def rejected_rows(spark: SparkSession, root: str) -> DataFrame:
+    """Rejected feed rows of committed loads: original row, reason, time, run."""
+    p = _paths(root)
+    return run_rows(spark, p["dim_rejects"], REJECTED_CUSTOMERS, read_or_empty(spark, p["dim_runs"], ETL_RUNS))
+
+
+def run(spark: SparkSession, root: str, csv_path: str, now: dt.datetime | None = None) -> DataFrame:
+    """Load the feed; returns the table counts ``(table_name, rows)``."""
     p = _paths(root)
-    feed = read_csv_strings(spark, csv_path)
+    feed = read_csv_strings(spark, csv_path, position=True)
     require_columns(feed, REQUIRED)
-    feed = with_file_position(feed.select(*REQUIRED))
     typed = feed.select(
-        to_int("customer_id").alias("customer_id"),
-        F.col("full_name"),
-        strip("email").alias("email"),
-        *POSITION,
+        to_int("customer_id").alias("customer_id"), "full_name", "email", *POSITION,
+        row_to_json(REQUIRED).alias("raw_row"), F.col("customer_id").alias("_raw_id"),
     )
-    replace_table(typed.select("customer_id", "full_name", "email"), p["staging_customers"])
+    good = typed.where(F.col("customer_id").isNotNull())
+    replace_table(good.select("customer_id", "full_name", "email"), p["staging_customers"])
 
     ledger = read_or_empty(spark, p["dim_runs"], ETL_RUNS)
     run_id, _ = L.ledger_state(ledger)
-    L.run_event(spark, run_id, 1, L.RUNNING, csv_path).write.mode("append").parquet(p["dim_runs"])
+    started = dt.datetime.now(dt.timezone.utc)
+    L.run_event(spark, run_id, 1, L.RUNNING, csv_path, at=started).write.mode("append").parquet(p["dim_runs"])
     try:
-        # Last delivery of a key wins (file position taken at the feed scan).
-        latest = dedupe(
-            typed.where(F.col("customer_id").isNotNull()), ["customer_id"], POSITION, "last", ["full_name", "email"]
+        created = F.lit(now).cast("timestamp") if now is not None else F.current_timestamp()
+        rejects = typed.where(F.col("customer_id").isNull()).select(
+            "raw_row", message(MSG_VALIDATION.format("customer_id"), "_raw_id").alias("error"), created.alias("created_at")
         )
+        append_run(rejects, p["dim_rejects"], run_id)
+        # Last delivery of a key wins (file position taken at the feed scan).
+        latest = dedupe(good, ["customer_id"], POSITION, "last", ["full_name", "email"])
         first, last = split_name("full_name")
-        created = F.lit(now).cast("timestamp") if now is not None else F.current_timestamp()
         src = latest.select(
             "customer_id", first.alias("first_name"), last.alias("last_name"), "email", created.alias("created_at")
         )
-        touched = sorted(
-            int(r[B.BUCKET])
-            for r in src.select(B.bucket_of("customer_id", buckets).alias(B.BUCKET)).distinct().collect()
-        )  # at most `buckets` values
-        if touched:
-            versions = B.bucket_versions(spark, ledger)
-            current = B.read_current(spark, p["dim_customer"], DIM_CUSTOMER, versions, touched).drop(
-                B.BUCKET, B.RUN
-            )
-            merged = B.upsert_buckets(current, src, "customer_id", buckets, keep_from_current=["created_at"])
-            B.write_version(merged.withColumn(B.RUN, F.lit(run_id).cast("bigint")), p["dim_customer"])
+        append_run(src, p["dim_customer"], run_id)
+        counts = typed.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("customer_id").isNull()).alias("bad")).first()
         L.run_event(
-            spark, run_id, 2, L.SUCCESS, csv_path, message="OK", touched_buckets=touched
+            spark, run_id, 2, L.SUCCESS, csv_path, counts["n"], counts["n"] - counts["bad"], counts["bad"], "OK", started_at=started
         ).write.mode("append").parquet(p["dim_runs"])
     except Exception as exc:
-        L.run_event(spark, run_id, 2, L.FAILED, csv_path, message=str(exc)[:2000]).write.mode(
+        L.run_event(spark, run_id, 2, L.FAILED, csv_path, message=str(exc), started_at=started).write.mode(
             "append"
         ).parquet(p["dim_runs"])
         raise
-    if compact_every and run_id % compact_every == 0:
-        L.compact_after_commit(spark, p["dim_runs"], os.path.join(root, "dim_runs_retired"))
     staging = spark.read.parquet(p["staging_customers"])
     return count_tables({"staging_customers": staging, "dim_customer": current_dimension(spark, root)})
 

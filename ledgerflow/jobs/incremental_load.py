@@ -9,18 +9,20 @@ Steps of one run (mirroring the original job, but on Spark):
 4. quarantine bad rows (``bad/run_id=R``), keep the first row per key in file
    order (``ON CONFLICT DO NOTHING``) or fail on duplicates, write
    ``raw/run_id=R``;
-5. upsert raw(R) into the touched buckets of the clean table, as new
-   ``(bucket, run_id=R)`` partitions;
-6. DQ checks on the staged version, recorded in ``dq/run_id=R``; a failure
-   appends a ``failed`` event and raises;
-7. append the ``success`` event carrying counters, new watermark (max event
-   time of raw(R), unchanged when nothing was loaded) and touched buckets.
-   That single append is the commit point.
+5. write raw(R) with its computed columns as ``clean/run_id=R``: the clean table
+   is the newest row per key among successful runs, so this is the upsert;
+6. DQ checks on the whole clean table as if the run had succeeded, recorded in
+   ``dq/run_id=R``; a failure appends a ``failed`` event and raises;
+7. append the ``success`` event carrying counters and the new watermark (max
+   event time of raw(R), unchanged when nothing was loaded). That single append
+   is the commit point.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import os
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -30,7 +32,7 @@ from pyspark.sql import types as T
 
 from ledgerflow.operators import ledger as L
 from ledgerflow.operators.incremental import compute_cutoff, late_data_filter
-from ledgerflow.operators.merge import POSITION, dedupe, with_file_position
+from ledgerflow.operators.merge import POSITION, dedupe
 from ledgerflow.operators.quality import (
     ERROR,
     RAW_ROW,
@@ -40,8 +42,8 @@ from ledgerflow.operators.quality import (
     validate,
 )
 from ledgerflow.schemas import ETL_RUNS
-from ledgerflow.sources import bucketed as B
-from ledgerflow.sources.files import append_partitioned, read_csv_strings
+from ledgerflow.sources.files import read_csv_strings
+from ledgerflow.sources.runs import RUN, append_run, newest_per_key, run_rows
 from ledgerflow.sources.tables import read_or_empty
 
 
@@ -54,12 +56,9 @@ class LoadConfig:
     job_name: str
     day_col: str = "txn_day"
     lookback_hours: int = 24
-    buckets: int = 16
     on_duplicate: str = "ignore"  # "ignore" (insert ... do nothing) or "error" (bulk copy)
     feed_columns: list[str] = field(default_factory=list)
-    # Compact the run ledger after every N-th run (0: never). Enable only with a
-    # retention step that deletes the retired files (see ledger.compact).
-    compact_every: int = 0
+    multi_line: bool = False  # quoted fields may hold line breaks (files are then not split)
 
     def path(self, table: str) -> str:
         return os.path.join(self.root, table)
@@ -74,10 +73,13 @@ class RunResult:
     bad_rows: int
     cutoff: object
     watermark: object
-    touched_buckets: list[int]
     message: str | None = None
 
 
+# Fixed value: the message of a failed check.
+MSG_DQ_FAILED = "Data Quality checks failed: {}"
+
+
 def read_ledger(spark: SparkSession, cfg: LoadConfig) -> DataFrame:
     return read_or_empty(spark, cfg.path("etl_runs"), ETL_RUNS)
 
@@ -89,16 +91,20 @@ def _append_event(event: DataFrame, cfg: LoadConfig) -> None:
 def read_clean(
     spark: SparkSession, cfg: LoadConfig, schema: T.StructType | None = None, ledger: DataFrame | None = None
 ) -> DataFrame:
-    """The committed clean table: current version of every bucket.
+    """The committed clean table: the newest successful run's row of every key.
 
     Without ``schema`` the column types are taken from the Parquet footers.
     """
-    ledger = read_ledger(spark, cfg) if ledger is None else ledger
+    return _clean_rows(spark, cfg, read_ledger(spark, cfg) if ledger is None else ledger, schema)
+
+
+def _clean_rows(
+    spark: SparkSession, cfg: LoadConfig, ledger: DataFrame, schema: T.StructType | None = None, staged_run: int | None = None
+) -> DataFrame:
     if schema is None:
         found = spark.read.parquet(cfg.path("clean")).schema
-        schema = T.StructType([f for f in found.fields if f.name not in (B.BUCKET, B.RUN)])
-    versions = B.bucket_versions(spark, ledger)
-    return B.read_current(spark, cfg.path("clean"), schema, versions).drop(B.BUCKET, B.RUN)
+        schema = T.StructType([f for f in found.fields if f.name != RUN])
+    return newest_per_key(run_rows(spark, cfg.path("clean"), schema, ledger, staged_run), cfg.key)
 
 
 def visible_table(spark: SparkSession, cfg: LoadConfig, table: str, schema: T.StructType, include_failed: bool = False) -> DataFrame:
@@ -108,33 +114,46 @@ def visible_table(spark: SparkSession, cfg: LoadConfig, table: str, schema: T.St
     return df if include_failed else L.visible(df, read_ledger(spark, cfg), "run_id")
 
 
-def run_load(spark: SparkSession, cfg: LoadConfig, feed: DataFrame | None = None, run_id: int | None = None) -> RunResult:
-    """Execute one run; returns its counters. Raises when the run fails."""
+def run_load(
+    spark: SparkSession,
+    cfg: LoadConfig,
+    feed: DataFrame | None = None,
+    run_id: int | None = None,
+    files: Sequence[str] | None = None,
+    use_cutoff: bool = True,
+) -> RunResult:
+    """Execute one run; returns its counters. Raises when the run fails.
+
+    ``files`` names the feed's files (default: ``source_path``). A source that
+    delivers every file once reads without cutoff (``use_cutoff=False``): the
+    cutoff only spares re-reading rows that an earlier run has seen.
+    """
     ledger = read_ledger(spark, cfg)
     next_id, watermark = L.ledger_state(ledger)
     if run_id is None:
         run_id = next_id
-    _append_event(L.run_event(spark, run_id, 1, L.RUNNING, cfg.source_path), cfg)
-    cutoff = compute_cutoff(watermark, cfg.lookback_hours)
+    started = dt.datetime.now(dt.timezone.utc)
+    _append_event(L.run_event(spark, run_id, 1, L.RUNNING, cfg.source_path, at=started), cfg)
+    cutoff = compute_cutoff(watermark, cfg.lookback_hours) if use_cutoff else None
     rows_read = rows_loaded = bad = 0
-    touched: list[int] = []
     validated = None
     try:
         if feed is None:
-            feed = read_csv_strings(spark, cfg.source_path, cfg.feed_columns or None)
-            feed = with_file_position(feed)
+            feed = read_csv_strings(
+                spark, list(files) if files is not None else cfg.source_path, cfg.feed_columns or None, cfg.multi_line, True
+            )
         spec = cfg.spec
         spec_extra = FeedSpec(**{**spec.__dict__, "extra_columns": tuple(POSITION)})
         scanned = late_data_filter(feed, spec.ts_col, cutoff, spec.ts_type)
         validated = validate(scanned, spec_extra).persist(StorageLevel.DISK_ONLY)
         now = F.current_timestamp()
+        row_id = F.monotonically_increasing_id().alias("id")  # unique within the run
 
         # Quarantine: every bad row with its original text and first failing rule.
         bad_df = validated.where(F.col(ERROR).isNotNull()).select(
-            F.col(RAW_ROW).alias("raw_row"), F.col(ERROR).alias("error"),
-            now.alias("created_at"), F.lit(run_id).cast("bigint").alias("run_id"),
+            row_id, F.col(RAW_ROW).alias("raw_row"), F.col(ERROR).alias("error"), now.alias("created_at")
         )
-        append_partitioned(bad_df, cfg.path("bad"), ["run_id"])
+        append_run(bad_df, cfg.path("bad"), run_id)
 
         good = validated.where(F.col(ERROR).isNull()).drop(ERROR, RAW_ROW)
         payload = [c for c in good.columns if c not in POSITION and c != cfg.key]
@@ -142,11 +161,8 @@ def run_load(spark: SparkSession, cfg: LoadConfig, feed: DataFrame | None = None
             dups = unique_report(good, "raw", [cfg.key]).first()["violations"]
             if dups:
                 raise RuntimeError(f"duplicate key value violates unique constraint ({cfg.key}): {dups} keys")
-        kept = dedupe(good, [cfg.key], POSITION, "first", payload)
-        raw = kept.select(*[cfg.key] + payload).withColumns(
-            {"ingested_at": now, "run_id": F.lit(run_id).cast("bigint")}
-        )
-        append_partitioned(raw, cfg.path("raw"), ["run_id"])
+        kept = dedupe(good, [cfg.key], POSITION, "first", payload).select(cfg.key, *payload)
+        append_run(kept.select(row_id, "*", now.alias("ingested_at")), cfg.path("raw"), run_id)
 
         counters = validated.agg(
             F.count(F.lit(1)).alias("read"), F.count_if(F.col(ERROR).isNotNull()).alias("bad")
@@ -154,75 +170,46 @@ def run_load(spark: SparkSession, cfg: LoadConfig, feed: DataFrame | None = None
         rows_read, bad = int(counters["read"]), int(counters["bad"])
         validated.unpersist()
 
-        # Transform: raw(R) -> touched buckets of clean, as new partitions.
-        raw_schema = T.StructType(
-            [f for f in kept.select(*[cfg.key] + payload).schema.fields]
-            + [T.StructField("ingested_at", T.TimestampType())]
-        )
-        raw_r = read_or_empty(
-            spark, cfg.path("raw"), T.StructType(list(raw_schema.fields) + [T.StructField("run_id", T.LongType())])
-        ).where(F.col("run_id") == run_id)
+        # Transform: raw(R) -> clean(R), the run's rows of the clean table.
+        raw_schema = T.StructType([*kept.schema.fields, T.StructField(RUN, T.LongType())])
+        raw_r = read_or_empty(spark, cfg.path("raw"), raw_schema).where(F.col(RUN) == run_id)
         source = raw_r.select(
-            *[cfg.key] + payload,
-            F.to_date(F.col(cfg.spec.ts_col)).alias(cfg.day_col),
+            cfg.key, *payload,
+            F.to_date(F.col(spec.ts_col)).alias(cfg.day_col),
             F.lit(run_id).cast("bigint").alias("last_run_id"),
         )
-        cschema = source.schema
-        stats = (
-            source.withColumn(B.BUCKET, B.bucket_of(cfg.key, cfg.buckets))
-            .groupBy(B.BUCKET)
-            .agg(F.count(F.lit(1)).alias("n"), F.max(cfg.spec.ts_col).alias("max_ts"))
-            .collect()  # at most `buckets` rows
-        )
-        touched = sorted(int(r[B.BUCKET]) for r in stats)
-        rows_loaded = sum(int(r["n"]) for r in stats)
-        run_max = max((r["max_ts"] for r in stats if r["max_ts"] is not None), default=None)
-
-        if touched:
-            versions = B.bucket_versions(spark, ledger)
-            current = B.read_current(spark, cfg.path("clean"), cschema, versions, touched).drop(B.BUCKET, B.RUN)
-            merged = B.upsert_buckets(current, source.select(*current.columns), cfg.key, cfg.buckets)
-            # Reads (bucket, older run) partitions and writes (bucket, R): disjoint
-            # partitions of one folder, committed by dynamic partition overwrite.
-            new_version = merged.withColumn(B.RUN, F.lit(run_id).cast("bigint"))
-            B.write_version(new_version, cfg.path("clean"))
-
-        # DQ on the staged version (this run's buckets as if committed).
-        staged_versions = B.bucket_versions(spark, ledger, run_id, touched)
-        staged = B.read_current(spark, cfg.path("clean"), cschema, staged_versions, touched)
-        dq = dq_checks(staged, [cfg.key], cfg.spec.number_col, "last_run_id", run_id, rows_loaded)
+        stats = source.agg(F.count(F.lit(1)).alias("n"), F.max(spec.ts_col).alias("max_ts")).first()
+        rows_loaded, run_max = int(stats["n"]), stats["max_ts"]
+        append_run(source, cfg.path("clean"), run_id)
+
+        # DQ on the whole clean table, this run included.
+        staged = _clean_rows(spark, cfg, ledger, source.schema, run_id)
+        dq = dq_checks(staged, [cfg.key], spec.number_col, "last_run_id", run_id, rows_loaded)
         dq_rows = dq.collect()  # four rows
-        recorded = spark.createDataFrame(dq_rows, dq.schema).withColumns(
-            {"created_at": F.current_timestamp(), "run_id": F.lit(run_id).cast("bigint")}
-        )
-        append_partitioned(recorded.coalesce(1), cfg.path("dq"), ["run_id"])
+        recorded = spark.createDataFrame(dq_rows, dq.schema).coalesce(1)
+        append_run(recorded.select(row_id, "*", F.current_timestamp().alias("created_at")), cfg.path("dq"), run_id)
         failed = [r["check_name"] for r in dq_rows if not r["passed"]]
         if failed:
-            raise RuntimeError(f"Data Quality checks failed: {', '.join(failed)}")
+            raise RuntimeError(MSG_DQ_FAILED.format(", ".join(failed)))
 
-        new_wm = run_max if run_max is not None else watermark
+        new_wm = max((w for w in (run_max, None if use_cutoff else watermark) if w is not None), default=watermark)
         _append_event(
             L.run_event(
-                spark, run_id, 2, L.SUCCESS, cfg.source_path, rows_read, rows_loaded, bad, "OK",
-                new_wm, touched,
+                spark, run_id, 2, L.SUCCESS, cfg.source_path, rows_read, rows_loaded, bad, "OK", new_wm, started_at=started
             ),
             cfg,
         )
-        result = RunResult(run_id, L.SUCCESS, rows_read, rows_loaded, bad, cutoff, new_wm, touched)
+        return RunResult(run_id, L.SUCCESS, rows_read, rows_loaded, bad, cutoff, new_wm)
     except Exception as exc:
         if validated is not None:
             validated.unpersist()
         _append_event(
             L.run_event(
-                spark, run_id, 2, L.FAILED, cfg.source_path, rows_read, rows_loaded, bad, str(exc)[:2000],
-                None, None,
+                spark, run_id, 2, L.FAILED, cfg.source_path, rows_read, rows_loaded, bad, str(exc), started_at=started
             ),
             cfg,
         )
         raise
-    if cfg.compact_every and run_id % cfg.compact_every == 0:
-        L.compact_after_commit(spark, cfg.path("etl_runs"), cfg.path("etl_runs_retired"))
-    return result
 
 
 def preview_run(spark: SparkSession, cfg: LoadConfig, run_id: int, clean: DataFrame, k: int = 10) -> tuple[DataFrame, DataFrame]:

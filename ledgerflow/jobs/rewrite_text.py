@@ -8,11 +8,9 @@ source and sink.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from ledgerflow.functions.scalars import replace_first_per_line
 from ledgerflow.sources.files import read_lines, write_lines
 
 # The line the extract step writes and the substitution.
@@ -21,11 +19,6 @@ FIND = "hello"
 REPLACE = "hello_airflow"
 
 
-def first_match_replace(column: str, find: str, replace: str):
-    """``sed 's/find/replace/'`` on a single-line value (first match only)."""
-    return F.regexp_replace(F.col(column), r"^(.*?)" + re.escape(find), "$1" + replace.replace("$", r"\$"))
-
-
 def extract(spark: SparkSession, path: str, lines: list[str] | None = None) -> None:
     """Write the extract file (the job's input)."""
     rows = [(x,) for x in (lines or [EXTRACT_LINE])]
@@ -33,7 +26,7 @@ def extract(spark: SparkSession, path: str, lines: list[str] | None = None) -> N
 
 
 def transform(spark: SparkSession, src: str, dst: str, find: str = FIND, replace: str = REPLACE) -> DataFrame:
-    out = read_lines(spark, src).select(first_match_replace("value", find, replace).alias("value"))
+    out = read_lines(spark, src).select(replace_first_per_line("value", find, replace).alias("value"))
     write_lines(out, dst)
     return read_lines(spark, dst)
 

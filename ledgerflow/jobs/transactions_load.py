@@ -19,8 +19,8 @@ LOOKBACK_HOURS = 24
 
 
 def transactions_spec() -> FeedSpec:
-    """Rules in order: txn_id blank; account_id / amount / ts_event unparseable;
-    amount <= 0; amount out of NUMERIC(12,2) range; currency; channel."""
+    """Rules in order: txn_id blank; account_id / amount unparseable; amount <= 0;
+    currency; channel; then ts_event unparseable; amount out of NUMERIC(12,2) range."""
     return FeedSpec(
         id_col="txn_id",
         int_cols=["account_id"],
@@ -37,7 +37,6 @@ def transactions_config(
     root: str,
     csv_path: str,
     lookback_hours: int = LOOKBACK_HOURS,
-    buckets: int = 16,
     on_duplicate: str = "ignore",
 ) -> LoadConfig:
     return LoadConfig(
@@ -48,7 +47,6 @@ def transactions_config(
         job_name=JOB_NAME,
         day_col="txn_day",
         lookback_hours=lookback_hours,
-        buckets=buckets,
         on_duplicate=on_duplicate,
         feed_columns=list(TRANSACTIONS_FEED_COLUMNS),
     )
@@ -76,13 +74,12 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--root", required=True, help="namespace folder of the load tables (shared storage)")
     ap.add_argument("--csv", required=True, help="feed file or folder")
     ap.add_argument("--lookback-hours", type=int, default=LOOKBACK_HOURS)
-    ap.add_argument("--buckets", type=int, default=16)
     ap.add_argument("--on-duplicate", choices=["ignore", "error"], default="ignore")
     args = ap.parse_args(argv)
     spark = build_session(app_name="transactions_load")
     result = run(
         spark, args.root, args.csv,
-        lookback_hours=args.lookback_hours, buckets=args.buckets, on_duplicate=args.on_duplicate,
+        lookback_hours=args.lookback_hours, on_duplicate=args.on_duplicate,
     )
     summary, first = preview_run(
         spark, transactions_config(args.root, args.csv), result.run_id, clean_transactions(spark, args.root)

@@ -78,7 +78,7 @@ def late_data_filter(df: DataFrame, ts_col: str, cutoff, ts_type: str = "timesta
         return df
     dtype = df.schema[ts_col].dataType
     if isinstance(dtype, T.StringType):
-        ts = X.strip(ts_col).try_cast(ts_type)
+        ts = X.to_instant(ts_col, ts_type)
         target = T.TimestampNTZType() if ts_type == "timestamp_ntz" else T.TimestampType()
     else:
         ts = F.col(ts_col)

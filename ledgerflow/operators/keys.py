@@ -20,6 +20,8 @@ from pyspark.sql.window import Window
 
 from ledgerflow.session import ensure_checkpoint_dir
 
+#: Rows that one sort task takes.
+ROWS_PER_PARTITION = 2_000_000
 _ROW_BITS = 33  # monotonically_increasing_id = partition_id << 33 | row_in_partition
 
 
@@ -41,7 +43,8 @@ def assign_surrogate_keys(
     # third of the input) can then be split across range partitions instead of
     # all landing in one. Equal values are numbered in scan order.
     order = [F.col(c).asc_nulls_last() for c in order_by] + [F.col("_tie").asc()]
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Partitions follow the input's size (AQE cannot split these sorts).
+    n = num_partitions or max(1, -(-df.count() // ROWS_PER_PARTITION))
     positioned = (
         df.withColumn("_tie", F.monotonically_increasing_id())
         .repartitionByRange(n, *order)

@@ -11,8 +11,6 @@ rows of failed runs on storage for diagnosis.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,14 +34,19 @@ def run_event(
     bad_rows: int = 0,
     message: str | None = None,
     watermark: dt.datetime | None = None,
-    touched_buckets: Sequence[int] | None = None,
     at: dt.datetime | None = None,
+    started_at: dt.datetime | None = None,
 ) -> DataFrame:
-    """M5/M6: one ledger event row (``start_run`` is ``seq=1, status=running``)."""
+    """M5/M6: one ledger event row (``start_run`` is ``seq=1, status=running``).
+
+    The final event repeats ``started_at`` and adds ``finished_at``, so the
+    newest event alone is the whole run record.
+    """
     at = at or dt.datetime.now(dt.timezone.utc)
+    running = status == RUNNING
     row = (
         int(run_id), int(seq), at, status, source_path, int(rows_read), int(rows_loaded),
-        int(bad_rows), message, watermark, list(touched_buckets) if touched_buckets is not None else None,
+        int(bad_rows), message, watermark, at if running else started_at, None if running else at,
     )
     return spark.createDataFrame([row], ETL_RUNS)
 
@@ -76,55 +79,6 @@ def visible(df: DataFrame, ledger: DataFrame, run_col: str = "run_id") -> DataFr
     return df.join(ok, run_col, "left_semi")
 
 
-def compact(spark: SparkSession, path: str, retired_path: str | None = None) -> int:
-    """Write the newest event of every run as one file into the ledger folder.
-
-    The ledger gets one small file per event, so a long-lived job (a stream
-    makes one run per micro-batch) piles up files that every read must list
-    and open. Readers only use the newest event per run, and those rows
-    repeated by the compacted file change no result (identical rows tie and
-    either is taken). So every event file read here is redundant once the
-    compacted file is committed: their paths are appended to ``retired_path``
-    for the storage's retention step, which may delete them at any time.
-
-    Compaction pays off only together with that deletion: until then the
-    retired files are still listed and read, and each compaction adds a file
-    holding every run. So schedule it with the retention step (as table
-    maintenance usually is), not on its own. Run by the job's single writer
-    between runs. Reads the ledger once
-    (bounded by runs, not data rows); returns the number of retired files.
-    """
-    from ledgerflow.sources.tables import read_or_empty
-
-    ledger = read_or_empty(spark, path, ETL_RUNS)
-    files = ledger.inputFiles()
-    if len(files) <= 1:
-        return 0
-    newest = current_runs(ledger).select(*ETL_RUNS.fieldNames())
-    newest.coalesce(1).write.mode("append").parquet(path)
-    if retired_path is not None:
-        at = dt.datetime.now(dt.timezone.utc)
-        spark.createDataFrame([(f, at) for f in files], "file STRING, retired_at TIMESTAMP").coalesce(1).write.mode(
-            "append"
-        ).parquet(retired_path)
-    return len(files)
-
-
-def compact_after_commit(spark: SparkSession, path: str, retired_path: str | None = None) -> int:
-    """:func:`compact` after a run's commit point: a failure only warns.
-
-    The run is already committed, and an uncommitted compaction leaves no
-    visible file; the next scheduled compaction tries again.
-    """
-    import warnings
-
-    try:
-        return compact(spark, path, retired_path)
-    except Exception as exc:  # noqa: BLE001 - the committed run must not be reported as failed
-        warnings.warn(f"run ledger compaction failed, retried by the next run: {exc}", RuntimeWarning)
-        return 0
-
-
 def next_run_id(ledger: DataFrame) -> int:
     """S11 for runs: ``max(run_id) + 1`` (one writer per job)."""
     row = ledger.agg(F.max("run_id").alias("m")).first()

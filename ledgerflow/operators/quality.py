@@ -72,7 +72,7 @@ def typed_columns(spec: FeedSpec) -> dict[str, Column]:
     for c in spec.int_cols:
         out[c] = X.to_int(c)
     if spec.ts_col:
-        out[spec.ts_col] = X.strip(spec.ts_col).try_cast(spec.ts_type)
+        out[spec.ts_col] = X.to_instant(spec.ts_col, spec.ts_type)
     out[spec.number_col] = X.to_double(spec.number_col)
     for c, _allowed, case in spec.domains:
         out[c] = X.upper_stripped(c) if case == "upper" else X.lower_stripped(c)
@@ -100,14 +100,6 @@ def feed_rules(spec: FeedSpec, t: Mapping[str, Column]) -> list[Rule]:
             X.message(MSG_VALIDATION.format(spec.number_col), F.col(spec.number_col)),
         )
     )
-    if spec.ts_col:
-        rules.append(
-            Rule(
-                f"{spec.ts_col}_ts",
-                t[spec.ts_col].isNull(),
-                X.message(MSG_VALIDATION.format(spec.ts_col), F.col(spec.ts_col)),
-            )
-        )
     bound = spec.min_exclusive
     bound_txt = str(int(bound)) if float(bound).is_integer() else str(bound)
     rules.append(
@@ -117,13 +109,6 @@ def feed_rules(spec: FeedSpec, t: Mapping[str, Column]) -> list[Rule]:
             F.lit(MSG_MUST_EXCEED.format(spec.number_col, bound_txt)),
         )
     )
-    rules.append(
-        Rule(
-            f"{spec.number_col}_range",
-            F.isnan(num) | (F.abs(num) == F.lit(float("inf"))) | X.to_money(num).isNull(),
-            X.message(MSG_OUT_OF_RANGE.format(spec.number_col), F.col(spec.number_col)),
-        )
-    )
     for c, allowed, _case in spec.domains:
         rules.append(
             Rule(
@@ -132,6 +117,22 @@ def feed_rules(spec: FeedSpec, t: Mapping[str, Column]) -> list[Rule]:
                 X.message(MSG_UNSUPPORTED.format(c), t[c]),
             )
         )
+    # Rows that pass the feed's own rules but that no table could hold.
+    if spec.ts_col:
+        rules.append(
+            Rule(
+                f"{spec.ts_col}_ts",
+                t[spec.ts_col].isNull(),
+                X.message(MSG_VALIDATION.format(spec.ts_col), F.col(spec.ts_col)),
+            )
+        )
+    rules.append(
+        Rule(
+            f"{spec.number_col}_range",
+            F.isnan(num) | (F.abs(num) == F.lit(float("inf"))) | X.to_money(num).isNull(),
+            X.message(MSG_OUT_OF_RANGE.format(spec.number_col), F.col(spec.number_col)),
+        )
+    )
     return rules
 
 
@@ -171,15 +172,17 @@ def validate(df: DataFrame, spec: FeedSpec) -> DataFrame:
             typed.append(t[c].alias(c))
         else:
             typed.append(F.col(c))
-    return staged.select(
+    checked = staged.withColumn(_ERROR, first_error(rules))
+    return checked.select(
         *typed,
         *[F.col(c) for c in spec.extra_columns],
-        first_error(rules).alias(ERROR),
-        X.row_to_json(raw_cols).alias(RAW_ROW),
+        F.col(_ERROR).alias(ERROR),
+        F.when(F.col(_ERROR).isNotNull(), X.row_to_json(raw_cols)).alias(RAW_ROW),
     )
 
 
 _TYPED = "__typed_"
+_ERROR = "__error"
 
 
 def _emit_where(df: DataFrame, cond: Column, cols: Sequence[Column]) -> DataFrame:

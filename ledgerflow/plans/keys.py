@@ -18,6 +18,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerflow.functions import scalars as X
 from ledgerflow.operators import relational as R
@@ -51,12 +52,13 @@ DATE_HI = "1997-01-01 00:00:00"
 # --- P1 -------------------------------------------------------------------------
 
 def _revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items are summed per order before the join (exact: sums of cents).
+    """Posted revenue per customer, exact.
 
-    The partial aggregate collapses the line items of an order inside each
-    scan task, so the shuffle on the order key moves about one row per order
-    instead of one per line item, a hot order key cannot flood one reducer,
-    and the join with the filtered orders reuses that same partitioning.
+    The filtered orders meet their customers first; line items then join that
+    selective side (a runtime bloom filter drops other orders' line items
+    before their shuffle, where nothing is small enough to broadcast), and the
+    total is one aggregate with a partial step. A hot order is split by the
+    adaptive skew join.
     """
     customer = R.where_equals(_t(spark, sf_dir, "customer"), c_mktsegment=SEGMENT)
     orders = R.where_between(
@@ -65,23 +67,18 @@ def _revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
         DATE_LO,
         DATE_HI,
     )
-    per_order = (
-        _t(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_orderkey").alias("o_orderkey"))
-        .agg(
-            F.sum(X.cents("l_extendedprice")).alias("order_cents"),
-            F.count(F.lit(1)).alias("order_lines"),
-        )
-    )
-    joined = R.join_chain(
-        per_order,
-        (orders.select("o_orderkey", F.col("o_custkey").alias("c_custkey")), "o_orderkey"),
+    wanted = R.join_chain(
+        orders.select("o_orderkey", F.col("o_custkey").alias("c_custkey")),
         (customer.select("c_custkey", "c_name"), "c_custkey"),
     )
-    return joined.groupBy("c_custkey", "c_name").agg(
-        X.cents_to_double(F.sum("order_cents")).alias("total_amount"),
-        F.sum("order_lines").alias("txn_count"),
-    )
+    lineitem = _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_extendedprice")
+    joined = R.join_chain(wanted, (lineitem, "o_orderkey"))
+    return R.grouped_totals(joined, ["c_custkey", "c_name"], "l_extendedprice")
+
+
+def _as_double(df: DataFrame, *columns: str) -> DataFrame:
+    """Exact money as double, which both engines of the comparison have."""
+    return df.withColumns({c: F.col(c).cast("double") for c in columns})
 
 
 _REVENUE_SQL = f"""
@@ -100,7 +97,7 @@ GROUP BY c.c_custkey, c.c_name
 @register("revenue_per_customer", _REVENUE_SQL)
 def revenue_per_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P1 J1 F4 F5 A1."""
-    return _revenue(spark, sf_dir)
+    return _as_double(_revenue(spark, sf_dir), "total_amount")
 
 
 # --- P2 -------------------------------------------------------------------------
@@ -111,7 +108,8 @@ def revenue_per_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five customers with the largest posted revenue (ties by key)."""
-    return R.top_k(_revenue(spark, sf_dir), 5, [R.desc("total_amount"), R.asc("c_custkey")])
+    top = R.top_k(_revenue(spark, sf_dir), 5, [R.desc("total_amount"), R.asc("c_custkey")])
+    return _as_double(top, "total_amount")
 
 
 # --- P3 -------------------------------------------------------------------------
@@ -142,18 +140,14 @@ def latest_order_per_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "supplier_spend_rank",
     f"""
-WITH spend AS (
-  SELECT c.c_custkey, c.c_name, s.s_name,
-         CAST(SUM(CAST(l.l_extendedprice AS DECIMAL(12,2))) AS DOUBLE) AS total_spend
-  FROM customer c
-  JOIN orders o ON o.o_custkey = c.c_custkey
-  JOIN lineitem l ON l.l_orderkey = o.o_orderkey
-  JOIN supplier s ON s.s_suppkey = l.l_suppkey
-  WHERE o.o_orderstatus = '{POSTED_STATUS}'
-  GROUP BY c.c_custkey, c.c_name, s.s_name)
-SELECT c_custkey, c_name, s_name, total_spend,
-       rank() OVER (PARTITION BY c_custkey ORDER BY total_spend DESC) AS spend_rank
-FROM spend
+SELECT c_custkey, c_name, s_name, CAST(money AS DOUBLE) AS total_spend,
+       rank() OVER (PARTITION BY c_custkey ORDER BY money DESC) AS spend_rank
+FROM (SELECT o_custkey AS c_custkey, l_suppkey AS s_suppkey,
+             SUM(CAST(l_extendedprice AS DECIMAL(12,2))) AS money
+      FROM lineitem, orders
+      WHERE l_orderkey = o_orderkey AND o_orderstatus = '{POSTED_STATUS}'
+      GROUP BY ALL)
+     JOIN customer USING (c_custkey) JOIN supplier USING (s_suppkey)
 """,
 )
 def supplier_spend_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,25 +155,23 @@ def supplier_spend_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Spend is first summed per (customer key, supplier key) right after the
     fact join, so the name lookups in customer and supplier join aggregated
-    pairs instead of line items; a second (small) aggregate groups by name,
-    as the original groups by merchant name.
+    pairs instead of line items. Supplier names are distinct, so a pair of keys
+    is a pair of names. Ranks compare exact money.
     """
     orders = R.where_equals(_t(spark, sf_dir, "orders"), o_orderstatus=POSTED_STATUS)
     lineitem = _t(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"), F.col("l_suppkey").alias("s_suppkey"), "l_extendedprice"
     )
     facts = R.join_chain(lineitem, (orders.select("o_orderkey", F.col("o_custkey").alias("c_custkey")), "o_orderkey"))
-    pairs = facts.groupBy("c_custkey", "s_suppkey").agg(F.sum(X.cents("l_extendedprice")).alias("pair_cents"))
+    pairs = R.grouped_totals(facts, ["c_custkey", "s_suppkey"], "l_extendedprice", "total_spend", None)
     named = R.join_chain(
         pairs,
         (_t(spark, sf_dir, "customer").select("c_custkey", "c_name"), "c_custkey"),
         (_t(spark, sf_dir, "supplier").select("s_suppkey", "s_name"), "s_suppkey"),
     )
-    spend = named.groupBy("c_custkey", "c_name", "s_name").agg(
-        X.cents_to_double(F.sum("pair_cents")).alias("total_spend")
-    )
-    ranked = R.rank_within(spend, ["c_custkey"], "total_spend", "spend_rank")
-    ranked = ranked.withColumn("spend_rank", F.col("spend_rank").cast("bigint"))
+    ranked = R.rank_within(named, ["c_custkey"], "total_spend", "spend_rank")
+    ranked = _as_double(ranked.withColumn("spend_rank", F.col("spend_rank").cast("bigint")), "total_spend")
+    ranked = ranked.select("c_custkey", "c_name", "s_name", "total_spend", "spend_rank")
     return R.sort_total(ranked, [R.asc("c_custkey"), R.asc("spend_rank"), R.desc("total_spend")])
 
 
@@ -222,9 +214,8 @@ def parts_with_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "tag_counts",
     """
-SELECT tag, COUNT(*) AS part_count
-FROM (SELECT unnest(string_split(p_name, ' ')) AS tag FROM part) x
-GROUP BY tag
+WITH words AS (SELECT unnest(string_split(p_name, ' ')) AS word FROM part)
+SELECT word AS tag, COUNT(*) AS part_count FROM words GROUP BY word
 """,
 )
 def tag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -234,6 +225,21 @@ def tag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.sort_total(counts, [R.desc("part_count"), R.asc("tag")])
 
 
+# Two words that some part names share.
+MANY_TAGS = ["plate", "red"]
+
+
+@register(
+    "many_tags",
+    "SELECT p_partkey, p_name FROM part WHERE "
+    + " AND ".join(f"list_contains(string_split(p_name, ' '), '{t}')" for t in MANY_TAGS),
+)
+def many_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts whose name has every one of several words."""
+    part = _t(spark, sf_dir, "part").select("p_partkey", "p_name", F.split("p_name", " ").alias("tags"))
+    return R.where_contains_all(part, "tags", MANY_TAGS).select("p_partkey", "p_name")
+
+
 # --- P8 -------------------------------------------------------------------------
 
 _COUNTED = ["customer", "orders", "lineitem", "supplier", "part"]
@@ -286,12 +292,14 @@ def validated_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _WS = r"'^\s+|\s+$'"
 _NUM = r"'^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$'"
-_CHECKED_EVENTS_SQL = f"""
-WITH feed AS (
+def _checked_sql(relation: str = "events", name: str = "checked") -> str:
+    """CTEs that validate a feed: every row of ``relation`` as text, typed, with its first error."""
+    return f"""
+{name}_feed AS (
   SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(ts AS VARCHAR) AS ts,
          CAST(user_id AS VARCHAR) AS user_id, event_type, CAST(value AS VARCHAR) AS value, props
-  FROM events),
-typed AS (
+  FROM {relation}),
+{name}_typed AS (
   SELECT *,
     regexp_replace(event_id, {_WS}, '', 'g') AS t_id,
     TRY_CAST(regexp_replace(user_id, {_WS}, '', 'g') AS INTEGER) AS t_user,
@@ -299,24 +307,27 @@ typed AS (
     CASE WHEN regexp_matches(regexp_replace(value, {_WS}, '', 'g'), {_NUM})
          THEN TRY_CAST(regexp_replace(value, {_WS}, '', 'g') AS DOUBLE) END AS t_value,
     lower(regexp_replace(event_type, {_WS}, '', 'g')) AS t_type
-  FROM feed),
-checked AS (
+  FROM {name}_feed),
+{name} AS (
   SELECT *,
     CASE
       WHEN t_id IS NULL OR t_id = '' THEN 'event_id is empty'
       WHEN t_user IS NULL THEN 'validation error: invalid user_id: ' || coalesce(user_id, 'null')
       WHEN t_value IS NULL THEN 'validation error: invalid value: ' || coalesce(value, 'null')
-      WHEN t_ts IS NULL THEN 'validation error: invalid ts: ' || coalesce(ts, 'null')
       WHEN t_value <= {EVENT_MIN_VALUE} THEN 'value must be > 1'
-      WHEN isnan(t_value) OR isinf(t_value) OR TRY_CAST(t_value AS DECIMAL(12,2)) IS NULL
-        THEN 'validation error: value out of range: ' || value
       WHEN t_type IS NULL OR t_type NOT IN ({", ".join(f"'{e}'" for e in EVENT_TYPES)})
         THEN 'unsupported event_type: ' || coalesce(t_type, 'null')
+      WHEN t_ts IS NULL THEN 'validation error: invalid ts: ' || coalesce(ts, 'null')
+      WHEN isnan(t_value) OR isinf(t_value) OR TRY_CAST(t_value AS DECIMAL(12,2)) IS NULL
+        THEN 'validation error: value out of range: ' || value
     END AS error
-  FROM typed)
+  FROM {name}_typed)
 """
 
 
+_CHECKED_EVENTS_SQL = "WITH " + _checked_sql()
+
+
 @register(
     "valid_events",
     _CHECKED_EVENTS_SQL
@@ -349,9 +360,12 @@ def quarantined_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rejected rows with the original row as JSON and the first failing rule."""
     from ledgerflow.operators.quality import bad_rows
 
-    validated = validated_events(spark, sf_dir)
-    return bad_rows(validated.withColumn("_raw_id", F.get_json_object("raw_row", "$.event_id")), "_raw_id")\
-        .withColumnRenamed("_raw_id", "event_id")
+    from ledgerflow.operators.quality import validate
+
+    feed = events_feed(spark, sf_dir).withColumn("_raw_id", F.col("event_id"))
+    spec = events_spec()
+    spec.extra_columns = ("_raw_id",)
+    return bad_rows(validate(feed, spec), "_raw_id").withColumnRenamed("_raw_id", "event_id")
 
 
 @register(
@@ -699,7 +713,7 @@ FROM events GROUP BY 1, 2
 def daily_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X11 A2: value and count per (day, event type)."""
     ev = _t(spark, sf_dir, "events").select(X.day_of("ts").alias("day"), "event_type", "value")
-    return R.grouped_totals(ev, ["day", "event_type"], "value", "total_value", "n_events")
+    return _as_double(R.grouped_totals(ev, ["day", "event_type"], "value", "total_value", "n_events"), "total_value")
 
 
 # --- I9 P13: catch-up intervals -------------------------------------------------------
@@ -708,6 +722,8 @@ def daily_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 SCHEDULE_START = "2024-01-01"
 SCHEDULE_END = "2024-02-29"
 SCHEDULE_HOUR = 9
+# The dates on which the backfill is called.
+BACKFILL_DATES = ["2024-01-17 12:00:00", "2024-03-10 00:00:00", "2024-03-11 00:00:00"]
 
 
 @register(
@@ -833,7 +849,6 @@ def _events_load_config(work: str, source: str):
         job_name=EVENTS_JOB,
         day_col="event_day",
         lookback_hours=LOOKBACK_HOURS,
-        buckets=16,
         feed_columns=list(FEED_COLUMNS),
     )
 
@@ -847,18 +862,21 @@ FROM checked WHERE error IS NULL
 
 @register("stream_load", _CHECKED_EVENTS_SQL + _VALID_EVENTS_SELECT)
 def stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed lands as files; a file-stream query with
-    ``availableNow`` loads them through the same validate/dedupe/upsert run;
-    the committed clean table equals the batch result."""
+    """The feed lands as several files, newest events first, and a
+    file-stream query takes one file per trigger through the same
+    validate/dedupe/upsert run; older rows that arrive later are loaded too,
+    so the committed clean table equals the batch result."""
     from ledgerflow.jobs.incremental_load import read_clean
     from ledgerflow.session import scratch_path
     from ledgerflow.streaming.file_load import run_available
 
     work = scratch_path(spark, "stream_load")
     landing = f"{work}/landing"
-    _write_feed_csv(spark, sf_dir, landing)
+    feed = events_feed(spark, sf_dir)
+    newest_first = feed.repartitionByRange(3, F.col("ts").desc_nulls_first())
+    newest_first.write.option("header", True).option("escape", '"').csv(landing)
     cfg = _events_load_config(work, landing)
-    run_available(spark, cfg, landing, f"{work}/checkpoint")
+    run_available(spark, cfg, landing, f"{work}/checkpoint", max_files_per_trigger=1)
     clean = read_clean(spark, cfg)
     return clean.select(*[F.col(c).cast("double").alias(c) if c == "value" else F.col(c) for c in FEED_COLUMNS])
 
@@ -905,9 +923,9 @@ GROUP BY run_date
 """,
 )
 def backfill_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Catch-up run over the weekday 09:00 schedule: every missing
-    interval is computed (events assigned to intervals arithmetically) and
-    written as its own partition; a second run finds nothing left to do."""
+    """Catch-up runs over the weekday 09:00 schedule on two dates: each
+    computes the missing intervals that have ended by then and writes every one
+    as its own partition; a third call finds nothing left to do."""
     import datetime as dt
 
     from ledgerflow.jobs import backfill
@@ -916,6 +934,270 @@ def backfill_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = scratch_path(spark, "backfill")
     events = _t(spark, sf_dir, "events")
     start, end = dt.date.fromisoformat(SCHEDULE_START), dt.date.fromisoformat(SCHEDULE_END)
-    backfill.run(spark, events, work, start, end, SCHEDULE_HOUR)
-    backfill.run(spark, events, work, start, end, SCHEDULE_HOUR)  # idempotent catch-up
-    return spark.read.parquet(f"{work}/interval_totals").select("run_date", "n_events", "total_value")
+    for as_of in BACKFILL_DATES:
+        backfill.run(spark, events, work, start, end, SCHEDULE_HOUR, dt.datetime.fromisoformat(as_of))
+    done = spark.read.parquet(f"{work}/interval_totals").select("run_date", "n_events", "total_value")
+    return _as_double(done, "total_value")
+
+
+# --- P9: re-delivered rows, checks, preview ----------------------------------------
+
+# The second feed delivers all events of this type again, each
+# with one more unit of value.
+REDELIVERED_TYPE = "purchase"
+LONG_LOOKBACK_HOURS = 24 * 365 * 10
+_AGAIN = f"(SELECT * REPLACE (value + 1.0 AS value) FROM events WHERE event_type = '{REDELIVERED_TYPE}')"
+_TWO_FEEDS_SQL = (
+    "WITH "
+    + _checked_sql()
+    + ","
+    + _checked_sql(_AGAIN, "again")
+    + """,
+one AS (SELECT t_id AS event_id, t_ts AS ts, t_user AS user_id, t_type AS event_type,
+               CAST(CAST(t_value AS DECIMAL(12,2)) AS DOUBLE) AS value, props, CAST(1 AS BIGINT) AS last_run_id
+        FROM checked WHERE error IS NULL),
+two AS (SELECT t_id AS event_id, t_ts AS ts, t_user AS user_id, t_type AS event_type,
+               CAST(CAST(t_value AS DECIMAL(12,2)) AS DOUBLE) AS value, props, CAST(2 AS BIGINT) AS last_run_id
+        FROM again WHERE error IS NULL)
+"""
+)
+
+
+def _two_loads(spark: SparkSession, sf_dir: str):
+    """Load the whole feed, then a second feed that re-delivers some keys changed."""
+    import dataclasses
+
+    from ledgerflow.jobs.incremental_load import run_load
+    from ledgerflow.session import scratch_path
+
+    work = scratch_path(spark, "two_loads")
+    _write_feed_csv(spark, sf_dir, f"{work}/first")
+    again = R.where_equals(_t(spark, sf_dir, "events"), event_type=REDELIVERED_TYPE)
+    again = again.withColumn("value", F.col("value") + F.lit(1.0))
+    again = again.select(*[F.col(c).cast("string").alias(c) for c in FEED_COLUMNS])
+    again.write.option("header", True).option("escape", '"').csv(f"{work}/second")
+    cfg = dataclasses.replace(_events_load_config(work, f"{work}/first"), lookback_hours=LONG_LOOKBACK_HOURS)
+    run_load(spark, cfg)
+    cfg = dataclasses.replace(cfg, source_path=f"{work}/second")
+    run_load(spark, cfg)
+    return cfg
+
+
+@register(
+    "redelivered_load",
+    _TWO_FEEDS_SQL + "SELECT * FROM two UNION ALL SELECT * FROM one WHERE event_id NOT IN (SELECT event_id FROM two)",
+)
+def redelivered_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run writes only its own rows; the clean table shows the newest row of every key."""
+    from ledgerflow.jobs.incremental_load import read_clean
+
+    clean = read_clean(spark, _two_loads(spark, sf_dir))
+    return _as_double(clean, "value").select(*FEED_COLUMNS, "last_run_id")
+
+
+@register(
+    "load_dq",
+    _TWO_FEEDS_SQL
+    + """,
+runs AS (
+  SELECT 1 AS run_id, (SELECT COUNT(*) FROM one) AS loaded, (SELECT COUNT(*) FROM one) AS total
+  UNION ALL
+  SELECT 2, (SELECT COUNT(*) FROM two),
+         (SELECT COUNT(*) FROM (SELECT event_id FROM one UNION SELECT event_id FROM two)))
+SELECT CAST(run_id AS BIGINT) AS run_id, 'min_rows_loaded_nonzero' AS check_name, TRUE AS passed,
+       CAST(loaded AS DOUBLE) AS metric,
+       'Expected at least ' || least(loaded, 1) || ' rows loaded, got ' || loaded AS details FROM runs
+UNION ALL
+SELECT run_id, 'no_duplicates_in_clean_transactions', TRUE, 0.0,
+       'Total rows: ' || total || ', Distinct txn_id: ' || total FROM runs
+UNION ALL
+SELECT run_id, 'no_non_positive_amounts_in_clean', TRUE, 0.0, 'Non-positive amount count: 0' FROM runs
+UNION ALL
+SELECT run_id, 'recent_run_influenced_clean', TRUE, CAST(loaded AS DOUBLE),
+       'Expected at least some rows influenced by run_id=' || run_id || ', got ' || loaded FROM runs
+""",
+)
+def load_dq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The check rows that both runs recorded, taken over the whole clean table."""
+    from ledgerflow.jobs.incremental_load import visible_table
+    from ledgerflow.schemas import DQ_RESULTS
+
+    fields = [f for f in DQ_RESULTS.fields if f.name != "run_id"]
+    rows = visible_table(spark, _two_loads(spark, sf_dir), "dq", T.StructType(fields))
+    return rows.select("run_id", "check_name", "passed", "metric", "details")
+
+
+@register(
+    "run_preview",
+    _CHECKED_EVENTS_SQL
+    + f"""
+SELECT *, 'success' AS status, 'OK' AS message, TRUE AS in_order,
+       (SELECT COUNT(*) FROM checked) AS rows_read,
+       (SELECT COUNT(*) FROM checked WHERE error IS NULL) AS rows_loaded,
+       (SELECT COUNT(*) FROM checked WHERE error IS NOT NULL) AS bad_rows
+FROM ({_VALID_EVENTS_SELECT} ORDER BY ts, event_id LIMIT 10)
+""",
+)
+def run_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run record and the first ten clean rows by event time."""
+    from ledgerflow.jobs.incremental_load import preview_run, read_clean, run_load
+    from ledgerflow.session import scratch_path
+
+    work = scratch_path(spark, "run_preview")
+    _write_feed_csv(spark, sf_dir, f"{work}/feed")
+    cfg = _events_load_config(work, f"{work}/feed")
+    result = run_load(spark, cfg)
+    summary, first = preview_run(spark, cfg, result.run_id, read_clean(spark, cfg))
+    record = summary.first()
+    return _as_double(first, "value").select(
+        *FEED_COLUMNS,
+        *[F.lit(record[c]).alias(c) for c in ("status", "message", "rows_read", "rows_loaded", "bad_rows")],
+        F.lit(record["started_at"] <= record["finished_at"]).alias("in_order"),
+    )
+
+
+# --- S1 S14: files with different headers -------------------------------------------
+
+@register(
+    "mixed_headers",
+    _CHECKED_EVENTS_SQL
+    + f"""
+SELECT via, v.* FROM ({_VALID_EVENTS_SELECT}) v, (SELECT unnest(['batch', 'stream']) AS via)
+""",
+)
+def mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One feed in files of two column orders, loaded as a batch and as a stream."""
+    from ledgerflow.jobs.incremental_load import read_clean, run_load
+    from ledgerflow.session import scratch_path
+    from ledgerflow.streaming.file_load import run_available
+
+    work = scratch_path(spark, "mixed_headers")
+    feed = events_feed(spark, sf_dir)
+    known = F.col("event_type").isin(EVENT_TYPES[:1])
+    for part in (feed.where(known), feed.where(known.isNull() | ~known).select(*reversed(FEED_COLUMNS))):
+        part.write.mode("append").option("header", True).option("escape", '"').csv(f"{work}/landing")
+    batch, stream = (_events_load_config(f"{work}/{via}", f"{work}/landing") for via in ("batch", "stream"))
+    run_load(spark, batch)
+    run_available(spark, stream, f"{work}/landing", f"{work}/checkpoint")
+    out = [read_clean(spark, c).select(F.lit(v).alias("via"), *FEED_COLUMNS) for c, v in ((batch, "batch"), (stream, "stream"))]
+    return _as_double(out[0].unionByName(out[1]), "value")
+
+
+# --- X9 V2 V4: instants with offsets and broken times -------------------------------
+
+# What the feed's producer writes as time, by the event's user.
+_TS_FORMS = ["%s+05:45", "%sZ", "12:30", "2026", "", "%s"]
+
+
+@register(
+    "instant_events",
+    "WITH "
+    + _checked_sql(
+        """(SELECT * REPLACE (CASE user_id % 6
+             WHEN 0 THEN CAST(ts - INTERVAL '5 hours 45 minutes' AS VARCHAR)
+             WHEN 2 THEN '12:30' WHEN 3 THEN '2026' WHEN 4 THEN '' ELSE CAST(ts AS VARCHAR) END AS ts) FROM events)"""
+    )
+    + "SELECT event_id, t_ts AS ts, error FROM checked",
+)
+def instant_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times with offsets become instants; a bare time, a bare year and a blank are rejected."""
+    from ledgerflow.operators.quality import FeedSpec, validate
+
+    forms = None
+    number = F.col("user_id").cast("bigint") % len(_TS_FORMS)
+    for k, form in enumerate(_TS_FORMS):
+        text = F.format_string(form, "ts") if "%s" in form else F.lit(form)
+        forms = F.when(number == k, text) if forms is None else forms.when(number == k, text)
+    ts = F.when(F.col("ts").isNull() & number.isin(0, 1, 5), F.lit(None).cast("string")).otherwise(
+        F.when(number.isNull(), F.col("ts")).otherwise(forms)
+    )
+    feed = events_feed(spark, sf_dir).withColumn("ts", ts).withColumn("_raw_id", F.col("event_id"))
+    spec = FeedSpec(**{**events_spec().__dict__, "ts_type": "timestamp", "extra_columns": ("_raw_id",)})
+    checked = validate(feed, spec)
+    # the session zone is UTC, so the instant's wall clock is its UTC time
+    return checked.select(F.col("_raw_id").alias("event_id"), F.col("ts").cast("timestamp_ntz").alias("ts"), "error")
+
+
+# --- P10: the dimension job ----------------------------------------------------------
+
+# Parts above this size come with an id that is no number; parts up
+# to the other are delivered again under a new name.
+BAD_ID_FROM_SIZE = 46
+AGAIN_UP_TO_SIZE = 5
+
+
+def _dimension_load(spark: SparkSession, sf_dir: str) -> str:
+    import datetime as dt
+
+    from ledgerflow.jobs import customer_dim as job
+    from ledgerflow.session import scratch_path
+
+    work = scratch_path(spark, "dimension_job")
+    part = _t(spark, sf_dir, "part")
+    key = F.when(F.col("p_size") >= BAD_ID_FROM_SIZE, F.concat(F.lit("P"), "p_partkey")).otherwise(F.col("p_partkey").cast("string"))
+    email = F.concat(F.lit(" "), "p_brand", F.lit("@example.com"))
+    feed = part.select(key.alias("customer_id"), F.col("p_name").alias("full_name"), email.alias("email"))
+    again = part.where(F.col("p_size") <= AGAIN_UP_TO_SIZE).select(
+        key.alias("customer_id"), F.concat(F.lit("Again "), "p_name").alias("full_name"), email.alias("email")
+    )
+    for name, rows in (("a", feed), ("b", again)):
+        rows.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).csv(f"{work}/feed/{name}")
+    job.run(spark, f"{work}/dim", f"{work}/feed/*", dt.datetime.fromisoformat(DIM_LOAD_TIME))
+    return f"{work}/dim"
+
+
+@register(
+    "dimension_job",
+    f"""
+WITH f AS (SELECT *, CASE WHEN p_size <= {AGAIN_UP_TO_SIZE} THEN 'Again ' ELSE '' END || p_name AS full_name
+           FROM part WHERE p_size < {BAD_ID_FROM_SIZE}),
+w AS (SELECT *, string_split_regex(trim(full_name), '\\s+') AS parts FROM f)
+SELECT CAST(p_partkey AS INTEGER) AS customer_id, coalesce(parts[1], 'Unknown') AS first_name,
+       CASE WHEN len(parts) > 1 THEN array_to_string(parts[2:], ' ') ELSE 'Unknown' END AS last_name,
+       ' ' || p_brand || '@example.com' AS email, TIMESTAMP '{DIM_LOAD_TIME}' AS created_at
+FROM w
+""",
+)
+def dimension_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P10: the job on a landed feed with bad ids and repeated keys; e-mails stay as given."""
+    from ledgerflow.jobs import customer_dim as job
+
+    dim = job.current_dimension(spark, _dimension_load(spark, sf_dir))
+    return dim.withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
+
+
+@register(
+    "dimension_rejects",
+    f"""
+SELECT json_object('customer_id', 'P' || p_partkey, 'full_name', p_name,
+                   'email', ' ' || p_brand || '@example.com')::VARCHAR AS raw_row,
+       'validation error: invalid customer_id: P' || p_partkey AS error
+FROM part WHERE p_size >= {BAD_ID_FROM_SIZE}
+""",
+)
+def dimension_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P10: rows of the landed feed whose id is no number, with the reason."""
+    from ledgerflow.jobs import customer_dim as job
+
+    return job.rejected_rows(spark, _dimension_load(spark, sf_dir)).select("raw_row", "error")
+
+
+# --- P12: the text job -----------------------------------------------------------------
+
+@register(
+    "rewrite_job",
+    f"""
+SELECT regexp_replace(line, '{REWRITE_FROM}', '{REWRITE_TO}') AS line, COUNT(*) AS n
+FROM (SELECT unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents) GROUP BY 1
+""",
+)
+def rewrite_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written as text lines, rewritten by the job, counted by line."""
+    from ledgerflow.jobs import rewrite_text
+    from ledgerflow.session import scratch_path
+    from ledgerflow.sources.files import write_lines
+
+    work = scratch_path(spark, "rewrite_job")
+    write_lines(_t(spark, sf_dir, "documents"), f"{work}/in", "text")
+    out = rewrite_text.transform(spark, f"{work}/in", f"{work}/out", REWRITE_FROM, REWRITE_TO)
+    return out.groupBy(F.col("value").alias("line")).agg(F.count(F.lit(1)).alias("n"))

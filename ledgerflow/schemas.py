@@ -17,7 +17,6 @@ _TYPES = {
     "BOOLEAN": T.BooleanType(),
     "DECIMAL(12,2)": MONEY,
     "ARRAY<STRING>": T.ArrayType(T.StringType()),
-    "ARRAY<INT>": T.ArrayType(T.IntegerType()),
 }
 
 
@@ -47,21 +46,21 @@ TRANSACTIONS = _schema(
 ETL_RUNS = _schema(
     "run_id BIGINT, event_seq INT, event_at TIMESTAMP, status STRING, source_path STRING, "
     "rows_read BIGINT, rows_loaded BIGINT, bad_rows BIGINT, message STRING, "
-    "watermark TIMESTAMP, touched_buckets ARRAY<INT>"
+    "watermark TIMESTAMP, started_at TIMESTAMP, finished_at TIMESTAMP"
 )
 RAW_TRANSACTIONS = _schema(
-    "txn_id STRING, account_id INT, ts_event TIMESTAMP, amount DECIMAL(12,2), "
+    "id BIGINT, txn_id STRING, account_id INT, ts_event TIMESTAMP, amount DECIMAL(12,2), "
     "currency STRING, channel STRING, ingested_at TIMESTAMP, run_id BIGINT"
 )
 BAD_TRANSACTIONS = _schema(
-    "raw_row STRING, error STRING, created_at TIMESTAMP, run_id BIGINT"
+    "id BIGINT, raw_row STRING, error STRING, created_at TIMESTAMP, run_id BIGINT"
 )
 CLEAN_TRANSACTIONS = _schema(
     "txn_id STRING, account_id INT, ts_event TIMESTAMP, amount DECIMAL(12,2), "
     "currency STRING, channel STRING, txn_day DATE, last_run_id BIGINT"
 )
 DQ_RESULTS = _schema(
-    "check_name STRING, passed BOOLEAN, metric DOUBLE, details STRING, "
+    "id BIGINT, check_name STRING, passed BOOLEAN, metric DOUBLE, details STRING, "
     "created_at TIMESTAMP, run_id BIGINT"
 )
 
@@ -70,6 +69,7 @@ STAGING_CUSTOMERS = _schema("customer_id INT, full_name STRING, email STRING")
 DIM_CUSTOMER = _schema(
     "customer_id INT, first_name STRING, last_name STRING, email STRING, created_at TIMESTAMP"
 )
+REJECTED_CUSTOMERS = _schema("raw_row STRING, error STRING, created_at TIMESTAMP")
 
 # The transactions feed: every field arrives as text.
 TRANSACTIONS_FEED_COLUMNS = ["txn_id", "account_id", "ts_event", "amount", "currency", "channel"]

@@ -26,7 +26,11 @@ BASE_CONF: dict[str, str] = {
     # Target size of a shuffle partition after AQE coalescing; large shuffles
     # keep ~128 MB per task, small ones collapse to a few partitions.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # A selective side of up to 256 MB filters a fact scan of 1 GB or more before
+    # its shuffle, where nothing is small enough to broadcast.
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "256m",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1g",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
 }

@@ -4,35 +4,80 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Fixed value: the message for absent required columns.
+MSG_MISSING = "CSV missing required columns: {}"
+
+
 def string_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def read_csv_strings(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """CSV with a header row, every field kept as text (no inference).
+def csv_headers(spark: SparkSession, paths: str | Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """The distinct headers of the CSV files below ``paths``, with their files.
 
+    Spark lists the files on the driver anyway; the header of each is its first
+    line, read by a small job per file (several at a time). Empty files have none.
+    """
+    files = sorted(spark.read.text(paths).inputFiles())
+
+    def header(file: str) -> tuple[str, ...]:
+        return tuple(spark.read.option("header", True).option("escape", '"').csv(file).columns)
+
+    with ThreadPoolExecutor(8) as pool:
+        headers = list(pool.map(header, files))
+    out: dict[tuple[str, ...], list[str]] = {}
+    for file, names in zip(files, headers, strict=True):
+        if names:
+            out.setdefault(names, []).append(file)
+    return out
+
+
+def read_csv_strings(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    columns: Sequence[str] | None = None,
+    multi_line: bool = False,
+    position: bool = False,
+) -> DataFrame:
+    """CSV files with a header row, every field kept as text (no inference).
+
+    Fields are taken by the names in each file's own header, so files may differ
+    in column order and may lack columns (NULL, which validation rejects).
     Quoted fields and doubled quotes are honoured, blank lines skipped; a short
-    row gives NULL for its missing fields. When ``columns`` is given they are
-    selected by name and absent ones become NULL (validation rejects them).
+    row gives NULL for its missing fields. ``multi_line`` allows line breaks in
+    quoted fields (such files are not split). ``columns`` selects and orders the
+    fields; by default they are those of any file, in order of appearance.
+    ``position`` adds each row's place in its file (see ``with_file_position``).
     """
-    df = (
-        spark.read.option("header", True)
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .option("inferSchema", False)
-        .csv(path)
-    )
-    if columns is None:
-        return df
-    return df.select(
-        *[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns]
-    )
+    from ledgerflow.operators.merge import POSITION, with_file_position
+
+    headers = csv_headers(spark, path)
+    names = list(columns) if columns is not None else list(dict.fromkeys(c for h in headers for c in h))
+    out = None
+    for header, files in headers.items():
+        part = (
+            spark.read.schema(string_schema(header)).option("header", True).option("escape", '"')
+            .option("enforceSchema", False).option("multiLine", multi_line).csv(files)
+        )
+        if position:
+            part = with_file_position(part)
+        part = part.select(
+            *[F.col(f"`{c}`") if c in header else F.lit(None).cast("string").alias(c) for c in names],
+            *(POSITION if position else []),
+        )
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        types = {POSITION[1]: T.LongType(), POSITION[2]: T.LongType()}
+        extra = [T.StructField(c, types.get(c, T.StringType())) for c in (POSITION if position else [])]
+        return spark.createDataFrame([], T.StructType([*string_schema(names).fields, *extra]))
+    return out
 
 
 def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -47,7 +92,7 @@ def require_columns(df: DataFrame, required: Iterable[str]) -> None:
     """S3: fail when a required column is missing; extra columns are allowed."""
     missing = sorted(set(required) - set(df.columns))
     if missing:
-        raise ValueError(f"CSV missing required columns: {missing}")
+        raise ValueError(MSG_MISSING.format(missing))
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:

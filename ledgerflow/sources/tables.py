@@ -10,7 +10,6 @@ import os
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -39,7 +38,9 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         df = spark.read.schema(schema).parquet(path)
         df.schema  # resolves the path; raises when it does not exist
         return df
-    except AnalysisException:
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":  # anything else is an error, not an absent table
+            raise
         return spark.createDataFrame([], schema)
 
 
@@ -59,14 +60,11 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType, partition
 
 
 def with_defaults(df: DataFrame, defaults: Mapping[str, Column]) -> DataFrame:
-    """Fill columns the input does not carry with their default expressions."""
-    out = df
-    for name, expr in defaults.items():
-        if name not in out.columns:
-            out = out.withColumn(name, expr)
-        else:
-            out = out.withColumn(name, F.coalesce(F.col(name), expr))
-    return out
+    """Add the columns that the input does not carry, with their default expressions.
+
+    As for an ``INSERT``, a default fills an absent column; an explicit NULL stays.
+    """
+    return df.withColumns({name: expr for name, expr in defaults.items() if name not in df.columns})
 
 
 def count_tables(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -6,10 +6,14 @@ by the query's checkpoint; ``trigger(availableNow=True)`` processes what has
 arrived and stops (a scheduled run), a processing-time trigger keeps waiting.
 
 Each micro-batch is one load run of :mod:`ledgerflow.jobs.incremental_load`
-through ``foreachBatch`` (validate, quarantine, dedupe, upsert, DQ, ledger).
+through ``foreachBatch``: the stream decides which files are new, and the run
+reads those files like a batch feed, so fields are taken by each file's header
+and line breaks in quotes are handled alike. A file is delivered once, so a run
+has no cutoff: rows older than the watermark are loaded too.
 A retried batch is idempotent: its run id is found in the ledger by
-``(landing folder, batch id)``; a batch that already succeeded is skipped,
-otherwise its run id is reused and its partitions are overwritten.
+``(landing folder, streaming query id, batch id)``; a batch that already
+succeeded is skipped, otherwise its run id is reused and its partitions are
+overwritten. A new checkpoint is a new query id, so its batches are new runs.
 """
 
 from __future__ import annotations
@@ -19,12 +23,10 @@ from pyspark.sql import functions as F
 
 from ledgerflow.jobs.incremental_load import LoadConfig, read_ledger, run_load
 from ledgerflow.operators import ledger as L
-from ledgerflow.operators.merge import FILE_BLOCK, FILE_PATH, FILE_ROW
-from ledgerflow.sources.files import string_schema
 
 
-def batch_source(landing: str, batch_id: int) -> str:
-    return f"{landing}#batch={batch_id}"
+def batch_source(landing: str, query_id: str, batch_id: int) -> str:
+    return f"{landing}#query={query_id}&batch={batch_id}"
 
 
 def _run_id_for(spark: SparkSession, cfg: LoadConfig, source: str) -> tuple[int, bool]:
@@ -36,20 +38,12 @@ def _run_id_for(spark: SparkSession, cfg: LoadConfig, source: str) -> tuple[int,
     return L.next_run_id(ledger), False
 
 
-def file_stream(
-    spark: SparkSession, landing: str, columns: list[str], max_files_per_trigger: int | None = None
-) -> DataFrame:
-    """Streaming CSV source over a landing folder, all fields as text,
-    with each row's file path and split offset taken at the scan."""
-    reader = spark.readStream.schema(string_schema(columns)).option("header", True).option("escape", '"')
+def file_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The paths of arriving files (one row per line of a file)."""
+    reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    stream = reader.csv(landing)
-    return stream.select(
-        *columns,
-        F.col("_metadata.file_path").alias(FILE_PATH),
-        F.col("_metadata.file_block_start").alias(FILE_BLOCK),
-    )
+    return reader.load(landing).select(F.col("_metadata.file_path").alias("file"))
 
 
 def start(
@@ -64,16 +58,18 @@ def start(
     """Start the stream; returns the ``StreamingQuery``."""
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        source = batch_source(landing, batch_id)
+        # Structured Streaming names the running query in the batch's local properties.
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        source = batch_source(landing, query_id, batch_id)
         run_id, done = _run_id_for(batch.sparkSession, cfg, source)
         if done:
             return
-        feed = batch.withColumn(FILE_ROW, F.monotonically_increasing_id())
+        files = [r["file"] for r in batch.distinct().orderBy("file").collect()]  # the batch's files
         batch_cfg = LoadConfig(**{**cfg.__dict__, "source_path": source})
-        run_load(batch.sparkSession, batch_cfg, feed=feed, run_id=run_id)
+        run_load(batch.sparkSession, batch_cfg, run_id=run_id, files=files, use_cutoff=False)
 
     writer = (
-        file_stream(spark, landing, cfg.feed_columns, max_files_per_trigger)
+        file_stream(spark, landing, max_files_per_trigger)
         .writeStream.foreachBatch(each_batch)
         .option("checkpointLocation", checkpoint)
     )

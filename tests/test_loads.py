@@ -106,27 +106,6 @@ def test_p10_customer_dimension(spark, workdir, tmp_path):
     assert (dim[105].first_name, dim[105].last_name) == ("Last", "Wins")
 
 
-def test_p10_compacted_ledger(spark, workdir, tmp_path):
-    from ledgerflow.schemas import ETL_RUNS
-    from ledgerflow.sources.bucketed import bucket_versions
-
-    CD.seed_staging(spark, workdir)
-    feed = tmp_path / "c2.csv"
-    feed.write_text("customer_id,full_name,email\n101,Aarav Shrestha,changed@example.com\n105,Last Wins,z@z\n")
-    CD.run(spark, workdir, os.path.join(DATA, "customers.csv"), now=dt.datetime(2026, 1, 1), compact_every=1)
-    CD.run(spark, workdir, str(feed), now=dt.datetime(2026, 2, 1), compact_every=1)
-    runs = os.path.join(workdir, "dim_runs")
-    ledger = spark.read.schema(ETL_RUNS).parquet(runs)
-    retired = {r.file for r in spark.read.parquet(os.path.join(workdir, "dim_runs_retired")).collect()}
-    remaining = [f for f in ledger.inputFiles() if f not in retired]
-    assert len(remaining) == 1
-    only = spark.read.schema(ETL_RUNS).parquet(*remaining)
-    assert sorted(bucket_versions(spark, only).collect()) == sorted(bucket_versions(spark, ledger).collect())
-    dim = {r.customer_id: r for r in CD.current_dimension(spark, workdir).collect()}
-    assert len(dim) == 5 and dim[101].email == "changed@example.com"
-    assert dim[101].created_at == dt.datetime(2026, 1, 1)
-
-
 def test_p10_missing_column(spark, workdir, tmp_path):
     feed = tmp_path / "bad.csv"
     feed.write_text("customer_id,full_name\n1,X Y\n")
@@ -146,45 +125,73 @@ def test_p9_preview(spark, workdir):
     assert first.count() == 10
 
 
-def test_superseded_versions(spark, workdir, tmp_path):
-    from ledgerflow.sources.bucketed import superseded_versions
+def test_p9_second_run_adds_only_its_rows(spark, workdir, tmp_path):
+    """200 keys, then 5 of them again: 200 distinct rows, and DQ counts the whole table."""
+    from ledgerflow.jobs.incremental_load import visible_table
+    from ledgerflow.schemas import DQ_RESULTS
+
+    header = "txn_id,account_id,ts_event,amount,currency,channel\n"
+    first, second = tmp_path / "f1.csv", tmp_path / "f2.csv"
+    row = "K{0},1,2026-01-01T10:00:00Z,{1},NPR,pos\n"
+    first.write_text(header + "".join(row.format(i, 10) for i in range(200)))
+    second.write_text(header + "".join(row.format(i, 99) for i in range(5)))
+    for f in (first, second):
+        TL.run(spark, workdir, str(f))
+    clean = TL.clean_transactions(spark, workdir).collect()
+    assert len(clean) == len({r.txn_id for r in clean}) == 200
+    assert sorted(r.txn_id for r in clean if r.last_run_id == 2) == [f"K{i}" for i in range(5)]
+    assert {float(r.amount) for r in clean if r.last_run_id == 2} == {99.0}
+    written = spark.read.parquet(os.path.join(workdir, "clean")).groupBy("run_id").count().collect()
+    assert {r.run_id: r["count"] for r in written} == {1: 200, 2: 5}
+    dq = visible_table(spark, TL.transactions_config(workdir, ""), "dq", DQ_RESULTS)
+    details = {r.run_id: r.details for r in dq.where("check_name = 'no_duplicates_in_clean_transactions'").collect()}
+    assert details == {1: "Total rows: 200, Distinct txn_id: 200", 2: "Total rows: 200, Distinct txn_id: 200"}
+
+
+def test_rewrite_stores_the_current_rows(spark, workdir):
+    from ledgerflow.sources.runs import rewrite
 
     TL.run(spark, workdir, FEED)
-    r2 = TL.run(spark, workdir, FEED)
-    ledger = read_ledger(spark, TL.transactions_config(workdir, FEED))
-    old = {(x.bucket, x.run_id) for x in superseded_versions(spark, ledger).collect()}
-    assert old == {(b, 1) for b in r2.touched_buckets}
-    assert superseded_versions(spark, ledger, keep_runs=1).count() == len(r2.touched_buckets)
-    assert superseded_versions(spark, ledger, keep_runs=2).count() == 0
+    clean = TL.clean_transactions(spark, workdir)
+    rewrite(clean, os.path.join(workdir, "clean_plain"))
+    plain = spark.read.parquet(os.path.join(workdir, "clean_plain"))
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, clean.collect()))
 
 
-def test_ledger_compaction_keeps_state_and_retires_files(spark, workdir):
+def test_p9_message_is_kept_whole(spark, workdir, tmp_path):
+    with pytest.raises(Exception):
+        TL.run(spark, workdir, str(tmp_path / ("x" * 100) / "absent.csv"))
+    run = L.current_runs(read_ledger(spark, TL.transactions_config(workdir, ""))).first()
+    assert run.status == "failed" and "absent.csv" in run.message
+    assert run.started_at <= run.finished_at
+
+
+def test_p9_headers_by_name_and_quoted_line_breaks(spark, workdir, tmp_path):
     import dataclasses
 
     from ledgerflow.jobs.incremental_load import run_load
-    from ledgerflow.schemas import ETL_RUNS
-    from ledgerflow.sources.bucketed import bucket_versions
-
-    cfg = dataclasses.replace(TL.transactions_config(workdir, FEED), compact_every=2)
-    run_load(spark, cfg)
-    assert not os.path.exists(cfg.path("etl_runs_retired"))
-    run_load(spark, cfg)  # run 2: compacted after its commit
-    ledger = read_ledger(spark, cfg)
-    retired = {r.file for r in spark.read.parquet(cfg.path("etl_runs_retired")).collect()}
-    assert len(retired) >= 4  # at least one file per event of runs 1 and 2
-    remaining = [f for f in ledger.inputFiles() if f not in retired]
-    assert len(remaining) == 1  # the compacted file alone
-
-    # What readers see is unchanged when the retired files are gone.
-    only = spark.read.schema(ETL_RUNS).parquet(*remaining)
-
-    def runs(df):
-        return sorted(tuple(r) for r in L.current_runs(df).collect())
-
-    assert runs(only) == runs(ledger) and len(runs(only)) == 2
-    assert L.ledger_state(only) == L.ledger_state(ledger) == (3, dt.datetime(2026, 1, 5, 4, 20))
-    assert sorted(bucket_versions(spark, only).collect()) == sorted(bucket_versions(spark, ledger).collect())
-
-    # Later runs keep working on the compacted ledger.
-    r3 = run_load(spark, cfg)
-    assert r3.run_id == 3 and r3.rows_loaded == 1 and TL.clean_transactions(spark, workdir).count() == 11
+
+    feed = tmp_path / "feed"
+    feed.mkdir()
+    (feed / "a.csv").write_text("account_id,txn_id,channel,currency,amount,ts_event\n42,A1,pos,NPR,9,2026-01-01T10:00:00Z\n")
+    (feed / "b.csv").write_text('txn_id,account_id,ts_event,amount,currency,channel,note\nA2,7,2026-01-01T10:00:00Z,5,NPR,"web","two\nlines"\n')
+    (feed / "c.csv").write_text("txn_id,account_id\nA3,7\n")
+    (feed / "d.csv").write_text("")
+    cfg = dataclasses.replace(TL.transactions_config(workdir, str(feed)), multi_line=True)
+    r = run_load(spark, cfg)
+    assert (r.rows_read, r.rows_loaded, r.bad_rows) == (3, 2, 1)
+    got = {x.txn_id: (x.account_id, float(x.amount), x.channel) for x in TL.clean_transactions(spark, workdir).collect()}
+    assert got == {"A1": (42, 9.0, "pos"), "A2": (7, 5.0, "web")}
+
+
+def test_p10_rejects_are_kept_and_counted(spark, workdir, tmp_path):
+    feed = tmp_path / "c.csv"
+    feed.write_text("customer_id,full_name,email\nabc,X Y,a@b\n7.0,Z,c@d\n5,Aarav\u00a0Shrestha, e@f \n", encoding="utf-8")
+    counts = {r.table_name: r.rows for r in CD.run(spark, workdir, str(feed)).collect()}
+    assert counts == {"staging_customers": 1, "dim_customer": 1}
+    r = CD.current_dimension(spark, workdir).first()
+    assert (r.first_name, r.last_name) == ("Aarav", "Shrestha")
+    errors = sorted(x.error for x in CD.rejected_rows(spark, workdir).collect())
+    assert errors == ["validation error: invalid customer_id: 7.0", "validation error: invalid customer_id: abc"]
+    run = L.current_runs(spark.read.parquet(os.path.join(workdir, "dim_runs"))).first()
+    assert (run.rows_read, run.rows_loaded, run.bad_rows) == (3, 1, 2)

@@ -78,50 +78,3 @@ def test_good_plus_bad_equals_read(spark, rows):
     for r in good_rows(v).collect():
         assert r.txn_id and r.account_id is not None and r.amount is not None and r.amount >= 0
         assert r.currency == "NPR" and r.channel in ("pos", "web", "mobile") and r.ts_event is not None
-
-
-ledger_events = st.lists(
-    st.tuples(
-        st.integers(1, 4),  # run id
-        st.integers(1, 2),  # event sequence
-        st.integers(0, 5),  # minutes after a fixed start
-        st.sampled_from(["running", "success", "failed"]),
-        st.lists(st.integers(0, 3), max_size=3, unique=True),  # touched buckets
-        st.integers(0, 3),  # watermark hour
-    ),
-    max_size=10,
-    unique_by=lambda e: (e[0], e[1], e[2]),  # a run never logs two events at the same instant
-)
-
-
-@SETTINGS
-@given(events=ledger_events)
-def test_compacted_ledger_reads_the_same(spark, events):
-    """Readers of the ledger see the same state from the events alone, from
-    the events plus their compacted rows, and from the compacted rows alone."""
-    import datetime as dt
-
-    from ledgerflow.operators.ledger import current_runs, ledger_state
-    from ledgerflow.schemas import ETL_RUNS
-    from ledgerflow.sources.bucketed import bucket_versions
-
-    start = dt.datetime(2026, 1, 1)
-    rows = [
-        (r, s, start + dt.timedelta(minutes=m), status, "feed", 0, 0, 0, None,
-         start + dt.timedelta(hours=h) if status == "success" else None,
-         buckets if status == "success" else None)
-        for r, s, m, status, buckets, h in events
-    ]
-    ledger = spark.createDataFrame(rows, ETL_RUNS)
-    compacted = current_runs(ledger).select(*ETL_RUNS.fieldNames())
-    both = ledger.unionByName(compacted)
-
-    def runs(df):
-        return sorted(tuple(r) for r in current_runs(df).collect())
-
-    def versions(df):
-        return sorted(tuple(r) for r in bucket_versions(spark, df).collect())
-
-    assert runs(both) == runs(ledger) == runs(compacted)
-    assert ledger_state(both) == ledger_state(ledger) == ledger_state(compacted)
-    assert versions(both) == versions(ledger) == versions(compacted)

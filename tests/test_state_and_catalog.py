@@ -31,7 +31,7 @@ def test_with_defaults(spark):
     df = spark.createDataFrame([("a", None)], "k string, currency string")
     out = TB.with_defaults(df, {"currency": F.lit("NPR"), "tags": F.array().cast("array<string>")})
     r = out.first()
-    assert r.currency == "NPR" and r.tags == []
+    assert r.currency is None and r.tags == []  # an explicit NULL stays
 
 
 def test_watermark_state(spark):
@@ -158,56 +158,23 @@ def test_ledger_retry_supersedes_failed_attempt(spark):
     assert L.current_runs(ledger).first().status == "success"
 
 
-def test_superseded_lists_failed_and_abandoned_runs(spark):
-    from ledgerflow.sources.bucketed import superseded_versions
+def test_read_or_empty_hides_no_other_error(spark, workdir):
+    import os
 
-    t0 = dt.datetime(2026, 1, 1, tzinfo=dt.timezone.utc)
-    m = lambda i: t0 + dt.timedelta(minutes=i)
-    ev = [
-        L.run_event(spark, 1, 1, L.RUNNING, "f", at=m(0)), L.run_event(spark, 1, 2, L.SUCCESS, "f", touched_buckets=[0, 1], at=m(1)),
-        L.run_event(spark, 2, 1, L.RUNNING, "f", at=m(2)), L.run_event(spark, 2, 2, L.FAILED, "f", at=m(3)),
-        L.run_event(spark, 3, 1, L.RUNNING, "f", at=m(4)),  # crashed writer
-        L.run_event(spark, 4, 1, L.RUNNING, "f", at=m(5)), L.run_event(spark, 4, 2, L.SUCCESS, "f", touched_buckets=[1], at=m(6)),
-        L.run_event(spark, 5, 1, L.RUNNING, "f", at=m(7)),  # in flight, newest
-    ]
-    ledger = ev[0]
-    for e in ev[1:]:
-        ledger = ledger.unionByName(e)
-    got = {(r.bucket, r.run_id) for r in superseded_versions(spark, ledger).collect()}
-    assert got == {(1, 1), (None, 2), (None, 3)}
-
-
-def test_read_current_lists_only_the_wanted_buckets(spark, workdir):
-    from ledgerflow.sources import bucketed as B
-
-    df = spark.range(200).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v"))
-    path = f"{workdir}/store"
-    keyed = df.withColumn(B.BUCKET, B.bucket_of("k", 8))
-    B.write_version(keyed.where("bucket < 4").withColumn(B.RUN, F.lit(1).cast("bigint")), path)
-    B.write_version(keyed.where("bucket < 2").withColumn(B.RUN, F.lit(2).cast("bigint")), path)
-    versions = spark.createDataFrame([(0, 2), (1, 2), (2, 1), (3, 1)], "bucket int, run_id bigint")
-
-    # Buckets 1 and 3 hold versions; bucket 6 was never written.
-    got = B.read_current(spark, path, df.schema, versions, [1, 3, 6])
-    assert {f.split("/bucket=")[1].split("/")[0] for f in got.inputFiles()} == {"1", "3"}
-    want = keyed.where("bucket in (1, 3)").select("k", "v", "bucket")
-    assert sorted(got.select("k", "v", "bucket").collect()) == sorted(want.collect())
-    assert got.where("(bucket = 1 and run_id = 2) or (bucket = 3 and run_id = 1)").count() == got.count()
-
-    assert B.read_current(spark, path, df.schema, versions, [6]).count() == 0
-    assert B.read_current(spark, f"{workdir}/absent", df.schema, versions, [1]).count() == 0
-    everything = B.read_current(spark, path, df.schema, versions)
-    assert everything.count() == keyed.where("bucket < 4").count()
-
-
-def test_compaction_failure_after_commit_only_warns(spark, workdir):
-    path = f"{workdir}/runs"
-    for run in (1, 2):
-        L.run_event(spark, run, 1, L.SUCCESS, "feed").write.mode("append").parquet(path)
-    blocker = f"{workdir}/retired"
-    open(blocker, "w").close()  # a plain file where the retired list should go: the write fails
-    with pytest.warns(RuntimeWarning, match="compaction failed"):
-        assert L.compact_after_commit(spark, path, blocker) == 0
-    ledger = spark.read.schema(ETL_RUNS).parquet(path)
-    assert sorted(r.run_id for r in L.current_runs(ledger).collect()) == [1, 2]
-    assert L.ledger_state(ledger)[0] == 3
+    from pyspark.errors import AnalysisException
+
+    with open(os.path.join(workdir, "table"), "w") as f:
+        f.write("x")
+    for bad in ("nosuchfs://x/y",):
+        with pytest.raises(Exception) as e:
+            TB.read_or_empty(spark, bad, ETL_RUNS).count()
+        assert not isinstance(e.value, AnalysisException) or e.value.getCondition() != "PATH_NOT_FOUND"
+
+
+def test_sort_total_gives_the_order(spark):
+    from ledgerflow.operators import relational as R
+
+    rows = [(2, "b", 1.0), (1, None, 2.0), (1, "a", None), (None, "z", 0.0), (1, "a", 3.0)]
+    df = spark.createDataFrame(rows, "k int, name string, v double").repartition(4)
+    got = [tuple(r) for r in R.sort_total(df, [R.asc("k"), R.asc("name"), R.desc("v")]).collect()]
+    assert got == [(1, "a", None), (1, "a", 3.0), (1, None, 2.0), (2, "b", 1.0), (None, "z", 0.0)]

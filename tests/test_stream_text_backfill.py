@@ -49,6 +49,28 @@ def test_p12_rewrite_lines(spark, workdir):
     assert got == ["hello_airflow hello", "no match", "say hello_airflow"]
 
 
+def test_p11_older_rows_in_a_later_file_are_loaded(spark, workdir):
+    landing = os.path.join(workdir, "landing")
+    os.makedirs(landing)
+    header = "txn_id,account_id,ts_event,amount,currency,channel\n"
+    cfg = TL.transactions_config(os.path.join(workdir, "t"), landing)
+    with open(os.path.join(landing, "new.csv"), "w") as f:
+        f.write(header + "N1,1,2026-02-20T10:00:00Z,10,NPR,pos\n")
+    file_load.run_available(spark, cfg, landing, os.path.join(workdir, "ck"))
+    with open(os.path.join(landing, "old.csv"), "w") as f:
+        f.write("amount,txn_id,account_id,ts_event,currency,channel\n7,O1,2,2026-01-01T10:00:00Z,NPR,web\n")
+    file_load.run_available(spark, cfg, landing, os.path.join(workdir, "ck"))
+    got = {r.txn_id: float(r.amount) for r in TL.clean_transactions(spark, cfg.root).collect()}
+    assert got == {"N1": 10.0, "O1": 7.0}
+    runs = L.current_runs(read_ledger(spark, cfg)).orderBy("run_id").collect()
+    assert [str(r.watermark)[:10] for r in runs] == ["2026-02-20", "2026-02-20"]  # never moves back
+    # a new checkpoint is a new query: its batch 0 is not taken for the first one's
+    with open(os.path.join(landing, "third.csv"), "w") as f:
+        f.write(header + "T1,1,2026-02-21T10:00:00Z,3,NPR,pos\n")
+    file_load.run_available(spark, cfg, landing, os.path.join(workdir, "ck2"))
+    assert TL.clean_transactions(spark, cfg.root).count() == 3
+
+
 def test_p13_backfill(spark, workdir):
     ts = ["2024-01-05 10:00:00", "2024-01-06 12:00:00", "2024-01-08 08:59:59", "2024-01-08 09:00:00",
           "2024-01-09 23:00:00"]
