@@ -47,7 +47,7 @@ def summarise(plan: str) -> dict[str, str]:
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    import __spark_entry__ as E
+    from ledgerflow.plans.keys import QUERIES
     from ledgerflow.session import build_session
 
     spark = build_session("local[8]", shuffle_partitions=8, extra={"spark.ui.showConsoleProgress": "false"})
@@ -59,7 +59,7 @@ def main() -> None:
     print("tables (stream_load, incremental_load, backfill_intervals) show only their final read.\n")
     print("| query | " + " | ".join(cols) + " |")
     print("|---" * (len(cols) + 1) + "|")
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         s = summarise(plan_text(fn(spark, sf_dir)))
         print(f"| {name} | " + " | ".join(s[c].replace("|", "/") for c in cols) + " |")
     spark.stop()
