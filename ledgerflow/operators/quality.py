@@ -351,6 +351,35 @@ def foreign_key_report(
     )
 
 
+def keys_report(
+    child: DataFrame, child_table: str, child_keys: Sequence[str], fk: str, parent: DataFrame, parent_table: str, pk: str
+) -> DataFrame:
+    """K2 of two tables and K3 between them, each table scanned once.
+
+    ``fk`` is one of ``child_keys``. Child rows are counted per key and then per
+    ``fk``, parents per ``pk``, all with a map-side partial step, so both sides of
+    the full outer join have every key once and no key is hot. Three report rows.
+    """
+    per_key = child.groupBy(*child_keys).agg(F.count(F.lit(1)).alias("_n"))
+    per_fk = per_key.groupBy(F.col(fk).alias("_k")).agg(
+        F.sum("_n").alias("_rows"), F.count_if(F.col("_n") > 1).alias("_dups")
+    )
+    parents = parent.groupBy(F.col(pk).alias("_p")).agg(F.count(F.lit(1)).alias("_pn"))
+    both = per_fk.join(parents, F.col("_k") == F.col("_p"), "full_outer")
+    orphan = F.col("_k").isNotNull() & F.col("_pn").isNull()
+    totals = both.agg(
+        F.count_if(F.col("_pn") > 1).alias("_parent"),
+        F.coalesce(F.sum("_dups"), F.lit(0)).alias("_child"),
+        F.coalesce(F.sum(F.when(orphan, F.col("_rows"))), F.lit(0)).alias("_orphans"),
+    )
+    rows = [
+        _report_row(parent_table, "unique", pk, F.col("_parent")),
+        _report_row(child_table, "unique", ",".join(child_keys), F.col("_child")),
+        _report_row(child_table, "foreign_key", fk, F.col("_orphans")),
+    ]
+    return totals.select(F.inline(F.array(*[F.struct(*[x.alias(n) for x, n in zip(r, REPORT_COLUMNS)]) for r in rows])))
+
+
 def domain_report(df: DataFrame, table: str, column: str, allowed: Sequence[str]) -> DataFrame:
     """K4: values outside the allowed set (NULL passes, as in a CHECK)."""
     c = F.col(column)

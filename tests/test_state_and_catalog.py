@@ -92,6 +92,21 @@ def test_constraint_reports(spark):
     }
 
 
+def test_keys_report_equals_the_single_reports(spark):
+    parent = spark.createDataFrame([(1,), (2,), (2,), (None,), (None,), (7,)], "id int")
+    child = spark.createDataFrame(
+        [(1, 1), (1, 1), (2, 1), (2, 2), (3, 1), (3, 1), (3, 2), (None, 1), (None, 1), (4, None)], "fk int, line int"
+    )
+    got = Q.keys_report(child, "c", ["fk", "line"], "fk", parent, "p", "id").collect()
+    single = Q.violations_report(
+        Q.unique_report(parent, "p", ["id"]), Q.unique_report(child, "c", ["fk", "line"]),
+        Q.foreign_key_report(child, "c", "fk", parent, "id"),
+    )
+    assert sorted(map(tuple, got)) == sorted(map(tuple, single.collect()))
+    empty = Q.keys_report(child.limit(0), "c", ["fk", "line"], "fk", parent.limit(0), "p", "id")
+    assert [r.violations for r in empty.collect()] == [0, 0, 0]
+
+
 def test_stream_dedupe_within_watermark(spark, workdir):
     """The append-only alternative: repeated ids inside the watermark are dropped."""
     import os
