@@ -28,9 +28,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows and bytes that a Python worker gets at a time; texts are long.
+BATCH_ROWS, BATCH_BYTES = 1000, 32 << 20
+
+
 def prepare(spark: SparkSession) -> None:
-    """Make sure that the session has a shared folder (a local one only in tests)."""
+    """Shared folder (a local one only in tests) and small Arrow batches for the session."""
     ensure_checkpoint_dir(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def fold(doc_id: Column, n: int) -> Column:
@@ -43,6 +49,11 @@ def text_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
+def bounded(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` with a broadcast hint if its counted rows stay under the bound, else as it is."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def one_label(labels: DataFrame, name: str) -> DataFrame:
     """One row (doc_id, label) per labelled document; repeated label rows: the smallest label."""
     return (

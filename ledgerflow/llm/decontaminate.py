@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import bounded, materialize
 
 #: Words of a decontamination text after lower-casing A-Z (fixed value of the contract).
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -55,11 +55,6 @@ def _shingle_at(words: Column, pos: Column, n: int) -> Column:
     )
 
 
-def _bounded(df: DataFrame) -> DataFrame:
-    """``df`` with a broadcast hint if its counted rows stay under the bound."""
-    return F.broadcast(df) if df.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS else df
-
-
 def windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Distinct windows: win (hash), win_words, n (its words)."""
     items = benchmark.select(words(F.col("text")).alias("w")).where(F.size("w") > 0)
@@ -102,7 +97,7 @@ def occurrences(docs: DataFrame, wins: DataFrame) -> DataFrame:
             "win", "win_words", "n", F.explode(F.sequence(F.lit(0), F.col("n") - k)).alias("offset")
         ).withColumn("key", _shingle_at(F.col("win_words"), F.col("offset"), k))
         keys = materialize(places.select("key").distinct(), "benchmark-shingles")
-        seen = _exploded(docs, k).select("key").join(_bounded(keys), "key").groupBy("key").agg(F.count("*").alias("seen"))
+        seen = _exploded(docs, k).select("key").join(bounded(keys, BROADCAST_KEYS), "key").groupBy("key").agg(F.count("*").alias("seen"))
         ranked = places.join(seen, "key", "left").select(
             "*", F.struct(F.coalesce("seen", F.lit(0)).alias("seen"), "offset", "key").alias("rank")
         )
@@ -114,7 +109,7 @@ def occurrences(docs: DataFrame, wins: DataFrame) -> DataFrame:
         )
         start = F.col("pos") - F.col("offset")
         hits = (
-            _exploded(docs, k).join(_bounded(probes), "key")
+            _exploded(docs, k).join(bounded(probes, BROADCAST_KEYS), "key")
             .where((start >= 0) & (start + F.col("n") <= F.size("words")))
             .where(F.slice("words", start + 1, F.col("n")) == F.col("win_words"))
             .select("doc_id", "text_key", start.alias("at"), "n", "win")

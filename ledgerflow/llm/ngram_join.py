@@ -95,9 +95,22 @@ def spare(n: np.ndarray | int) -> np.ndarray | int:
     return (6 * n + 99) // 100
 
 
+def _regroup(batches: Iterator[pd.DataFrame], rows: int = 4_000) -> Iterator[pd.DataFrame]:
+    """The same rows in frames of about ``rows``, whatever the size of Arrow's batches."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            held.append(batch.iloc[at : at + rows])
+            if sum(map(len, held)) >= rows:
+                yield pd.concat(held, ignore_index=True)
+                held = []
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows (doc_id, sid, n, tkey) of documents; rows (token, seen) of shingles frequent in the batch."""
-    for batch in batches:
+    for batch in _regroup(batches):
         own, ids, sizes, at = [], [], [], {}
         for text in batch["text"]:
             tokens = shingles(text)
@@ -110,23 +123,16 @@ def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"doc_id": batch["doc_id"], "sid": ids, "n": sizes, "tkey": batch["tkey"], "token": None, "seen": None}).astype({"token": "Int64", "seen": "Int64"})
         if own:
             token, seen = np.unique(np.concatenate(own), return_counts=True)
-            much = seen >= max(16, len(batch) // FREQUENT)
+            much = seen >= max(8, len(batch) // FREQUENT)
             if much.any():
                 yield pd.DataFrame({"doc_id": None, "sid": None, "n": None, "tkey": None, "token": token[much].view(np.int64), "seen": seen[much]}).astype({"doc_id": "Int64", "sid": "Int64", "n": "Int64", "tkey": "Int64"})
 
 
-def _slices(batches: Iterator[pd.DataFrame], rows: int = 2_000) -> Iterator[pd.DataFrame]:
-    """The same rows in smaller frames, which bounds the memory of a Python worker."""
-    for batch in batches:
-        for at in range(0, len(batch), rows):
-            yield batch.iloc[at : at + rows]
-
-
 def _prefixes(long: np.ndarray, seen: np.ndarray, buckets: int):
     """Prefix postings of each batch: (bucket, payload) for short lists, (sid, token, df) for long ones."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in _slices(batches):
+        for batch in _regroup(batches):
             known, toks, sids, far, far_sid = set(), [], [], [], []
             for text in batch["text"]:
                 tokens = shingles(text)
@@ -148,7 +154,7 @@ def _prefixes(long: np.ndarray, seen: np.ndarray, buckets: int):
                     short = tokens[:keep]
                 toks.append(short)
                 sids.append(np.full(len(short), sid, dtype=np.int64))
-            if toks:
+            if sum(map(len, toks)):
                 token, sid = np.concatenate(toks), np.concatenate(sids)
                 bucket = ((token >> U(32)) * U(buckets) >> U(32)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
