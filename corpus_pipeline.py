@@ -12,26 +12,31 @@ from ledgerflow.llm.common import prepare, read, scratch_path
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line labels and base rules keep."""
+    prepare(spark)
     return quality_rules.keep_content(docs, read(spark, sf_dir, "labels"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked documents, the one with the smallest doc_id."""
+    prepare(spark)
     return ngram_join.keep_one(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by the benchmark."""
+    prepare(spark)
     return decontaminate.drop_contaminated(docs, read(spark, sf_dir, "benchmark"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The words of the documents that the mix takes, a row per document and turn."""
+    prepare(spark)
     return mix.mixed_documents(docs)
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows with their size, shard and slot."""
+    prepare(spark)
     return histogram_sort.shard(docs)
 
 
