@@ -38,15 +38,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, one_label, text_words
+from .common import bounded, materialize, one_label, text_words
 
 MU = 20.0
 FREQUENT = 50_000
 #: One document of so many takes part in the search for frequent items.
 SEARCH_PART = 16
 #: Documents of a slice, and bigram occurrences of a bucket.
-SLICE = 4_000
+SLICE = 2_000
 BUCKET = 2_000_000
+#: Parts in which a bucket is worked off, and room for the documents of a slice.
+PARTS = 8
+WIDTH = 1 << 15
 #: Largest number of target ids that is broadcast; above, documents are shuffled to them.
 BROADCAST_IDS = 1_000_000
 SMALLEST = 1024
@@ -58,9 +61,16 @@ WORD, PAIR, SMALL = 1, 2, 3
 
 
 def _slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The same rows in frames of about SLICE, whatever the size of Arrow's batches."""
+    held: list[pd.DataFrame] = []
     for batch in batches:
         for at in range(0, len(batch), SLICE):
-            yield batch.iloc[at : at + SLICE]
+            held.append(batch.iloc[at : at + SLICE])
+            if sum(map(len, held)) >= SLICE:
+                yield pd.concat(held, ignore_index=True)
+                held = []
+    if held:
+        yield pd.concat(held, ignore_index=True)
 
 
 def tokens(texts: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -218,6 +228,32 @@ def _deal(known: Known, buckets: int):
     return run
 
 
+def _part(known: Known, keys: np.ndarray, number: np.ndarray, payload: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Documents (payload * WIDTH + number) and their losses over all occurrences of some contexts."""
+    if not len(keys):
+        return np.zeros(0, np.int64), np.zeros((2, 0))
+    good = number >> np.uint16(15) > 0
+    names, back = np.unique(keys, return_inverse=True)
+    seen = np.stack([np.bincount(back, minlength=len(names)), np.bincount(back[good], minlength=len(names))]).astype(float)
+    head = names >> U(32)
+    at, frequent = locate(known.low, head)
+    _, group = np.unique(head, return_inverse=True)
+    context = np.stack([np.bincount(group, weights=row)[group] for row in seen])
+    if frequent.any():
+        context[:, frequent] = known.context_n[:, known.low_at[at[frequent]]]
+    # each document's own occurrences of a bigram and of a context are taken off
+    doc = payload.astype(np.int64) * WIDTH + (number & np.uint16(WIDTH - 1))
+    docs, doc = np.unique(doc, return_inverse=True)
+    each, first, own = np.unique(back.astype(np.int64) * len(docs) + doc, return_index=True, return_counts=True)
+    name, doc, good = each // len(docs), each % len(docs), good[first]
+    _, same = np.unique(group[name].astype(np.int64) * len(docs) + doc, return_inverse=True)
+    own_context = np.bincount(same, weights=own)[same]
+    own_context[frequent[name]] = 0
+    flag = np.stack([np.ones(len(good)), good])
+    loss = known.loss(names[name], seen[:, name] - own * flag, context[:, name] - own_context * flag) * own
+    return docs, np.stack([np.bincount(doc, weights=row, minlength=len(docs)) for row in loss])
+
+
 def _losses(known: Known):
     """Per slice: sums of losses by document over the bucket's occurrences."""
 
@@ -229,35 +265,18 @@ def _losses(known: Known):
             sizes = [len(p) // 10 for p in rows["payload"]]
             keys = np.concatenate([np.frombuffer(p, np.uint64, n) for p, n in zip(rows["payload"], sizes, strict=True)])
             number = np.concatenate([np.frombuffer(p, np.uint16, n, 8 * n) for p, n in zip(rows["payload"], sizes, strict=True)])
-            good = number >> np.uint16(15) > 0
-            names, back = np.unique(keys, return_inverse=True)
-            back = back.astype(np.int64)
-            seen = np.stack([np.bincount(back, minlength=len(names)), np.bincount(back[good], minlength=len(names))]).astype(float)
-            head = names >> U(32)
-            at, frequent = locate(known.low, head)
-            _, group = np.unique(head, return_inverse=True)
-            context = np.stack([np.bincount(group, weights=row)[group] for row in seen])
-            if frequent.any():
-                context[:, frequent] = known.context_n[:, known.low_at[at[frequent]]]
-            # each document's own occurrences of a bigram and of a context are taken off
-            doc = np.repeat(np.arange(len(sizes)), sizes) * 32768 + (number & np.uint16(0x7FFF)).astype(np.int64)
-            width = len(sizes) * 32768
-            each, first, own = np.unique(back * width + doc, return_index=True, return_counts=True)
-            name, doc, good = each // width, each % width, good[first]
-            _, same = np.unique(group[name] * width + doc, return_inverse=True)
-            own_context = np.bincount(same, weights=own)[same]
-            own_context[frequent[name]] = 0
-            flag = np.stack([np.ones(len(good)), good])
-            loss = known.loss(names[name], seen[:, name] - own * flag, context[:, name] - own_context * flag) * own
-            part = doc // 32768
-            order = np.argsort(part, kind="stable")
-            doc, loss = (doc % 32768)[order], loss[:, order]
-            cuts = np.searchsorted(part[order], np.arange(len(sizes) + 1))
-            sums = []
-            for start, end in zip(cuts[:-1], cuts[1:], strict=True):
-                which, at = np.unique(doc[start:end], return_inverse=True)
-                total = np.stack([np.bincount(at, weights=row[start:end], minlength=len(which)) for row in loss])
-                sums.append(which.astype(np.uint16).tobytes() + total.astype(np.float32).tobytes())
+            payload = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+            # contexts are independent, so a bucket is worked off in parts of them
+            part = ((keys >> U(32)) * U(0x9E3779B97F4A7C15) >> U(40)) % U(PARTS)
+            done = [_part(known, keys[m], number[m], payload[m]) for m in (part == U(k) for k in range(PARTS))]
+            doc, loss = np.concatenate([d for d, _ in done]), np.concatenate([x for _, x in done], axis=1)
+            doc, at = np.unique(doc, return_inverse=True)
+            loss = np.stack([np.bincount(at, weights=row, minlength=len(doc)) for row in loss]).astype(np.float32)
+            cuts = np.searchsorted(doc // WIDTH, np.arange(len(sizes) + 1))
+            sums = [
+                (doc[start:end] % WIDTH).astype(np.uint16).tobytes() + loss[:, start:end].tobytes()
+                for start, end in zip(cuts[:-1], cuts[1:], strict=True)
+            ]
             out.append(pd.DataFrame({"slice": rows["slice"], "docs": None, "sums": sums}))
         return pd.concat(out)
 
@@ -281,9 +300,7 @@ def _gather(rows: pd.DataFrame) -> pd.DataFrame:
 def score(docs: DataFrame, target: DataFrame) -> DataFrame:
     """Score all ``docs`` (doc_id, text) against the documents whose ids are in ``target``."""
     ids = target.select("doc_id").where("doc_id IS NOT NULL").distinct().withColumn("target", F.lit(True))
-    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    marked = docs.select("doc_id", "text").join(ids, "doc_id", "left").select("doc_id", "text", F.coalesce("target", F.lit(False)).alias("target"))
+    marked = docs.select("doc_id", "text").join(bounded(ids, BROADCAST_IDS), "doc_id", "left").select("doc_id", "text", F.coalesce("target", F.lit(False)).alias("target"))
 
     part = docs.select("text").where(F.pmod(F.xxhash64("text"), F.lit(SEARCH_PART)) == 0)
     found = part.mapInPandas(_find, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
