@@ -4,9 +4,9 @@ Texts are folded first: compatibility forms, accents, look-alike letters of othe
 scripts and digits or signs used as letters become plain Latin letters (l, i, 1
 and their like are one letter), everything else separates words. The lexicon is
 learned from labelled documents: terms are whole words and word beginnings
-(:data:`STEMS` letters), counted once per document and class with partial sums
-over all labelled rows; terms mostly found in toxic documents stay, weighted by
-their log odds. Phrases of a term and a neighbouring word that occur mostly in
+(:data:`STEMS` letters), counted by the distinct words of a document that they
+match, with partial sums over all labelled rows of a class; terms mostly found in
+toxic documents stay, weighted by their log odds. Phrases of a term and a neighbouring word that occur mostly in
 harmless documents become exceptions, which cancel the hits inside them.
 
 A text's hits are the words matched by some term (the heaviest one counts) outside
@@ -32,19 +32,23 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import one_label
+from .common import bounded, one_label
 
 #: Lengths of word beginnings that can be terms.
 STEMS = (4, 5, 6, 7, 8)
-#: A term needs so many toxic documents, such a share of toxic among its documents
-#: (both classes weighted alike) and such a log-likelihood ratio against chance.
-MIN_DOCS, MIN_PRECISION, MIN_RATIO = 5, 0.75, 30.0
+#: A term needs so many toxic documents, such a share of toxic documents' words among
+#: its words (both classes weighted alike) and such a log-likelihood ratio against chance.
+MIN_DOCS, MIN_PRECISION, MIN_RATIO = 3, 0.9, 30.0
 #: An exception phrase needs so many harmless documents and such a share of them.
 MIN_HARMLESS, EXCEPTION_SHARE = 3, 0.9
 #: Size of the model: terms, and exception phrases, of the largest weight.
 MAX_TERMS = 20_000
 FIT_ROWS = 20_000
+#: Most labels that are broadcast (about 16 bytes each); above, documents are shuffled to them.
+BROADCAST_LABELS = 1_000_000
 MAX_WEIGHT = 6.0
+#: Terms that a task counts before it passes the counts on.
+HELD = 400_000
 
 #: Look-alikes of Latin letters in other scripts, and signs used as letters (fixed values).
 HOMOGLYPHS = {
@@ -90,26 +94,42 @@ def fold(text: str | None) -> list[str]:
     return WORDS.findall(text.translate(SAME))
 
 
-def terms_of(words: set[str]) -> set[str]:
-    """Terms of a document: " word " for whole words, " begin" for beginnings."""
-    out = {f" {w} " for w in words}
+def terms_of(words: set[str]) -> Counter:
+    """Terms of a document, " word " for whole words and " begin" for beginnings, with the words of each."""
+    out = Counter(f" {w} " for w in words)
     for n in STEMS:
         out.update(f" {w[:n]}" for w in words if len(w) > n)
     return out
 
 
+def _totals(seen: tuple[Counter, Counter]) -> pd.DataFrame:
+    terms = list(seen[1].keys() | seen[0].keys())
+    packed = [np.array([c[t] for t in terms], dtype=np.int64) for c in seen]
+    return pd.DataFrame({
+        "term": terms, "toxic": packed[1] >> 32, "other": packed[0] >> 32, "docs": packed[1] & 0xFFFFFFFF,
+    })
+
+
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """By term: distinct words of toxic and of other documents, and toxic documents.
+
+    Partial counts of at most about HELD terms; a counter holds words << 32 | documents.
+    """
+    seen: tuple[Counter, Counter] = (Counter(), Counter())
     for batch in batches:
-        seen: tuple[Counter, Counter] = (Counter(), Counter())
         for text, label in zip(batch["text"], batch["label"], strict=True):
-            seen[1 if label else 0].update(terms_of(set(fold(text))))
-        if seen[0] or seen[1]:
-            terms = list(seen[1].keys() | seen[0].keys())
-            yield pd.DataFrame({"term": terms, "toxic": [seen[1][t] for t in terms], "other": [seen[0][t] for t in terms]})
+            total = seen[1 if label else 0]
+            for term, n in terms_of(set(fold(text))).items():
+                total[term] += (n << 32) + 1
+            if len(seen[0]) + len(seen[1]) > HELD:
+                yield _totals(seen)
+                seen = (Counter(), Counter())
+    if seen[0] or seen[1]:  # an empty column of strings has no Arrow form here
+        yield _totals(seen)
 
 
 def choose_terms(rows: list[tuple[str, int, int]], n_toxic: int, n_other: int) -> dict[str, float]:
-    """Weights of the terms; a beginning that a longer term stands for is left out."""
+    """Weights of (term, words in toxic, words in other documents); a beginning that a longer term stands for is left out."""
     rows = sorted(rows)
     weights = {}
     for i, (term, toxic, other) in enumerate(rows):
@@ -211,14 +231,15 @@ def fit_curve(x: np.ndarray, y: np.ndarray) -> np.ndarray | None:
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Learn from the labelled documents given (doc_id, text; doc_id, toxic)."""
-    known = docs.select("doc_id", "text").join(one_label(labels, "toxic"), "doc_id").select("doc_id", "text", "label")
+    marked = bounded(one_label(labels, "toxic"), BROADCAST_LABELS)
+    known = docs.select("doc_id", "text").join(marked, "doc_id").select("doc_id", "text", "label")
     sizes = {int(r["label"] > 0): r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_other = sizes.get(1, 0), sizes.get(0, 0)
     if not n_toxic or not n_other:
         return Model({}, set(), None)
     pairs = known.select("text", "label")
-    counts = pairs.mapInPandas(_count, "term string, toxic long, other long").groupBy("term").agg(
-        F.sum("toxic").alias("toxic"), F.sum("other").alias("other")
+    counts = pairs.mapInPandas(_count, "term string, toxic long, other long, docs long").groupBy("term").agg(
+        F.sum("toxic").alias("toxic"), F.sum("other").alias("other"), F.sum("docs").alias("docs")
     )
     toxic, other, share = F.col("toxic"), F.col("other"), n_toxic / (n_toxic + n_other)
     ratio = 2 * (
@@ -226,7 +247,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         + F.when(other > 0, other * F.log(other / ((toxic + other) * (1 - share)))).otherwise(0.0)
     )
     precise = toxic / n_toxic >= MIN_PRECISION * (toxic / n_toxic + other / n_other)
-    good = counts.where(toxic >= MIN_DOCS).where(precise & (ratio >= MIN_RATIO))
+    good = counts.where(F.col("docs") >= MIN_DOCS).where(precise & (ratio >= MIN_RATIO))
     rows = good.orderBy(F.desc("toxic"), "term").limit(MAX_TERMS).collect()
     terms = choose_terms([(r["term"], r["toxic"], r["other"]) for r in rows], n_toxic, n_other)
 
@@ -237,7 +258,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
             for text, label in zip(batch["text"], batch["label"], strict=True):
                 seen[1 if label else 0].update(phrases_of(fold(text), matcher))
             names = list(seen[0].keys() | seen[1].keys())
-            yield pd.DataFrame({"term": names, "toxic": [seen[1][t] for t in names], "other": [seen[0][t] for t in names]})
+            if names:
+                yield pd.DataFrame({"term": names, "toxic": [seen[1][t] for t in names], "other": [seen[0][t] for t in names]})
 
     found = pairs.mapInPandas(phrases, "term string, toxic long, other long").groupBy("term").agg(
         F.sum("toxic").alias("toxic"), F.sum("other").alias("other")
