@@ -41,7 +41,7 @@ BLOCK_WORDS = 64
 SHARD_SLOTS = 65_536
 MOST_REPEATS = 2
 #: Documents of a hash bucket in a source's stream.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 #: Weights given to the sources in order, again and again, and the share of all words to take.
 WEIGHTS, SHARE = (5, 2, 1), 1.5
 SEED = 20_231
