@@ -63,6 +63,7 @@ SAME_LETTER = {"l": "i"}
 WORDS = re.compile(r"[^\W_]+")
 #: A digit or sign stands for a letter only with a letter on both sides, or in a
 #: word that begins with it and goes on with letters.
+SIGN = re.compile(r"[0134578@$!|]")
 DISGUISED = re.compile(r"(?<=[^\W\d_])[0134578@$!|]+(?=[^\W\d_])|(?<![\w@$!|])[0134578@$]+(?=[^\W\d_]{2})")
 
 
@@ -76,8 +77,8 @@ def _plain_letters() -> dict[int, str]:
     return table
 
 
-FOLD = {**_plain_letters(), **{ord(k): v for k, v in HOMOGLYPHS.items()}}
-SAME = {ord(k): v for k, v in SAME_LETTER.items()}
+FOLD = {**{chr(k): v for k, v in _plain_letters().items()}, **HOMOGLYPHS}
+FOLDED = frozenset(FOLD)
 SIGNS = {ord(k): v for k, v in LEET.items()}
 
 
@@ -89,9 +90,13 @@ def fold(text: str | None) -> list[str]:
         text = unicodedata.normalize("NFKC", text)
     text = text.lower()
     if not text.isascii():
-        text = text.translate(FOLD)
-    text = DISGUISED.sub(lambda m: m[0].translate(SIGNS), text)
-    return WORDS.findall(text.translate(SAME))
+        for letter in FOLDED.intersection(text):
+            text = text.replace(letter, FOLD[letter])
+    if SIGN.search(text):
+        text = DISGUISED.sub(lambda m: m[0].translate(SIGNS), text)
+    for letter, same in SAME_LETTER.items():
+        text = text.replace(letter, same)
+    return WORDS.findall(text)
 
 
 def terms_of(words: set[str]) -> Counter:
