@@ -50,9 +50,11 @@ from .graph import components
 WORDS = 5
 #: Shingles found in more than one of FREQUENT documents count as long lists.
 FREQUENT = 500
+#: l as a percentage of a set's size: larger prefixes, fewer nodes without a partner.
+SPARE_PCT = 6
 #: Shingles of a block, and postings of a bucket of the exchange.
 BLOCK = 400_000
-BUCKET = 1_000_000
+BUCKET = 500_000
 #: Total length of short lists up to which they are merged with a heap; longer
 #: ones are merged by counting, which gives the same result.
 HEAP = 2_000
@@ -92,10 +94,10 @@ def least_overlap(n: np.ndarray | int) -> np.ndarray | int:
 
 def spare(n: np.ndarray | int) -> np.ndarray | int:
     """l: how many shingles of the prefixes a pair must share."""
-    return (6 * n + 99) // 100
+    return (SPARE_PCT * n + 99) // 100
 
 
-def _regroup(batches: Iterator[pd.DataFrame], rows: int = 4_000) -> Iterator[pd.DataFrame]:
+def _regroup(batches: Iterator[pd.DataFrame], rows: int = 2_000) -> Iterator[pd.DataFrame]:
     """The same rows in frames of about ``rows``, whatever the size of Arrow's batches."""
     held: list[pd.DataFrame] = []
     for batch in batches:
@@ -309,7 +311,7 @@ def _classes(docs: DataFrame) -> DataFrame:
         .select("sid", "token", "n", F.count("*").over(by_node).alias("s"), F.row_number().over(by_node.orderBy("df", "token")).alias("r"))
     )
     least_partner = F.expr("(4 * n + 4) div 5")
-    kept = shared.where(F.col("r") <= F.col("s") - F.floor((6 * least_partner + 99) / 100) + 1)
+    kept = shared.where(F.col("r") <= F.col("s") - F.floor((SPARE_PCT * least_partner + 99) / 100) + 1)
     kept = materialize(kept.select("sid", "token"), "kept")
     hubs = kept.groupBy("token").agg(F.min("sid").alias("hub"), F.count("*").alias("m")).where("m > 1")
     edges = kept.join(hubs, "token").where("sid <> hub").select(F.col("sid").alias("a"), F.col("hub").alias("b")).distinct()
