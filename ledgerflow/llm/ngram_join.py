@@ -278,6 +278,7 @@ def _search(rows: pd.DataFrame) -> pd.DataFrame:
 def _classes(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, tkey, sid, n, root (null for an empty set), component_id, n_links."""
     source = docs.select("doc_id", "text", F.xxhash64("text").alias("tkey"))
+    row_key = F.xxhash64("doc_id", "tkey")
     every = materialize(source.mapInPandas(_sets, "doc_id long, sid long, n long, tkey long, token long, seen long"), "sets")
     sets = every.where("sid IS NOT NULL").select("doc_id", "sid", "n", "tkey")
     nodes = sets.where("n > 0").groupBy("sid").agg(
@@ -331,9 +332,11 @@ def _classes(docs: DataFrame) -> DataFrame:
         ).alias("block"),
         F.when(F.col("i") == F.col("j"), ALONE).otherwise((F.col("i") > F.col("j")).cast("int")).alias("side"),
     )
-    bitmap = key_filter(members.select("rep.tkey"), members.count())
-    texts = source.where(maybe_in(bitmap)("tkey")).join(
-        placed.select("rep.*", "sid", "n", "copies", "block", "side").withColumnRenamed("doc_id", "rep_id").withColumnRenamed("tkey", "rep_key"),
+    bitmap = key_filter(members.select("rep.*").select(row_key), members.count())
+    # nodes in blocks grow with the corpus: not a side to broadcast, at any size
+    texts = source.where(maybe_in(bitmap)(row_key)).join(
+        placed.select("rep.*", "sid", "n", "copies", "block", "side").withColumnRenamed("doc_id", "rep_id")
+        .withColumnRenamed("tkey", "rep_key").hint("merge"),
         F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("tkey") == F.col("rep_key")),
     )
     found = (
