@@ -276,8 +276,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         matcher = Matcher(terms, exceptions)
         for batch in batches:
             found = [evidence(fold(t), matcher) for t in batch["text"]]
-            yield pd.DataFrame({"a": [e[1] for e in found], "b": [e[2] for e in found], "label": batch["label"]})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "a": [e[1] for e in found], "b": [e[2] for e in found], "label": batch["label"]})
 
-    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS).select("text", "label")
-    xy = sample.mapInPandas(measure, "a double, b double, label int").toPandas()
+    # all labelled texts are measured where they lie; the sample is taken of the small rows
+    xy = known.mapInPandas(measure, "doc_id long, a double, b double, label int")
+    xy = xy.orderBy(F.xxhash64("doc_id"), "doc_id", "a").limit(FIT_ROWS).toPandas()
     return Model(terms, exceptions, fit_curve(xy[["a", "b"]].to_numpy(), (xy["label"] > 0).to_numpy().astype(float)))
