@@ -17,10 +17,14 @@ Counts grow with the corpus, so they are neither capped nor broadcast: every
 bigram occurrence goes once to a bucket of the hash range, with the number of its
 document within the slice it came from. A bucket holds all occurrences of its
 contexts, so it counts them, computes their losses and sends back the sum per
-document. Only what is frequent beyond 1 in :data:`FREQUENT` tokens (found on a part of
-the documents, then counted exactly over all; at most that many words and
-bigrams) is known everywhere: frequent bigrams stay in the slice, and bigrams of a
-frequent context are dealt out by both words, so no bucket fills with one of them.
+document. Only what is frequent beyond 1 in :data:`FREQUENT` tokens of all documents
+(at most that many words and bigrams, counted exactly) is known everywhere:
+frequent bigrams stay in the slice, and bigrams of a frequent context are dealt
+out by both words, so no bucket fills with one of them. Words are counted whole.
+Of bigrams a slice reports those that reach a part of the frequent share there;
+what the slices leave out is bounded by their tokens, so no frequent one is
+missed. Bigrams that fill less than 1 in :data:`BUCKET_PART` of a bucket are left to the buckets,
+which give them the same loss.
 
 Defined cases: null, empty and blank texts have no token, losses and score 0;
 without target documents the target model has no counts and is near uniform; repeated rows are scored and counted each;
@@ -42,11 +46,13 @@ from .common import bounded, materialize, one_label, text_words
 
 MU = 20.0
 FREQUENT = 50_000
-#: One document of so many takes part in the search for frequent items.
-SEARCH_PART = 16
+#: A slice reports a bigram from this part (1 in so many) of the frequent share on.
+SEARCH_PART = 2
 #: Documents of a slice, and bigram occurrences of a bucket.
 SLICE = 2_000
 BUCKET = 2_000_000
+#: A bigram is worth knowing everywhere from this part (1 in so many) of a bucket on.
+BUCKET_PART = 256
 #: Parts in which a bucket is worked off, and room for the documents of a slice.
 PARTS = 8
 WIDTH = 1 << 15
@@ -94,14 +100,16 @@ def pair(prev: np.ndarray, own: np.ndarray) -> np.ndarray:
 
 
 def _find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Words and bigrams frequent in a slice, and its number of tokens (kind 0)."""
+    """All words of a slice, bigrams that may be frequent, and its number of tokens (kind 0)."""
     for batch in _slices(batches):
         prev, own, _ = tokens(batch["text"])
-        most = max(4, len(own) // FREQUENT)
         rows = [pd.DataFrame({"kind": 0, "key": [0], "n": [len(own)]})]
         for kind, keys in ((WORD, own), (PAIR, pair(prev, own))):
             names, n = np.unique(keys, return_counts=True)
-            rows.append(pd.DataFrame({"kind": kind, "key": names[n >= most].view(np.int64), "n": n[n >= most]}))
+            if kind == PAIR:
+                may = n * SEARCH_PART * FREQUENT >= len(own)
+                names, n = names[may], n[may]
+            rows.append(pd.DataFrame({"kind": kind, "key": names.view(np.int64), "n": n}))
         yield pd.concat(rows)
 
 
@@ -302,18 +310,17 @@ def score(docs: DataFrame, target: DataFrame) -> DataFrame:
     ids = target.select("doc_id").where("doc_id IS NOT NULL").distinct().withColumn("target", F.lit(True))
     marked = docs.select("doc_id", "text").join(bounded(ids, BROADCAST_IDS), "doc_id", "left").select("doc_id", "text", F.coalesce("target", F.lit(False)).alias("target"))
 
-    part = docs.select("text").where(F.pmod(F.xxhash64("text"), F.lit(SEARCH_PART)) == 0)
-    found = part.mapInPandas(_find, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    found = docs.select("text").mapInPandas(_find, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
     found = materialize(found, "frequent")
-    seen = found.where("kind = 0").agg(F.sum("n")).first()[0] or 0
-    # each kind has at most FREQUENT keys of such a share
-    found = found.where("kind > 0").where(F.col("n") >= max(20, seen // FREQUENT)).toPandas()
+    total = found.where("kind = 0").agg(F.sum("n")).first()[0] or 0
+    # at most FREQUENT words; a bigram of `least` occurrences has lost fewer than total / (SEARCH_PART * FREQUENT) of them
+    least = max(total / FREQUENT, BUCKET / BUCKET_PART)
+    may = F.col("n") >= least - total / (SEARCH_PART * FREQUENT)
+    found = found.where(((F.col("kind") == WORD) & (F.col("n") * FREQUENT >= total)) | ((F.col("kind") == PAIR) & may)).toPandas()
     names = [np.sort(found[found["kind"] == k]["key"].to_numpy(dtype=np.int64).view(np.uint64)) for k in (WORD, PAIR)]
-    # a frequent bigram counts as such only with a frequent context, whose count is then known
-    names[1] = names[1][np.isin(names[1] >> U(32), np.append(names[0] & LOW, START))]
     counted = marked.mapInPandas(_count(*names), "kind int, key long, n long, target long, context long, context_target long")
     counted = counted.groupBy("kind", "key").agg(*[F.sum(c).alias(c) for c in ("n", "target", "context", "context_target")])
-    counted = materialize(counted, "frequent-counts")
+    counted = materialize(counted.where((F.col("kind") != PAIR) | (F.col("n") >= least)), "frequent-counts")
     unsigned = F.col("key").bitwiseXOR(F.lit(-(2**63)).cast("long"))
     small = counted.where(F.col("kind") == SMALL).orderBy(unsigned).limit(SMALLEST)
     known = Known(counted.where(F.col("kind") != SMALL).union(small).toPandas())

@@ -86,3 +86,36 @@ def test_without_target_or_documents(spark, make_docs):
     assert sorted(r["n_tokens"] for r in got) == [0, 3]
     assert lm.score(make_docs([]), none).count() == 0
     assert lm.score(make_docs([(1, None)]), none).collect()[0]["score"] == 0.0
+
+
+def fitted(monkeypatch):
+    """Takes note of the model that a run fits."""
+    seen, make = {}, lm.Known.__init__
+
+    def note(self, table):
+        make(self, table)
+        seen["known"] = self
+
+    monkeypatch.setattr(lm.Known, "__init__", note)
+    return seen
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_frequent_items_are_those_of_all_documents(spark, make_docs, monkeypatch, parts):
+    for name, value in (("FREQUENT", 100), ("BUCKET", 100), ("SLICE", 7)):
+        monkeypatch.setattr(lm, name, value)
+    rng = random.Random(9)
+    rows = [(i, " ".join(f"w{rng.randrange(300)}" for _ in range(30))) for i in range(40)]
+    for g in range(4):  # groups of copies: in or out of a sample as a whole
+        rows += [(1000 + 10 * g + k, f"group{g} copy{g} text{g} " * 3) for k in range(6)]
+    rng.shuffle(rows)
+    seen = fitted(monkeypatch)
+    ids = spark.createDataFrame([(1,)], "doc_id long")
+    assert lm.score(make_docs(rows).repartition(parts), ids).count() == len(rows)
+    words = [t.split() for _, t in rows]
+    total = sum(map(len, words))
+    often = Counter(w for t in words for w in t)
+    assert set(seen["known"].words.tolist()) - {int(lm.START)} == {one_hash(w) for w, n in often.items() if 100 * n >= total}
+    hashed = lambda w: one_hash(w) if w else int(lm.START)
+    pairs = Counter((hashed(v) & 0xFFFFFFFF) << 32 | one_hash(w) & 0xFFFFFFFF for t in words for v, w in zip([None, *t], t))
+    assert set(seen["known"].pairs.tolist()) == {k for k, n in pairs.items() if 100 * n >= total} != set()
