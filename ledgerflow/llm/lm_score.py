@@ -5,26 +5,27 @@ Both models share one vocabulary and one form,
 
     P(w | v) = (c(v w) + MU * P1(w)) / (c(v) + MU),
 
-with exact counts of their own corpus. P1 is a unigram model over the vocabulary:
-frequent words have their own share, all other words share the rest evenly (their
-number is estimated once from the smallest word hashes). A document is scored
+with exact counts of their own corpus. P1(w) = (c(w) + 1/2) / (tokens + types / 2)
+is a unigram model with the exact counts of all words. A document is scored
 without its own occurrences: they are taken off the counts of its bigrams and of
-their contexts (not off the counts of frequent contexts and of P1, where they
-hardly matter). A text's score is its mean loss per token under the target model minus that under the
-background model; lower means more like the target.
+their contexts (not off the counts of frequent contexts, where they hardly matter,
+and not off P1). A text's score is its mean loss per token under the target model
+minus that under the background model; lower means more like the target.
 
 Counts grow with the corpus, so they are neither capped nor broadcast: every
-bigram occurrence goes once to a bucket of the hash range, with the number of its
-document within the slice it came from. A bucket holds all occurrences of its
-contexts, so it counts them, computes their losses and sends back the sum per
-document. Only what is frequent beyond 1 in :data:`FREQUENT` tokens of all documents
-(at most that many words and bigrams, counted exactly) is known everywhere:
-frequent bigrams stay in the slice, and bigrams of a frequent context are dealt
-out by both words, so no bucket fills with one of them. Words are counted whole.
-Of bigrams a slice reports those that reach a part of the frequent share there;
-what the slices leave out is bounded by their tokens, so no frequent one is
-missed. Bigrams that fill less than 1 in :data:`BUCKET_PART` of a bucket are left to the buckets,
-which give them the same loss.
+bigram occurrence goes once to the bucket of its second word, with the number of
+its document within the slice it came from. That bucket holds all occurrences of
+the word, so it counts c(w), c(v w), and, where the word is not the last of its
+text, its count as a context. A loss is log(c(w) + MU) for the word as a context
+minus log(c(v w) + MU * P1(w)), and both are priced where they are counted; the
+sums per document come back. Only what is frequent beyond 1 in :data:`FREQUENT`
+tokens of all documents (at most that many words and bigrams, counted exactly) is
+known everywhere: frequent contexts and bigrams are priced in the slice, and other
+bigrams of a frequent word are dealt out by both words, so no bucket fills with
+one of them. Of bigrams a slice reports those that reach a part of the frequent
+share there; what the slices leave out is bounded by their tokens, so no frequent
+one is missed. Bigrams that fill less than 1 in :data:`BUCKET_PART` of a bucket
+are left to the buckets, which give them the same loss.
 
 Defined cases: null, empty and blank texts have no token, losses and score 0;
 without target documents the target model has no counts and is near uniform; repeated rows are scored and counted each;
@@ -55,15 +56,19 @@ BUCKET = 2_000_000
 BUCKET_PART = 256
 #: Parts in which a bucket is worked off, and room for the documents of a slice.
 PARTS = 8
-WIDTH = 1 << 15
+WIDTH = 1 << 13
+#: Bits beside a document's number: it is good, the word ends its text, the word is frequent.
+GOOD, LAST, OFTEN = np.uint16(1 << 15), np.uint16(1 << 14), np.uint16(1 << 13)
 #: Largest number of target ids that is broadcast; above, documents are shuffled to them.
 BROADCAST_IDS = 1_000_000
-SMALLEST = 1024
+#: A vocabulary of at most so many words is known whole on the driver.
+VOCABULARY = 100_000
 
 U = np.uint64
 START = U(0x5EED)
 LOW = U(0xFFFFFFFF)
-WORD, PAIR, SMALL = 1, 2, 3
+WORD, PAIR, TYPES = 1, 2, 3
+COUNTS = ("n", "target", "context", "context_target")
 
 
 def _slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -95,53 +100,42 @@ def tokens(texts: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def pair(prev: np.ndarray, own: np.ndarray) -> np.ndarray:
-    """Bigram keys: 32 bits of each word. A context is further told apart by its bucket."""
+    """Bigram keys: 32 bits of each word. A word that is not frequent is further told apart by its bucket."""
     return ((prev & LOW) << U(32)) | (own & LOW)
 
 
+def ends(doc: np.ndarray) -> np.ndarray:
+    """Whether each token is the last of its document."""
+    return np.append(doc[1:] != doc[:-1], np.ones(min(1, len(doc)), dtype=bool))
+
+
 def _find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """All words of a slice, bigrams that may be frequent, and its number of tokens (kind 0)."""
+    """Counts of a slice (all, target; as words, as contexts): all words, bigrams that may be frequent, all tokens (kind 0)."""
     for batch in _slices(batches):
-        prev, own, _ = tokens(batch["text"])
-        rows = [pd.DataFrame({"kind": 0, "key": [0], "n": [len(own)]})]
-        for kind, keys in ((WORD, own), (PAIR, pair(prev, own))):
-            names, n = np.unique(keys, return_counts=True)
-            if kind == PAIR:
-                may = n * SEARCH_PART * FREQUENT >= len(own)
-                names, n = names[may], n[may]
-            rows.append(pd.DataFrame({"kind": kind, "key": names.view(np.int64), "n": n}))
+        prev, own, doc = tokens(batch["text"])
+        good, inner = batch["target"].to_numpy(dtype=bool)[doc], ~ends(doc)
+        total = [len(own), int(good.sum()), int((~inner).sum()), int((~inner & good).sum())]
+        rows = [pd.DataFrame([[0, 0, *total]], columns=["kind", "key", *COUNTS])]
+        names, back, n = np.unique(own, return_inverse=True, return_counts=True)
+        part = [np.bincount(back[mask], minlength=len(names)) for mask in (good, inner, inner & good)]
+        rows.append(pd.DataFrame({"kind": WORD, "key": names.view(np.int64), **dict(zip(COUNTS, (n, *part), strict=True))}))
+        names, n = np.unique(pair(prev, own), return_counts=True)
+        may = n * SEARCH_PART * FREQUENT >= len(own)
+        rows.append(pd.DataFrame({"kind": PAIR, "key": names[may].view(np.int64), "n": n[may], "target": 0, "context": 0, "context_target": 0}))
         yield pd.concat(rows)
 
 
-def _count(words: np.ndarray, pairs: np.ndarray):
-    """Exact counts (all, target) of the known words and bigrams, and of all tokens (key null)."""
+def _count(pairs: np.ndarray):
+    """Exact counts (all, target) of the given bigrams."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found = {k: np.zeros((2, len(names)), np.int64) for k, names in ((WORD, words), (PAIR, pairs))}
-        total, context = np.zeros(2, np.int64), np.zeros((2, len(words) + 1), np.int64)
-        small = np.zeros(0, np.uint64)
+        found = np.zeros((2, len(pairs)), np.int64)
         for batch in _slices(batches):
             prev, own, doc = tokens(batch["text"])
-            good = batch["target"].to_numpy(dtype=bool)[doc]
-            small = np.unique(np.concatenate([small, own]))[:SMALLEST]
-            total += [len(own), int(good.sum())]
-            for kind, names, keys in ((WORD, words, own), (PAIR, pairs, pair(prev, own))):
-                at, known = locate(names, keys)
-                for k, mask in enumerate((known, known & good)):
-                    found[kind][k] += np.bincount(at[mask], minlength=len(names))
-            at, known = locate(words, prev)
-            at = np.where(prev == START, len(words), at)
-            known |= prev == START
-            for k, mask in enumerate((known, known & good)):
-                context[k] += np.bincount(at[mask], minlength=len(words) + 1)
-        yield pd.concat([
-            pd.DataFrame({"kind": 0, "key": [0], "n": [total[0]], "target": [total[1]], "context": 0, "context_target": 0}),
-            pd.DataFrame({"kind": WORD, "key": words.view(np.int64), "n": found[WORD][0], "target": found[WORD][1],
-                          "context": context[0][:-1], "context_target": context[1][:-1]}),
-            pd.DataFrame({"kind": WORD, "key": [int(START)], "n": 0, "target": 0, "context": [context[0][-1]], "context_target": [context[1][-1]]}),
-            pd.DataFrame({"kind": PAIR, "key": pairs.view(np.int64), "n": found[PAIR][0], "target": found[PAIR][1], "context": 0, "context_target": 0}),
-            pd.DataFrame({"kind": SMALL, "key": small.view(np.int64), "n": 0, "target": 0, "context": 0, "context_target": 0}),
-        ])
+            at, known = locate(pairs, pair(prev, own))
+            for k, mask in enumerate((known, known & batch["target"].to_numpy(dtype=bool)[doc])):
+                found[k] += np.bincount(at[mask], minlength=len(pairs))
+        yield pd.DataFrame({"key": pairs.view(np.int64), "n": found[0], "target": found[1]})
 
     return run
 
@@ -155,61 +149,66 @@ def locate(names: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 class Known:
-    """What every task knows: frequent words and bigrams with exact counts, totals, vocabulary size."""
+    """What every task knows: frequent words and bigrams with exact counts, totals, vocabulary size.
+
+    ``rows``: kind, key and COUNTS of words, of frequent bigrams, of all tokens (kind 0, whose
+    context counts are those of START) and of types; words of a small vocabulary may all be there.
+    """
 
     def __init__(self, rows: pd.DataFrame) -> None:
-        total = rows[rows["kind"] == 0][["n", "target"]].sum()
-        self.total = np.array([total["n"], total["target"]], dtype=float)
+        total = rows[rows["kind"] == 0][list(COUNTS)].sum().to_numpy(dtype=float)
+        self.total, self.start_n, self.types = total[:2], total[2:], max(1, rows[rows["kind"] == TYPES]["n"].sum())
         words, pairs = rows[rows["kind"] == WORD], rows[rows["kind"] == PAIR]
         name = words["key"].to_numpy(dtype=np.int64).view(np.uint64)
         order = np.argsort(name)
-        self.words = name[order]
-        self.word_n = words[["n", "target"]].to_numpy(dtype=float)[order].T
-        self.context_n = words[["context", "context_target"]].to_numpy(dtype=float)[order].T
-        low = np.argsort(self.words & LOW, kind="stable")
-        self.low, self.low_at = (self.words & LOW)[low], low
+        counts = words[list(COUNTS)].to_numpy(dtype=float)[order].T
+        often = counts[0] * FREQUENT >= self.total[0]
+        self.words, self.word_n, self.context_n = name[order][often], counts[:2, often], counts[2:, often]
+        # frequent words come last, so that they are found where low bits are alike
+        low = np.lexsort((often, name[order] & LOW))
+        self.low, self.low_n = (name[order] & LOW)[low], counts[:2, low]
         name = pairs["key"].to_numpy(dtype=np.int64).view(np.uint64)
         order = np.argsort(name)
         self.pairs, self.pair_n = name[order], pairs[["n", "target"]].to_numpy(dtype=float)[order].T
-        small = np.unique(rows[rows["kind"] == SMALL]["key"].to_numpy(dtype=np.int64).view(np.uint64))[:SMALLEST]
-        types = len(small) if len(small) < SMALLEST else (SMALLEST - 1) / (float(small[-1]) / 2.0**64)
-        rest = max(1.0, types - len(self.words))
-        self.rest = np.maximum(self.total - self.word_n.sum(axis=1), 1.0) / np.maximum(self.total, 1.0) / rest
+
+    def share(self, n: np.ndarray) -> np.ndarray:
+        """P1 of words with (all, target) counts ``n``."""
+        return (n + 0.5) / (self.total + 0.5 * self.types)[:, None]
 
     def unigram(self, low: np.ndarray) -> np.ndarray:
-        """P1 of words by their low bits, (background, target) rows."""
-        at, known = locate(self.low, low)
-        out = np.repeat(self.rest[:, None], len(low), axis=1)
+        """P1 of known words by their low bits, (background, target) rows; others count as unseen."""
+        n = np.zeros((2, len(low)))
         if len(self.low):
-            own = (self.word_n[:, self.low_at[at[known]]] + 0.5) / (self.total[:, None] + 0.5 * len(self.words))
-            out[:, known] = own
-        return out
-
-    def loss(self, keys: np.ndarray, seen: np.ndarray, context: np.ndarray) -> np.ndarray:
-        """-log P(w | v) in (background, target) rows for bigram keys with their counts."""
-        return -np.log((seen + MU * self.unigram(keys & LOW)) / (context + MU))
+            at = np.maximum(np.searchsorted(self.low, low, side="right") - 1, 0)
+            n = np.where(self.low[at] == low, self.low_n[:, at], 0.0)
+        return self.share(n)
 
 
 def _deal(known: Known, buckets: int):
-    """Bigram occurrences of each slice by bucket; losses of frequent bigrams are summed at once."""
+    """Bigram occurrences of each slice by bucket; losses of frequent contexts and bigrams are summed at once."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         task, k = TaskContext.get().partitionId(), 0
         for batch in _slices(batches):
             prev, own, doc = tokens(batch["text"])
             keys, size = pair(prev, own), len(batch)
+            is_good = batch["target"].to_numpy(dtype=bool)
+            at, head = locate(known.words, prev)
+            context = np.repeat(known.start_n[:, None], len(prev), axis=1)
+            context[:, head] = known.context_n[:, at[head]]
+            head |= prev == START
+            sums = np.stack([np.bincount(doc[head], weights=row, minlength=size) for row in np.log(context[:, head] + MU)])
             at, often = locate(known.pairs, keys)
-            _, frequent = locate(known.words, prev)
+            where, frequent = locate(known.words, own)
             often &= frequent
             there = at[often]
-            sums, is_good = np.zeros((2, size)), batch["target"].to_numpy(dtype=bool)
             if len(there):
                 own_doc, first, own_n = np.unique(there * size + doc[often], return_index=True, return_counts=True)
-                where, _ = locate(known.words, prev[often][first])
                 there, d = own_doc // size, own_doc % size
                 off = np.stack([own_n, own_n * is_good[d]])
-                loss = known.loss(keys[often][first], known.pair_n[:, there] - off, known.context_n[:, where])
-                sums = np.stack([np.bincount(d, weights=row * own_n, minlength=size) for row in loss])
+                p1 = known.share(known.word_n[:, where[often][first]])
+                loss = -np.log(known.pair_n[:, there] - off + MU * p1)
+                sums += np.stack([np.bincount(d, weights=row * own_n, minlength=size) for row in loss])
             ids = batch["doc_id"].astype("Int64")
             docs = np.stack([
                 ids.fillna(0).to_numpy(dtype=np.int64), ids.isna().to_numpy(dtype=np.int64), np.bincount(doc, minlength=size),
@@ -218,11 +217,10 @@ def _deal(known: Known, buckets: int):
             name = (task << 24) + k
             k += 1
             yield pd.DataFrame({"bucket": [name % buckets], "slice": [name], "docs": [docs.tobytes()], "payload": [None]})
-            good = is_good[doc[~often]].astype(np.uint16) << np.uint16(15)
-            number = doc[~often].astype(np.uint16) | good
-            prev, keys, frequent = prev[~often], keys[~often], frequent[~often]
-            # bits that are not in the key tell contexts apart
-            by = np.where(frequent, (keys * U(0x9E3779B97F4A7C15)) >> U(33), prev >> U(33))
+            number = doc.astype(np.uint16) | is_good[doc] * GOOD | ends(doc) * LAST | frequent * OFTEN
+            own, keys, frequent, number = own[~often], keys[~often], frequent[~often], number[~often]
+            # bits that are not in the key tell words apart
+            by = np.where(frequent, (keys * U(0x9E3779B97F4A7C15)) >> U(33), own >> U(33))
             bucket = (by % U(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             bucket, keys, number = bucket[order], keys[order], number[order]
@@ -236,30 +234,39 @@ def _deal(known: Known, buckets: int):
     return run
 
 
+def _own(item: np.ndarray, doc: np.ndarray, docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Each (item, document) once: item, document, a position of it, occurrences."""
+    each, first, own = np.unique(item.astype(np.int64) * docs + doc, return_index=True, return_counts=True)
+    return each // docs, each % docs, first, own
+
+
 def _part(known: Known, keys: np.ndarray, number: np.ndarray, payload: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Documents (payload * WIDTH + number) and their losses over all occurrences of some contexts."""
+    """Documents (payload * WIDTH + number) and their losses over all occurrences of some words."""
     if not len(keys):
         return np.zeros(0, np.int64), np.zeros((2, 0))
-    good = number >> np.uint16(15) > 0
-    names, back = np.unique(keys, return_inverse=True)
-    seen = np.stack([np.bincount(back, minlength=len(names)), np.bincount(back[good], minlength=len(names))]).astype(float)
-    head = names >> U(32)
-    at, frequent = locate(known.low, head)
-    _, group = np.unique(head, return_inverse=True)
-    context = np.stack([np.bincount(group, weights=row)[group] for row in seen])
-    if frequent.any():
-        context[:, frequent] = known.context_n[:, known.low_at[at[frequent]]]
+    good, last, often = (number & bit > 0 for bit in (GOOD, LAST, OFTEN))
+    count = lambda at, size, *masks: np.stack([np.bincount(at[m], minlength=size) for m in masks]).astype(float)
+    every = np.ones(len(keys), dtype=bool)
+    names, first, back = np.unique(keys, return_index=True, return_inverse=True)
+    seen, frequent = count(back, len(names), every, good), often[first]
+    # a word that is not frequent has all its occurrences here
+    _, word = np.unique((names & LOW) << U(1) | frequent, return_inverse=True)
+    p1 = known.share(np.stack([np.bincount(word, weights=row)[word] for row in seen]))
+    p1[:, frequent] = known.unigram((names & LOW)[frequent])
     # each document's own occurrences of a bigram and of a context are taken off
     doc = payload.astype(np.int64) * WIDTH + (number & np.uint16(WIDTH - 1))
     docs, doc = np.unique(doc, return_inverse=True)
-    each, first, own = np.unique(back.astype(np.int64) * len(docs) + doc, return_index=True, return_counts=True)
-    name, doc, good = each // len(docs), each % len(docs), good[first]
-    _, same = np.unique(group[name].astype(np.int64) * len(docs) + doc, return_inverse=True)
-    own_context = np.bincount(same, weights=own)[same]
-    own_context[frequent[name]] = 0
-    flag = np.stack([np.ones(len(good)), good])
-    loss = known.loss(names[name], seen[:, name] - own * flag, context[:, name] - own_context * flag) * own
-    return docs, np.stack([np.bincount(doc, weights=row, minlength=len(docs)) for row in loss])
+    item, d, at, own = _own(back, doc, len(docs))
+    loss = -np.log(seen[:, item] - own * np.stack([every[at], good[at]]) + MU * p1[:, item]) * own
+    sums = np.stack([np.bincount(d, weights=row, minlength=len(docs)) for row in loss])
+    head = ~often & ~last
+    if head.any():
+        word, good, doc = word[back[head]], good[head], doc[head]
+        context = count(word, int(word.max()) + 1, every[head], good)
+        item, d, at, own = _own(word, doc, len(docs))
+        loss = np.log(context[:, item] - own * np.stack([every[at], good[at]]) + MU) * own
+        sums += np.stack([np.bincount(d, weights=row, minlength=len(docs)) for row in loss])
+    return docs, sums
 
 
 def _losses(known: Known):
@@ -274,8 +281,8 @@ def _losses(known: Known):
             keys = np.concatenate([np.frombuffer(p, np.uint64, n) for p, n in zip(rows["payload"], sizes, strict=True)])
             number = np.concatenate([np.frombuffer(p, np.uint16, n, 8 * n) for p, n in zip(rows["payload"], sizes, strict=True)])
             payload = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-            # contexts are independent, so a bucket is worked off in parts of them
-            part = ((keys >> U(32)) * U(0x9E3779B97F4A7C15) >> U(40)) % U(PARTS)
+            # words, and bigrams of frequent ones, are independent, so a bucket is worked off in parts of them
+            part = (np.where(number & OFTEN > 0, keys, keys & LOW) * U(0x9E3779B97F4A7C15) >> U(40)) % U(PARTS)
             done = [_part(known, keys[m], number[m], payload[m]) for m in (part == U(k) for k in range(PARTS))]
             doc, loss = np.concatenate([d for d, _ in done]), np.concatenate([x for _, x in done], axis=1)
             doc, at = np.unique(doc, return_inverse=True)
@@ -310,20 +317,22 @@ def score(docs: DataFrame, target: DataFrame) -> DataFrame:
     ids = target.select("doc_id").where("doc_id IS NOT NULL").distinct().withColumn("target", F.lit(True))
     marked = docs.select("doc_id", "text").join(bounded(ids, BROADCAST_IDS), "doc_id", "left").select("doc_id", "text", F.coalesce("target", F.lit(False)).alias("target"))
 
-    found = docs.select("text").mapInPandas(_find, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
-    found = materialize(found, "frequent")
+    long = ", ".join(f"{c} long" for c in COUNTS)
+    found = marked.mapInPandas(_find, f"kind int, key long, {long}").groupBy("kind", "key").agg(*[F.sum(c).alias(c) for c in COUNTS])
+    found = materialize(found, "counts")
+    words, pairs = found.where(F.col("kind") == WORD), found.where(F.col("kind") == PAIR)
+    types = words.count()
     total = found.where("kind = 0").agg(F.sum("n")).first()[0] or 0
     # at most FREQUENT words; a bigram of `least` occurrences has lost fewer than total / (SEARCH_PART * FREQUENT) of them
     least = max(total / FREQUENT, BUCKET / BUCKET_PART)
-    may = F.col("n") >= least - total / (SEARCH_PART * FREQUENT)
-    found = found.where(((F.col("kind") == WORD) & (F.col("n") * FREQUENT >= total)) | ((F.col("kind") == PAIR) & may)).toPandas()
-    names = [np.sort(found[found["kind"] == k]["key"].to_numpy(dtype=np.int64).view(np.uint64)) for k in (WORD, PAIR)]
-    counted = marked.mapInPandas(_count(*names), "kind int, key long, n long, target long, context long, context_target long")
-    counted = counted.groupBy("kind", "key").agg(*[F.sum(c).alias(c) for c in ("n", "target", "context", "context_target")])
-    counted = materialize(counted.where((F.col("kind") != PAIR) | (F.col("n") >= least)), "frequent-counts")
-    unsigned = F.col("key").bitwiseXOR(F.lit(-(2**63)).cast("long"))
-    small = counted.where(F.col("kind") == SMALL).orderBy(unsigned).limit(SMALLEST)
-    known = Known(counted.where(F.col("kind") != SMALL).union(small).toPandas())
+    names = pairs.where(F.col("n") >= least - total / (SEARCH_PART * FREQUENT)).select("key").toPandas()
+    names = np.sort(names["key"].to_numpy(dtype=np.int64).view(np.uint64))
+    often = words if types <= VOCABULARY else words.where(F.col("n") * FREQUENT >= total)
+    rows = [often.union(found.where("kind = 0")).toPandas(), pd.DataFrame([[TYPES, 0, types, 0, 0, 0]], columns=found.columns)]
+    if len(names):
+        counted = marked.mapInPandas(_count(names), "key long, n long, target long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("target").alias("target"))
+        rows.append(counted.where(F.col("n") >= least).toPandas().assign(kind=PAIR, context=0, context_target=0))
+    known = Known(pd.concat(rows))
 
     buckets = max(16, int(known.total[0]) // BUCKET)
     dealt = marked.mapInPandas(_deal(known, buckets), "bucket long, slice long, docs binary, payload binary")

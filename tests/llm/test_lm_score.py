@@ -115,7 +115,41 @@ def test_frequent_items_are_those_of_all_documents(spark, make_docs, monkeypatch
     words = [t.split() for _, t in rows]
     total = sum(map(len, words))
     often = Counter(w for t in words for w in t)
-    assert set(seen["known"].words.tolist()) - {int(lm.START)} == {one_hash(w) for w, n in often.items() if 100 * n >= total}
+    assert set(seen["known"].words.tolist()) == {one_hash(w) for w, n in often.items() if 100 * n >= total}
     hashed = lambda w: one_hash(w) if w else int(lm.START)
     pairs = Counter((hashed(v) & 0xFFFFFFFF) << 32 | one_hash(w) & 0xFFFFFFFF for t in words for v, w in zip([None, *t], t))
     assert set(seen["known"].pairs.tolist()) == {k for k, n in pairs.items() if 100 * n >= total} != set()
+
+
+class Exact:
+    """A unigram model by dictionaries over the rows, and the words frequent in them."""
+
+    def __init__(self, rows, target, frequent):
+        words = [((t or "").lower().split(), i in target) for i, t in rows]
+        self.n = [Counter(one_hash(w.encode()) & 0xFFFFFFFF for ws, g in words for w in ws if g or not k) for k in (0, 1)]
+        often = Counter(one_hash(w.encode()) for ws, _ in words for w in ws)
+        self.words = np.array([w for w, n in often.items() if n * frequent >= often.total()], dtype=np.uint64)
+        self.types = len(often)
+
+    def unigram(self, low):
+        return np.array([[(n[w] + 0.5) / (n.total() + 0.5 * self.types) for w in low.tolist()] for n in self.n])
+
+
+@pytest.mark.parametrize("vocabulary", [0, 1000])
+def test_rare_words_have_their_own_counts(spark, make_docs, monkeypatch, vocabulary):
+    for name, value in (("FREQUENT", 40), ("BUCKET", 150), ("SLICE", 7)):
+        monkeypatch.setattr(lm, name, value)
+    monkeypatch.setattr(lm, "VOCABULARY", vocabulary, raising=False)
+    rng = random.Random(10)
+    rows = [(i, " ".join(["the", *(f"w{int(rng.expovariate(0.05))}" for _ in range(20))] * (1 + i % 2))) for i in range(40)]
+    rows += [(100 + i, " ".join(f"x{k}" for k in rng.sample(range(60), 12)) + (" onlygood" if i % 2 else " onlybad")) for i in range(30)]
+    target = {i for i, _ in rows if i % 2}
+    ids = spark.createDataFrame([(i,) for i in target], "doc_id long")
+    model = Exact(rows, target, 40)
+    assert 0 < len(model.words) < 10
+    want = {i: (n, t, b) for i, n, t, b in brute(rows, target, model)}
+    got = lm.score(make_docs(rows).repartition(3), ids).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        n, t, b = want[r["doc_id"]]
+        assert r["n_tokens"] == n and r["target_loss"] == pytest.approx(t, abs=2e-5) and r["background_loss"] == pytest.approx(b, abs=2e-5)
