@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, one_label
+from .common import bounded, materialize, one_label
 
 #: Lengths of word beginnings that can be terms.
 STEMS = (4, 5, 6, 7, 8)
@@ -41,8 +41,6 @@ STEMS = (4, 5, 6, 7, 8)
 MIN_DOCS, MIN_PRECISION, MIN_RATIO = 3, 0.9, 30.0
 #: An exception phrase needs so many harmless documents and such a share of them.
 MIN_HARMLESS, EXCEPTION_SHARE = 3, 0.9
-#: Size of the model: terms, and exception phrases, of the largest weight.
-MAX_TERMS = 20_000
 FIT_ROWS = 20_000
 #: Most labels that are broadcast (about 16 bytes each); above, documents are shuffled to them.
 BROADCAST_LABELS = 1_000_000
@@ -150,6 +148,15 @@ def choose_terms(rows: list[tuple[str, int, int]], n_toxic: int, n_other: int) -
     return weights
 
 
+def uncovered(good: DataFrame) -> DataFrame:
+    """The terms (term, toxic, other) without the beginnings that a longer one of them stands for."""
+    begins = F.array(*[F.when(F.length("term") > n + 1, F.substring("term", 1, n + 1)) for n in STEMS])
+    longer = good.select(F.explode(begins).alias("term"), "toxic").where(F.col("term").isNotNull())
+    longer = longer.groupBy("term").agg(F.max("toxic").alias("longest"))
+    covered = ~F.col("term").endswith(" ") & (F.coalesce("longest", F.lit(0)) >= 0.95 * F.col("toxic"))
+    return good.join(longer, "term", "left").where(~covered).select("term", "toxic", "other")
+
+
 class Matcher:
     """Aho-Corasick automata of terms and exception phrases over folded texts."""
 
@@ -253,7 +260,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     )
     precise = toxic / n_toxic >= MIN_PRECISION * (toxic / n_toxic + other / n_other)
     good = counts.where(F.col("docs") >= MIN_DOCS).where(precise & (ratio >= MIN_RATIO))
-    rows = good.orderBy(F.desc("toxic"), "term").limit(MAX_TERMS).collect()
+    rows = uncovered(materialize(good.select("term", "toxic", "other"), "terms")).collect()
     terms = choose_terms([(r["term"], r["toxic"], r["other"]) for r in rows], n_toxic, n_other)
 
     def phrases(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -270,7 +277,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         F.sum("toxic").alias("toxic"), F.sum("other").alias("other")
     )
     found = found.where((F.col("other") >= MIN_HARMLESS) & (F.col("other") / n_other >= EXCEPTION_SHARE * (F.col("toxic") / n_toxic + F.col("other") / n_other)))
-    exceptions = {r["term"] for r in found.orderBy(F.desc("other"), "term").limit(MAX_TERMS).collect()}
+    exceptions = {r["term"] for r in found.select("term").collect()}
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         matcher = Matcher(terms, exceptions)

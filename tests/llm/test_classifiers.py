@@ -174,3 +174,22 @@ def test_toxicity_without_labels(make_docs, make_labels):
     assert {r["score"] for r in tx.fit(docs, make_labels([])).score(docs).collect()} == {0.0}
     assert {r["score"] for r in tx.fit(docs, make_labels([(1, 1, 1)])).score(docs).collect()} == {0.0}
     assert tx.fit(docs.limit(0), make_labels([])).score(docs.limit(0)).count() == 0
+
+
+def test_covered_beginnings_as_in_choose_terms(spark):
+    rng = random.Random(11)
+    rows = {f" {''.join(rng.choice('ab') for _ in range(rng.randrange(4, 10)))}{rng.choice(['', ' '])}": rng.randrange(20, 40) for _ in range(300)}
+    rows = [(t, n, 1) for t, n in rows.items() if t.endswith(" ") or len(t) - 1 in tx.STEMS]
+    kept = tx.uncovered(spark.createDataFrame(rows, "term string, toxic long, other long")).collect()
+    want = tx.choose_terms(rows, 100, 100)
+    assert {r["term"] for r in kept} == set(want) and len(want) < len(rows)
+
+
+def test_lexicon_is_not_capped(make_docs, make_labels, monkeypatch):
+    monkeypatch.setattr(tx, "MAX_TERMS", 40, raising=False)  # a cap, if there is one
+    rng = random.Random(12)
+    bad, good = ["".join(rng.choice("hjkmnpqr") for _ in range(9)) for i in range(60)], [f"plain{i}text" for i in range(60)]
+    rows = [(i, " ".join(rng.sample(bad if i % 2 else good, 30))) for i in range(240)]
+    model = tx.fit(make_docs(rows), make_labels([(i, 1, i % 2) for i, _ in rows]))
+    for word in bad:
+        assert tx.Matcher(model.terms, set()).hits([word]), word
