@@ -2,7 +2,10 @@
 
 Texts are folded first: compatibility forms, accents, look-alike letters of other
 scripts and digits or signs used as letters become plain Latin letters (l, i, 1
-and their like are one letter), everything else separates words. The lexicon is
+and their like are one letter), everything else separates words. A digit or sign next to
+letters may also be itself, so such a word has two readings: a plain one, in which
+only substitutes between or before letters are undone, and a full one, in which all
+are. The lexicon is learned from plain readings; both are matched. The lexicon is
 learned from labelled documents: terms are whole words and word beginnings
 (:data:`STEMS` letters), counted by the distinct words of a document that they
 match, with partial sums over all labelled rows of a class; terms mostly found in
@@ -23,8 +26,10 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -59,11 +64,17 @@ LEET = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@
 SAME_LETTER = {"l": "i"}
 
 WORDS = re.compile(r"[^\W_]+")
-#: A digit or sign stands for a letter only with a letter on both sides, or in a
-#: word that begins with it and goes on with letters.
+#: In the plain reading a digit or sign stands for a letter only with a letter on both
+#: sides, or in a word that begins with it and goes on with letters.
 SIGN = re.compile(r"[0134578@$!|]")
 DISGUISED = re.compile(r"(?<=[^\W\d_])[0134578@$!|]+(?=[^\W\d_])|(?<![\w@$!|])[0134578@$]+(?=[^\W\d_]{2})")
 
+#: In the full reading all of them do, in any run of them that holds a letter.
+MORE_LEET = {"2": "z", "6": "g", "9": "g", "+": "t"}
+RUN = re.compile(r"(?<![^\W_])(?<![@$!|+])(?:[^\W\d_]*+[0-9@$!|+])(?:[^\W_]|[@$!|+])*+")
+#: Signs that may end a word as punctuation.
+ENDS = "!|+"
+
 
 def _plain_letters() -> dict[int, str]:
     """Accented Latin letters to their base letter, by decomposition."""
@@ -78,23 +89,46 @@ def _plain_letters() -> dict[int, str]:
 FOLD = {**{chr(k): v for k, v in _plain_letters().items()}, **HOMOGLYPHS}
 FOLDED = frozenset(FOLD)
 SIGNS = {ord(k): v for k, v in LEET.items()}
+ALL_SIGNS = {ord(k): v for k, v in (LEET | MORE_LEET | SAME_LETTER).items()}
+
+#: A full reading: it stands for the words from the first position up to the second.
+Reading = tuple[int, int, str]
 
 
 def fold(text: str | None) -> list[str]:
-    """Words of a text after folding."""
+    """Words of a text after folding (plain readings)."""
+    return readings(text)[0]
+
+
+def readings(text: str | None) -> tuple[list[str], list[Reading]]:
+    """Words of a text after folding, and the full readings that differ from them."""
     if not text:
-        return []
+        return [], []
     if not text.isascii():
         text = unicodedata.normalize("NFKC", text)
     text = text.lower()
     if not text.isascii():
         for letter in FOLDED.intersection(text):
             text = text.replace(letter, FOLD[letter])
+    raw = text
     if SIGN.search(text):
         text = DISGUISED.sub(lambda m: m[0].translate(SIGNS), text)
     for letter, same in SAME_LETTER.items():
         text = text.replace(letter, same)
-    return WORDS.findall(text)
+    # letter for letter, so places in raw and in text are the same
+    starts, full = None, []
+    for m in RUN.finditer(raw):
+        run = m[0]
+        if run.isdecimal() or not any(map(str.isalpha, run)):
+            continue
+        plain = text[m.start() : m.end()]
+        for form in {run, run.rstrip(ENDS)}:
+            form = form.translate(ALL_SIGNS)
+            if form != plain[: len(form)] or plain[len(form) : len(form) + 1].isalnum():
+                if starts is None:
+                    starts = [w.start() for w in WORDS.finditer(text)]
+                full.append((bisect_left(starts, m.start()), bisect_left(starts, m.end()), form))
+    return WORDS.findall(text), sorted(full)
 
 
 def terms_of(words: set[str]) -> Counter:
@@ -184,7 +218,23 @@ class Matcher:
         return found
 
 
-def phrases_of(words: list[str], matcher: Matcher) -> set[str]:
+def full_hits(words: list[str], full: list[Reading], hits: dict[int, float], matcher: Matcher) -> dict[tuple[int, int], tuple[float, str]]:
+    """Of words without a plain hit, the matched full reading with the heaviest term: (first, end) to weight and reading."""
+    found: dict[tuple[int, int], tuple[float, str]] = {}
+    places = None
+    for first, end, form in full:
+        before = words[first - 1 : first] if first else []
+        weight = matcher.hits([*before, form, *words[end : end + 1]]).get(sum(len(w) + 1 for w in before))
+        if weight is None:
+            continue
+        if places is None:
+            places = [0, *accumulate(len(w) + 1 for w in words)]
+        if not any(places[k] in hits for k in range(first, end)):
+            found[first, end] = max(found.get((first, end), (0.0, "")), (weight, form))
+    return found
+
+
+def phrases_of(words: list[str], matcher: Matcher, full: list[Reading] = ()) -> set[str]:
     """Phrases of a matched word and the word before or after it."""
     hits, at, out = matcher.hits(words), 0, set()
     for k, w in enumerate(words):
@@ -194,14 +244,18 @@ def phrases_of(words: list[str], matcher: Matcher) -> set[str]:
             if k + 1 < len(words):
                 out.add(f" {w} {words[k + 1]} ")
         at += len(w) + 1
+    for (first, end), (_, form) in full_hits(words, full, hits, matcher).items():
+        out.update(f" {w} {form} " for w in words[max(0, first - 1) : first])
+        out.update(f" {form} {w} " for w in words[end : end + 1])
     return out
 
 
-def evidence(words: list[str], matcher: Matcher) -> tuple[int, float, float]:
+def evidence(words: list[str], matcher: Matcher, full: list[Reading] = ()) -> tuple[int, float, float]:
     """Hits, their weight per thousand words (log scale), and their bounded sum."""
     hits = matcher.hits(words)
-    total = sum(hits.values())
-    return len(hits), float(np.log1p(1000.0 * total / max(20, len(words)))), min(1.0, total / (3 * MAX_WEIGHT))
+    more = full_hits(words, full, hits, matcher)
+    total = sum(hits.values()) + sum(weight for weight, _ in more.values())
+    return len(hits) + len(more), float(np.log1p(1000.0 * total / max(20, len(words)))), min(1.0, total / (3 * MAX_WEIGHT))
 
 
 class Model:
@@ -219,8 +273,8 @@ class Model:
             for batch in batches:
                 rows = []
                 for text in batch["text"]:
-                    words = fold(text)
-                    rows.append((len(words), *evidence(words, matcher)))
+                    words, full = readings(text)
+                    rows.append((len(words), *evidence(words, matcher, full)))
                 x = np.array(rows, dtype=float).reshape(-1, 4)
                 z = np.zeros(len(x)) if curve is None else 1 / (1 + np.exp(-(curve[0] + x[:, 2:] @ curve[1:])))
                 yield pd.DataFrame({"doc_id": batch["doc_id"], "n_words": x[:, 0].astype(int), "n_hits": x[:, 1].astype(int), "score": z})
@@ -268,7 +322,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         for batch in batches:
             seen: tuple[Counter, Counter] = (Counter(), Counter())
             for text, label in zip(batch["text"], batch["label"], strict=True):
-                seen[1 if label else 0].update(phrases_of(fold(text), matcher))
+                words, full = readings(text)
+                seen[1 if label else 0].update(phrases_of(words, matcher, full))
             names = list(seen[0].keys() | seen[1].keys())
             if names:
                 yield pd.DataFrame({"term": names, "toxic": [seen[1][t] for t in names], "other": [seen[0][t] for t in names]})
@@ -282,7 +337,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         matcher = Matcher(terms, exceptions)
         for batch in batches:
-            found = [evidence(fold(t), matcher) for t in batch["text"]]
+            found = [evidence(words, matcher, full) for words, full in map(readings, batch["text"])]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "a": [e[1] for e in found], "b": [e[2] for e in found], "label": batch["label"]})
 
     # all labelled texts are measured where they lie; the sample is taken of the small rows

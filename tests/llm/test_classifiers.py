@@ -193,3 +193,15 @@ def test_lexicon_is_not_capped(make_docs, make_labels, monkeypatch):
     model = tx.fit(make_docs(rows), make_labels([(i, 1, i % 2) for i, _ in rows]))
     for word in bad:
         assert tx.Matcher(model.terms, set()).hits([word]), word
+
+
+def test_full_readings_undo_every_substitute():
+    matcher = tx.Matcher({" shit ": 3.0, " hate ": 2.0, " idiot ": 2.5, " goon ": 1.0}, {" idiot savant "})
+    hit = lambda text: tx.evidence(*(lambda words, full: (words, matcher, full))(*tx.readings(text)))[0]
+    for text in ("$h1t", "h4t3", "1d10t", "1d107", "1D10T!", "x_h4t3!!", "a h4t3 b 1d10+ c", "900n"):
+        assert hit(text) == text.count(" b ") + 1, text
+    assert hit("hate! idiot") == 2 and hit("1d10t savant") == 0  # plain hits count once; exceptions hold
+    assert all(not hit(t) for t in ("mp3 and b2b in 2024", "4473 $1+1", "hello! wow!!", "", "107 90 x86 " * 3))
+    assert tx.fold("mp3 h4t3 hello!") == ["mp3", "hat3", "heiio"]  # the plain words are as before
+    assert tx.readings("a" * 200_000 + "!" + "1" * 200_000 + "b7")[1]
+    assert tx.phrases_of(*(lambda words, full: (words, matcher, full))(*tx.readings("an 1d10t box"))) == {" an idiot ", " idiot box "}
