@@ -61,7 +61,7 @@ def line_features(line: str, words: list[bytes], seen: bool) -> list[float]:
     n, chars = len(words), max(1, len(line))
     symbols = sum(line.count(c) for c in SYMBOLS)
     bang = line.count("!")
-    letters = sum(map(str.isalpha, line)) if chars < 4000 else chars - symbols - bang - line.count(" ")
+    letters = sum(map(str.isalpha, line))
     upper = line.isupper()
     again = sum(map(bytes.__eq__, words, words[1:]))
     return [

@@ -65,3 +65,12 @@ def test_stage_keeps_columns(make_docs, make_labels, labels):
     assert kept.columns == docs.columns
     assert [r["doc_id"] for r in kept.collect()] == [1]
     assert qr.keep_content(docs.limit(0), make_labels(labels)).count() == 0
+
+
+@pytest.mark.parametrize("content", ["0.12, 0.45, ", "=====---- ", "1\t2;\t3.\t", "Some words, "])
+def test_letters_are_counted_alike_at_every_length(content):
+    few = qr.FEATURES.index("few_letters")
+    short, long = (content * n for n in (5, 5000 // len(content) + 1))
+    assert len(short) < 4000 < 5000 <= len(long)
+    by = [qr.line_features(line, qr.text_words(line), False)[few] for line in (short, long)]
+    assert by == [0.0 if content[0] == "S" else 1.0] * 2
