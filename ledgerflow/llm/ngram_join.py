@@ -19,7 +19,9 @@ copies never meet in pairs. The steps, each a Spark job:
    which keeps the search exact at any size. Texts go to their blocks only if
    their key passes a bitmap, of bounded size, of the nodes in blocks.
 4. *Search.* In a block: inverted lists over all shingles. For each query set the
-   L longest lists are set aside, the short ones are merged, sets that reach
+   L longest lists are set aside, the short ones are merged (with a heap up to
+   :data:`HEAP` postings, by counting above: same result, no Python step per
+   posting), sets that reach
    T - L occurrences are probed in the long ones by binary search, and those that
    reach the overlap T = ceil(4 (|x| + |y|) / 9) are links. A block returns, per
    node, its number of links and its root in the block's union of links.
