@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, histogram_sort, language_id, lm_score, mix, ngram_join, quality_rules, quality_score, toxicity, warc
+from . import decontaminate, histogram_sort, language_id, lm_score, mix, ngram_join, permuterm, quality_rules, quality_score, toxicity, warc
 from .common import fold, prepare, read
 
 
@@ -94,6 +94,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their near words, forms and roots."""
+    prepare(spark)
+    return permuterm.group(read(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_score": op1_lm_score,
     "op2_mix_sources": op2_mix_sources,
@@ -105,9 +111,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_toxicity": op10_toxicity,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_warc_archive": warc.ORACLE,
     "op6_benchmark_decontamination": decontaminate.ORACLE,
+    "op13_spelling_variants": permuterm.ORACLE,
 }

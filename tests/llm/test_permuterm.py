@@ -1,0 +1,100 @@
+import zlib
+from collections import Counter
+
+import pytest
+
+from ledgerflow.llm import permuterm
+from ledgerflow.llm.common import prepare
+
+
+def brute(rows):
+    """The contract by comparing every word with every other."""
+    counts = Counter()
+    for doc_id, text in rows:
+        run = ""
+        for c in (text or "") + " ":
+            if c.isascii() and c.isalpha() or "À" <= c <= "ÿ":
+                run += c.lower() if c.isascii() else c
+            elif run:
+                h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+                at = h % len(run)
+                counts[run[:at] + run[at + 1 :] if h % 31 == 0 else run] += 1
+                run = ""
+    words = {w: n for w, n in counts.items() if len(w) >= 7 and n >= 2}
+
+    def near(a, b):
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+        a, b = sorted((a, b), key=len)
+        return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+    forms, out = {}, {}
+    for w in words:
+        own = sorted((-words[v], v) for v in words if near(v, w))
+        form = own[0] if own and -own[0][0] >= 10 * words[w] else None
+        forms[w] = form[1] if form else None
+        out[w] = [words[w], len(own), forms[w], -form[0] if form else None]
+    for w in words:
+        root = w
+        while forms[root]:
+            root = forms[root]
+        out[w].append(root)
+    return {w: tuple(v) for w, v in out.items()}
+
+
+def run(docs):
+    prepare(docs.sparkSession)
+    rows = permuterm.group(docs).select("word", "n", "n_near", "form", "form_n", "root").collect()
+    assert len({r.word for r in rows}) == len(rows)
+    return {r.word: tuple(r)[1:] for r in rows}
+
+
+ROWS = [
+    (1, "Baggage baggage baggage bagage baggagé baggages " * 3),
+    (2, "baggage " * 400 + "baggagee baggagee packages package"),
+    (3, "PACKAGE package ÉCOLIERS écoliers école ××××××× ÷÷÷÷÷÷÷"),
+    (4, None), (5, ""), (6, "short words only"), (None, "baggages packages package'package"),
+    (7, "aaaaaaaa aaaaaaaa aaaaaaa aaaaaaa aaaaaaab aaaaaaab baaaaaaa baaaaaaa"),
+    (7, "aaaaaaaa aaaaaaaa aaaaaaa aaaaaaa aaaaaaab aaaaaaab baaaaaaa baaaaaaa"),
+    (8, "lengthier " * 1500 + "lengthierr " * 120 + "lengthierrs " * 9),
+]
+
+
+@pytest.mark.parametrize("extra", [False, True])
+def test_equals_brute_force(make_docs, extra):
+    found = run(make_docs(ROWS, extra).repartition(3))
+    assert found == brute(ROWS)
+    assert found["lengthierrs"][2:] == ("lengthierr", found["lengthierr"][0], "lengthier")  # a chain of two forms
+    assert found["aaaaaaaa"][1] >= 2  # a run of one letter counts its deletion once
+
+
+def test_replaced_and_dropped_at_every_place(make_docs):
+    base = "spelling"
+    edits = {base[:i] + c + base[i + 1 :] for i in range(8) for c in "aéz"} | {base[:i] + base[i + 1 :] for i in range(8)}
+    edits |= {base[:i] + c + base[i:] for i in range(9) for c in "lÀ"}
+    rows = [(i, f"{w} {w} {w}") for i, w in enumerate(sorted(edits))] + [(1000 + i, f"{base} " * 40) for i in range(4)]
+    assert run(make_docs(rows)) == brute(rows)
+
+
+def test_random_small_alphabet(make_docs):
+    import random
+
+    rng = random.Random(5)
+    rows = [(i, " ".join("".join(rng.choices("ab", k=rng.randint(6, 9))) for _ in range(120))) for i in range(12)]
+    assert run(make_docs(rows)) == brute(rows)
+
+
+def test_runs_cross_batches(make_docs, spark):
+    docs = make_docs(ROWS)
+    prepare(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    words = permuterm.count_words(docs)
+    whole = permuterm.neighbours(words).groupBy("word").sum("n_near").collect()
+    assert {r[0]: r[1] for r in whole} == {w: v[1] for w, v in brute(ROWS).items() if v[1]}
+    prepare(spark)
+
+
+def test_long_text_and_empty_table(make_docs):
+    rows = [(1, "elongated " * 60_000 + "elongates " * 3)]
+    assert run(make_docs(rows)) == brute(rows)
+    assert run(make_docs([])) == {} and run(make_docs([(1, None), (2, "")])) == {}
