@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, histogram_sort, language_id, lm_score, mix, ngram_join, permuterm, quality_rules, quality_score, toxicity, warc
+from . import decontaminate, histogram_sort, language_id, lm_score, mix, ngram_join, permuterm, prefix_trie, quality_rules, quality_score, secret_link, toxicity, warc
 from .common import fold, prepare, read
 
 
@@ -94,6 +94,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of all rebuilt conversations with its totals."""
+    prepare(spark)
+    return prefix_trie.build(read(spark, sf_dir, "conversations"))
+
+
+def op12_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents, weak ones where their complementary parts co-occur."""
+    prepare(spark)
+    return secret_link.Scan(read(spark, sf_dir, "documents")).report()
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents with their near words, forms and roots."""
     prepare(spark)
@@ -111,11 +123,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_toxicity": op10_toxicity,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_secret_scans": op12_secret_scans,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_warc_archive": warc.ORACLE,
     "op6_benchmark_decontamination": decontaminate.ORACLE,
+    "op11_prefix_trie": prefix_trie.ORACLE,
+    "op12_secret_scans": secret_link.ORACLE,
     "op13_spelling_variants": permuterm.ORACLE,
 }
