@@ -39,11 +39,32 @@ def json_fields(c: ColumnOrName, keys: Sequence[str]) -> list[Column]:
     return [parsed.getField(k).alias(k) for k in keys]
 
 
+def variant(c: ColumnOrName) -> Column:
+    """JSON text parsed once into a ``VARIANT``; NULL for text that is no JSON."""
+    return F.try_parse_json(_col(c))
+
+
+def variant_text(v: Column, path: str) -> Column:
+    """``v #>> path`` for a parsed document: scalars as text, nested values as normalised JSON text.
+
+    Normal form: members sorted by name, no spaces, numbers without trailing zeros;
+    so equal documents give equal text however they were written. JSON null and a
+    missing member are NULL. ``path`` is a JSON path such as ``$.nested.type``.
+    """
+    return F.try_variant_get(v, path, "string")
+
+
+def variant_value(v: Column, path: str, type_name: str) -> Column:
+    """A member as a typed value; NULL where it is missing or does not fit the type."""
+    return F.try_variant_get(v, path, type_name)
+
+
 # --- X2: row to JSON ----------------------------------------------------------
 
-def row_to_json(columns: Sequence[str]) -> Column:
-    """JSON object of the given columns, keeping NULLs as JSON null."""
-    return F.to_json(F.struct(*[F.col(c) for c in columns]), {"ignoreNullFields": "false"})
+def row_to_json(columns: Sequence[str], **more: Column) -> Column:
+    """JSON object of the given columns (and of further named members), keeping NULLs as JSON null."""
+    members = [F.col(c) for c in columns] + [c.alias(name) for name, c in more.items()]
+    return F.to_json(F.struct(*members), {"ignoreNullFields": "false"})
 
 
 # --- X3: array literal --------------------------------------------------------

@@ -6,6 +6,8 @@ A load writes only its own customers as ``run_id=<r>``; the dimension is the
 newest successful run's row per customer with the earliest ``created_at``, and
 the ledger success event commits a load, so a failed one changes nothing.
 Rows whose id is no integer go to the rejects with a reason, and are counted.
+The feed is parsed once: its typed rows are stored as ``dim_feed/run_id=<r>``, and
+staging, rejects, dimension and counters are made from them.
 """
 
 from __future__ import annotations
@@ -15,14 +17,16 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerflow.functions.scalars import message, row_to_json, split_name, to_int
 from ledgerflow.operators import ledger as L
 from ledgerflow.operators.merge import POSITION, dedupe, insert_if_absent
 from ledgerflow.schemas import DIM_CUSTOMER, ETL_RUNS, REJECTED_CUSTOMERS, STAGING_CUSTOMERS
 from ledgerflow.operators.quality import MSG_VALIDATION
+from ledgerflow.sources.claims import claim_run_id
 from ledgerflow.sources.files import read_csv_strings, replace_table, require_columns
-from ledgerflow.sources.runs import append_run, newest_per_key, run_rows
+from ledgerflow.sources.runs import RUN, append_run, newest_per_key, run_rows
 from ledgerflow.sources.tables import count_tables, read_or_empty
 
 REQUIRED = ["customer_id", "full_name", "email"]
@@ -32,7 +36,7 @@ SEED_ROW = (1, "Seed User", "seed.user@example.com")
 
 
 def _paths(root: str) -> dict[str, str]:
-    return {t: os.path.join(root, t) for t in ("staging_customers", "dim_customer", "dim_rejects", "dim_runs")}
+    return {t: os.path.join(root, t) for t in ("staging_customers", "dim_customer", "dim_rejects", "dim_runs", "dim_feed")}
 
 
 def seed_staging(spark: SparkSession, root: str) -> DataFrame:
@@ -68,14 +72,16 @@ def run(spark: SparkSession, root: str, csv_path: str, now: dt.datetime | None =
         to_int("customer_id").alias("customer_id"), "full_name", "email", *POSITION,
         row_to_json(REQUIRED).alias("raw_row"), F.col("customer_id").alias("_raw_id"),
     )
-    good = typed.where(F.col("customer_id").isNotNull())
-    replace_table(good.select("customer_id", "full_name", "email"), p["staging_customers"])
-
-    ledger = read_or_empty(spark, p["dim_runs"], ETL_RUNS)
-    run_id, _ = L.ledger_state(ledger)
+    next_id, _ = L.ledger_state(read_or_empty(spark, p["dim_runs"], ETL_RUNS))
+    run_id = claim_run_id(spark, os.path.join(root, "dim"), next_id)
     started = dt.datetime.now(dt.timezone.utc)
-    L.run_event(spark, run_id, 1, L.RUNNING, csv_path, at=started).write.mode("append").parquet(p["dim_runs"])
+    L.append_event(L.run_event(spark, run_id, 1, L.RUNNING, csv_path, at=started), p["dim_runs"])
     try:
+        append_run(typed, p["dim_feed"], run_id)
+        kept = T.StructType([*typed.schema.fields, T.StructField(RUN, T.LongType())])
+        typed = read_or_empty(spark, p["dim_feed"], kept).where(F.col(RUN) == run_id)
+        good = typed.where(F.col("customer_id").isNotNull())
+        replace_table(good.select("customer_id", "full_name", "email"), p["staging_customers"])
         created = F.lit(now).cast("timestamp") if now is not None else F.current_timestamp()
         rejects = typed.where(F.col("customer_id").isNull()).select(
             "raw_row", message(MSG_VALIDATION.format("customer_id"), "_raw_id").alias("error"), created.alias("created_at")
@@ -89,13 +95,12 @@ def run(spark: SparkSession, root: str, csv_path: str, now: dt.datetime | None =
         )
         append_run(src, p["dim_customer"], run_id)
         counts = typed.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("customer_id").isNull()).alias("bad")).first()
-        L.run_event(
+        done = L.run_event(
             spark, run_id, 2, L.SUCCESS, csv_path, counts["n"], counts["n"] - counts["bad"], counts["bad"], "OK", started_at=started
-        ).write.mode("append").parquet(p["dim_runs"])
+        )
+        L.append_event(done, p["dim_runs"])
     except Exception as exc:
-        L.run_event(spark, run_id, 2, L.FAILED, csv_path, message=str(exc), started_at=started).write.mode(
-            "append"
-        ).parquet(p["dim_runs"])
+        L.append_event(L.run_event(spark, run_id, 2, L.FAILED, csv_path, message=str(exc), started_at=started), p["dim_runs"])
         raise
     staging = spark.read.parquet(p["staging_customers"])
     return count_tables({"staging_customers": staging, "dim_customer": current_dimension(spark, root)})

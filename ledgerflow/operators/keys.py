@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -27,7 +27,7 @@ _ROW_BITS = 33  # monotonically_increasing_id = partition_id << 33 | row_in_part
 
 def assign_surrogate_keys(
     df: DataFrame,
-    order_by: Sequence[str],
+    order_by: Sequence[str | Column],
     alias: str = "surrogate_id",
     start: int = 1,
     num_partitions: int | None = None,
@@ -35,14 +35,16 @@ def assign_surrogate_keys(
     """Add ``alias`` = ``start + rank of the row in order_by`` (1-based, gap-free).
 
     ``order_by`` should be unique for a reproducible numbering (like an
-    identity column fed in a fixed order).
+    identity column fed in a fixed order). Names sort ascending with NULLs last;
+    sort columns (``relational.asc`` / ``desc``) may be mixed, so the number is the
+    row's position in a total sort (T3).
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     # The scan position breaks ties: rows with an equal order value (even a
     # third of the input) can then be split across range partitions instead of
     # all landing in one. Equal values are numbered in scan order.
-    order = [F.col(c).asc_nulls_last() for c in order_by] + [F.col("_tie").asc()]
+    order = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order_by] + [F.col("_tie").asc()]
     # Partitions follow the input's size (AQE cannot split these sorts).
     n = num_partitions or max(1, -(-df.count() // ROWS_PER_PARTITION))
     positioned = (

@@ -11,6 +11,9 @@ rows of failed runs on storage for diagnosis.
 from __future__ import annotations
 
 import datetime as dt
+import os
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +26,27 @@ SUCCESS = "success"
 FAILED = "failed"
 
 
+@dataclass(frozen=True)
+class Totals:
+    """Rows, distinct keys and non-positive rows of the clean table over ``runs`` successful runs."""
+
+    runs: int
+    rows: int
+    keys: int
+    non_positive: int
+
+
+def append_event(event: DataFrame, path: str) -> None:
+    """Add an event to the ledger table.
+
+    Every event goes to a folder of its own run and number: writers of different
+    runs share no folder, so one's commit never removes another's unfinished files.
+    """
+    row = event.first()  # one event
+    folder = os.path.join(path, f"run_id={row['run_id']}", f"event_seq={row['event_seq']}")
+    event.drop("run_id", "event_seq").write.mode("append").parquet(folder)
+
+
 def run_event(
     spark: SparkSession,
     run_id: int,
@@ -36,17 +60,20 @@ def run_event(
     watermark: dt.datetime | None = None,
     at: dt.datetime | None = None,
     started_at: dt.datetime | None = None,
+    totals: Totals | None = None,
 ) -> DataFrame:
     """M5/M6: one ledger event row (``start_run`` is ``seq=1, status=running``).
 
     The final event repeats ``started_at`` and adds ``finished_at``, so the
-    newest event alone is the whole run record.
+    newest event alone is the whole run record. A success event may carry the
+    clean table's ``totals``, this run included.
     """
     at = at or dt.datetime.now(dt.timezone.utc)
     running = status == RUNNING
     row = (
         int(run_id), int(seq), at, status, source_path, int(rows_read), int(rows_loaded),
         int(bad_rows), message, watermark, at if running else started_at, None if running else at,
+        *((totals.runs, totals.rows, totals.keys, totals.non_positive) if totals else (None,) * 4),
     )
     return spark.createDataFrame([row], ETL_RUNS)
 
@@ -97,3 +124,21 @@ def ledger_state(ledger: DataFrame) -> tuple[int, object]:
     if row is None or row["m"] is None:
         return 1, None
     return int(row["m"]) + 1, row["wm"]
+
+
+def covering_totals(ledger: DataFrame, run_id: int) -> Totals | None:
+    """The totals that cover all successful runs, if all of them precede ``run_id``; else None.
+
+    A run that commits while another is at work makes the other's totals cover too few
+    runs; the next run then finds none that cover all, and counts the table anew.
+    """
+    ok = current_runs(ledger).where(F.col("status") == SUCCESS)
+    known = F.struct("visible_runs", "clean_rows", "clean_keys", "clean_non_positive")
+    row = ok.agg(
+        F.count(F.lit(1)).alias("runs"), F.max("run_id").alias("newest"), F.max(F.when(F.col("clean_rows").isNotNull(), known)).alias("last")
+    ).first()
+    if row["runs"] == 0:
+        return Totals(0, 0, 0, 0)
+    if row["newest"] >= run_id or row["last"] is None or row["last"]["visible_runs"] != row["runs"]:
+        return None
+    return Totals(*(int(x) for x in row["last"]))

@@ -18,6 +18,8 @@ from ledgerflow.functions import scalars as X
 
 ERROR = "error"
 RAW_ROW = "raw_row"
+#: Array column for the fields of a feed row beyond its header.
+SURPLUS = "_surplus"
 
 # Rule messages of the feed validation ({} is the column name)
 # and the names and detail texts of the four data-quality checks.
@@ -64,6 +66,7 @@ class FeedSpec:
     ts_type: str = "timestamp"
     raw_columns: Sequence[str] | None = None
     extra_columns: Sequence[str] = field(default_factory=tuple)
+    surplus_col: str | None = None
 
 
 def typed_columns(spec: FeedSpec) -> dict[str, Column]:
@@ -149,17 +152,20 @@ def validate(df: DataFrame, spec: FeedSpec) -> DataFrame:
 
     Output columns: the typed feed columns (money rounded HALF_UP to
     ``DECIMAL(12,2)``), ``extra_columns`` passed through, ``error`` (NULL when
-    good) and ``raw_row`` (JSON of the original text columns, NULLs kept).
+    good) and ``raw_row`` (JSON of the original text columns, NULLs kept, and of
+    the surplus fields where there are any).
 
     Parsing happens once, in a first projection; the rule chain then only
     compares the parsed columns. (Catalyst keeps the two projections apart
     because collapsing them would repeat the parsing in every branch.)
     """
-    raw_cols = list(spec.raw_columns or [c for c in df.columns if c not in spec.extra_columns])
+    own = [spec.surplus_col] if spec.surplus_col else []
+    raw_cols = list(spec.raw_columns or [c for c in df.columns if c not in (*spec.extra_columns, *own)])
     parsed = typed_columns(spec)
     staged = df.select(
         *[F.col(c) for c in raw_cols],
         *[F.col(c) for c in spec.extra_columns if c not in raw_cols],
+        *[F.col(c) for c in own],
         *[expr.alias(_TYPED + c) for c, expr in parsed.items()],
     )
     t = {c: F.col(_TYPED + c) for c in parsed}
@@ -173,11 +179,15 @@ def validate(df: DataFrame, spec: FeedSpec) -> DataFrame:
         else:
             typed.append(F.col(c))
     checked = staged.withColumn(_ERROR, first_error(rules))
+    raw = X.row_to_json(raw_cols)
+    if own:  # surplus fields have no name: they are the JSON member "null", as json.dumps writes the key None
+        beyond = F.col(own[0])
+        raw = F.when(beyond.isNull(), raw).otherwise(X.row_to_json(raw_cols, null=beyond))
     return checked.select(
         *typed,
         *[F.col(c) for c in spec.extra_columns],
         F.col(_ERROR).alias(ERROR),
-        F.when(F.col(_ERROR).isNotNull(), X.row_to_json(raw_cols)).alias(RAW_ROW),
+        F.when(F.col(_ERROR).isNotNull(), raw).alias(RAW_ROW),
     )
 
 
@@ -254,14 +264,6 @@ def dq_checks(
     """
     # ``rows_loaded`` is the run's counter, or an aggregate over ``clean``.
     loaded_expr = F.lit(int(rows_loaded)) if isinstance(rows_loaded, int) else rows_loaded
-    loaded = F.col("loaded")
-    expected = F.when(loaded == 0, F.lit(0)).otherwise(F.lit(1))
-    q1 = F.struct(
-        F.lit(DQ_MIN_ROWS).alias("check_name"),
-        (loaded >= expected).alias("passed"),
-        loaded.cast("double").alias("metric"),
-        F.format_string(DQ_MIN_ROWS_DETAIL, expected, loaded).alias("details"),
-    )
     keys = [F.col(k) for k in key_cols]
     own_amounts = amounts is None
     stats = clean.agg(
@@ -275,36 +277,40 @@ def dq_checks(
         F.count_if(F.col(run_col) == F.lit(run_id)).alias("influenced"),
         *([F.count_if(F.col(amount_col) <= 0).alias("non_positive")] if own_amounts else []),
     )
-    dup = F.col("total") - F.col("distinct_total")
-    q2 = F.struct(
-        F.lit(DQ_NO_DUPLICATES).alias("check_name"),
-        (dup == 0).alias("passed"),
-        dup.cast("double").alias("metric"),
-        F.format_string(DQ_NO_DUPLICATES_DETAIL, F.col("total"), F.col("distinct_total")).alias("details"),
-    )
-    q4 = F.struct(
-        F.lit(DQ_RUN_INFLUENCED).alias("check_name"),
-        F.when(loaded > 0, F.col("influenced") > 0).otherwise(F.lit(True)).alias("passed"),
-        F.col("influenced").cast("double").alias("metric"),
-        F.format_string(DQ_RUN_INFLUENCED_DETAIL.format(run_id), F.col("influenced")).alias("details"),
-    )
+    if own_amounts:
+        return dq_report(stats, run_id)
+    extra = amounts.agg(F.count_if(F.col(amount_col) <= 0).alias("non_positive"))
+    # two one-row aggregates; the check on the other frame is a row of its own
+    main = dq_report(stats.withColumn("non_positive", F.lit(0).cast("bigint")), run_id, [0, 1, 3])
+    zeros = [F.lit(0).cast("bigint").alias(c) for c in ("loaded", "total", "distinct_total", "influenced")]
+    return main.unionByName(dq_report(extra.select(*zeros, "non_positive"), run_id, [2]))
 
-    def q3(col: Column) -> Column:
-        return F.struct(
-            F.lit(DQ_NO_NON_POSITIVE).alias("check_name"),
-            (col == 0).alias("passed"),
-            col.cast("double").alias("metric"),
-            F.format_string(DQ_NO_NON_POSITIVE_DETAIL, col).alias("details"),
-        )
 
-    if own_amounts:
-        return stats.select(F.inline(F.array(q1, q2, q3(F.col("non_positive")), q4)))
-    main = stats.select(F.inline(F.array(q1, q2, q4)))
-    extra = amounts.agg(F.count_if(F.col(amount_col) <= 0).alias("non_positive")).select(
-        F.inline(F.array(q3(F.col("non_positive"))))
-    )
-    return main.unionByName(extra)
+def dq_report(stats: DataFrame, run_id, checks: Sequence[int] = (0, 1, 2, 3)) -> DataFrame:
+    """The check rows for one row of counts: loaded, total, distinct_total, influenced, non_positive.
 
+    The counts may come from a pass over the table or from totals kept run by run.
+    """
+    loaded, total, distinct = F.col("loaded"), F.col("total"), F.col("distinct_total")
+    expected = F.when(loaded == 0, F.lit(0)).otherwise(F.lit(1))
+    dup = total - distinct
+    rows = [
+        (DQ_MIN_ROWS, loaded >= expected, loaded, F.format_string(DQ_MIN_ROWS_DETAIL, expected, loaded)),
+        (DQ_NO_DUPLICATES, dup == 0, dup, F.format_string(DQ_NO_DUPLICATES_DETAIL, total, distinct)),
+        (
+            DQ_NO_NON_POSITIVE, F.col("non_positive") == 0, F.col("non_positive"),
+            F.format_string(DQ_NO_NON_POSITIVE_DETAIL, F.col("non_positive")),
+        ),
+        (
+            DQ_RUN_INFLUENCED, F.when(loaded > 0, F.col("influenced") > 0).otherwise(F.lit(True)), F.col("influenced"),
+            F.format_string(DQ_RUN_INFLUENCED_DETAIL.format(run_id), F.col("influenced")),
+        ),
+    ]
+    named = [
+        F.struct(F.lit(name).alias("check_name"), passed.alias("passed"), metric.cast("double").alias("metric"), details.alias("details"))
+        for name, passed, metric, details in (rows[i] for i in checks)
+    ]
+    return stats.select(F.inline(F.array(*named)))
 
 
 # --- K: constraint checks -------------------------------------------------------------

@@ -1199,3 +1199,6 @@ def rewrite_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_lines(_t(spark, sf_dir, "documents"), f"{work}/in", "text")
     out = rewrite_text.transform(spark, f"{work}/in", f"{work}/out", REWRITE_FROM, REWRITE_TO)
     return out.groupBy(F.col("value").alias("line")).agg(F.count(F.lit(1)).alias("n"))
+
+
+from ledgerflow.plans import load_keys as _load_keys  # noqa: E402, F401  (registers its queries here)

@@ -46,7 +46,9 @@ TRANSACTIONS = _schema(
 ETL_RUNS = _schema(
     "run_id BIGINT, event_seq INT, event_at TIMESTAMP, status STRING, source_path STRING, "
     "rows_read BIGINT, rows_loaded BIGINT, bad_rows BIGINT, message STRING, "
-    "watermark TIMESTAMP, started_at TIMESTAMP, finished_at TIMESTAMP"
+    "watermark TIMESTAMP, started_at TIMESTAMP, finished_at TIMESTAMP, "
+    # totals of the clean table with this run, and how many successful runs they cover
+    "visible_runs BIGINT, clean_rows BIGINT, clean_keys BIGINT, clean_non_positive BIGINT"
 )
 RAW_TRANSACTIONS = _schema(
     "id BIGINT, txn_id STRING, account_id INT, ts_event TIMESTAMP, amount DECIMAL(12,2), "

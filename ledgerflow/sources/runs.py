@@ -59,3 +59,31 @@ def newest_per_key(rows: DataFrame, key: str, first_value: Sequence[str] = ()) -
 def rewrite(current: DataFrame, path: str) -> None:
     """Store the current rows as one plain table for readers that scan it often."""
     replace_table(current, path)
+
+
+def write_bucketed(current: DataFrame, table: str, path: str, key: str, buckets: int) -> None:
+    """Store the current rows as a catalog table of ``buckets`` buckets by key, each sorted by it.
+
+    One exchange lines the rows up with the buckets, so a bucket is one file. Later
+    joins and windows on the key read the table as it lies, without an exchange.
+    """
+    rows = current.repartition(buckets, key)
+    rows.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+
+
+def upsert_bucketed(spark: SparkSession, table: str, increment: DataFrame, key: str) -> DataFrame:
+    """M2 over a bucketed table: its rows without those that ``increment`` replaces, and the increment.
+
+    Only the increment is exchanged (to the table's buckets, or broadcast when its
+    measured size is small); the table's side has the partitioning and order already.
+    ``increment`` must be unique on the key.
+    """
+    target = spark.table(table)
+    source = increment.select(*target.columns)
+    return target.join(source.select(key), key, "left_anti").unionByName(source)
+
+
+def newest_in_bucketed(spark: SparkSession, table: str, key: str, order: Sequence[str]) -> DataFrame:
+    """W1 over a bucketed table that holds several versions of a key: no exchange, no sort of the table by key."""
+    rows = spark.table(table)
+    return latest_per_key(rows, [key], list(order), [c for c in rows.columns if c != key])

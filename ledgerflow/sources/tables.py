@@ -59,6 +59,23 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType, partition
     spark.sql(f"CREATE TABLE IF NOT EXISTS `{name}` ({cols}) USING parquet{part}")
 
 
+def create_with_defaults(
+    spark: SparkSession, name: str, schema: T.StructType, defaults: Mapping[str, str], path: str | None = None
+) -> None:
+    """A catalog table whose columns have ``DEFAULT`` expressions (SQL text), kept by the catalog."""
+    cols = ", ".join(
+        f"`{f.name}` {f.dataType.simpleString()}" + (f" DEFAULT {defaults[f.name]}" if f.name in defaults else "") for f in schema.fields
+    )
+    where = f" LOCATION '{path}'" if path else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS `{name}` ({cols}) USING parquet{where}")
+
+
+def insert_by_name(df: DataFrame, name: str) -> None:
+    """``INSERT INTO name (columns of df)``: absent columns take the catalog's defaults, an explicit NULL stays."""
+    cols = ", ".join(f"`{c}`" for c in df.columns)
+    df.sparkSession.sql(f"INSERT INTO `{name}` ({cols}) SELECT {cols} FROM {{rows}}", rows=df)
+
+
 def with_defaults(df: DataFrame, defaults: Mapping[str, Column]) -> DataFrame:
     """Add the columns that the input does not carry, with their default expressions.
 
