@@ -75,7 +75,7 @@ def run(spark: SparkSession, root: str, csv_path: str, now: dt.datetime | None =
     next_id, _ = L.ledger_state(read_or_empty(spark, p["dim_runs"], ETL_RUNS))
     run_id = claim_run_id(spark, os.path.join(root, "dim"), next_id)
     started = dt.datetime.now(dt.timezone.utc)
-    L.append_event(L.run_event(spark, run_id, 1, L.RUNNING, csv_path, at=started), p["dim_runs"])
+    L.append_event(spark, p["dim_runs"], run_id, 1, L.RUNNING, csv_path, at=started)
     try:
         append_run(typed, p["dim_feed"], run_id)
         kept = T.StructType([*typed.schema.fields, T.StructField(RUN, T.LongType())])
@@ -95,12 +95,10 @@ def run(spark: SparkSession, root: str, csv_path: str, now: dt.datetime | None =
         )
         append_run(src, p["dim_customer"], run_id)
         counts = typed.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("customer_id").isNull()).alias("bad")).first()
-        done = L.run_event(
-            spark, run_id, 2, L.SUCCESS, csv_path, counts["n"], counts["n"] - counts["bad"], counts["bad"], "OK", started_at=started
-        )
-        L.append_event(done, p["dim_runs"])
+        n, bad = counts["n"], counts["bad"]
+        L.append_event(spark, p["dim_runs"], run_id, 2, L.SUCCESS, csv_path, n, n - bad, bad, "OK", started_at=started)
     except Exception as exc:
-        L.append_event(L.run_event(spark, run_id, 2, L.FAILED, csv_path, message=str(exc), started_at=started), p["dim_runs"])
+        L.append_event(spark, p["dim_runs"], run_id, 2, L.FAILED, csv_path, message=str(exc), started_at=started)
         raise
     staging = spark.read.parquet(p["staging_customers"])
     return count_tables({"staging_customers": staging, "dim_customer": current_dimension(spark, root)})

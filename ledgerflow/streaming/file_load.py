@@ -26,20 +26,21 @@ from pyspark.sql import functions as F
 
 from ledgerflow.jobs.incremental_load import LoadConfig, read_ledger, run_load
 from ledgerflow.operators import ledger as L
-from ledgerflow.sources.claims import claim_run_id, make_folder
+from ledgerflow.sources.claims import make_folder
 
 
 def batch_source(landing: str, query_id: str, batch_id: int) -> str:
     return f"{landing}#query={query_id}&batch={batch_id}"
 
 
-def _run_id_for(spark: SparkSession, cfg: LoadConfig, source: str) -> tuple[int, bool]:
-    ledger = read_ledger(spark, cfg)
-    mine = L.current_runs(ledger).where(F.col("source_path") == source).select("run_id", "status").collect()
+def _run_id_for(spark: SparkSession, cfg: LoadConfig, source: str) -> tuple[int | None, bool]:
+    """The run id of a batch that was tried before, and whether it succeeded; a new batch has none yet."""
+    own = read_ledger(spark, cfg).where(F.col("source_path") == source)
+    mine = L.current_runs(own).select("run_id", "status").collect()
     if mine:  # at most a few rows: the events of one batch
         done = any(r["status"] == L.SUCCESS for r in mine)
         return int(mine[0]["run_id"]), done
-    return claim_run_id(spark, cfg.root, L.next_run_id(ledger)), False
+    return None, False
 
 
 def file_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None) -> DataFrame:
