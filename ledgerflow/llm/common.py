@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,22 +20,74 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Folders of the tables that this process has written and not yet removed.
+_written: list[str] = []
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
 
     Cuts the lineage with data on shared storage, so a lost executor costs only
     the tasks it was running; a later stage never recomputes the pass before.
+    The table is there until :func:`release` removes it.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    _written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written() -> int:
+    """How many intermediate tables there are: a mark for :func:`release`."""
+    return len(_written)
+
+
+def release(spark: SparkSession, mark: int = 0) -> int:
+    """Remove the intermediate tables written since ``mark``; returns their number.
+
+    For when what was made from them has itself been written: results are lazy and
+    read their intermediate tables until then.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    paths = _written[mark:]
+    del _written[mark:]
+    for path in paths:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
+    return len(paths)
+
+
 #: Rows and bytes that a Python worker gets at a time; texts are long.
 BATCH_ROWS, BATCH_BYTES = 1000, 32 << 20
 
 
+#: Characters of a frame of texts; Python needs some ten bytes for each while it works on them.
+FRAME_CHARS = 8 << 20
+
+
+def frames(batches: Iterator[pd.DataFrame], rows: int, chars: int | None = None) -> Iterator[pd.DataFrame]:
+    """The same rows (with a column text) in frames of at most ``rows`` rows and ``chars`` characters,
+    whatever the size of Arrow's batches; a longer text is a frame of its own."""
+    chars = chars or FRAME_CHARS
+    held: list[pd.DataFrame] = []
+    n = size = 0
+    for batch in batches:
+        upto = np.append(0, np.cumsum([len(t) if t else 0 for t in batch["text"]])).astype(np.int64)
+        at = 0
+        while at < len(batch):
+            fits = int(np.searchsorted(upto, upto[at] + chars - size, side="right")) - 1
+            end = max(min(fits, at + rows - n, len(batch)), at + 1 if not held else at)
+            if end > at:
+                held.append(batch.iloc[at:end])
+                n, size, at = n + end - at, size + int(upto[end] - upto[at]), end
+            if at < len(batch) or n >= rows:
+                yield pd.concat(held, ignore_index=True)
+                held, n, size = [], 0, 0
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
 def prepare(spark: SparkSession) -> None:
     """Shared folder (a local one only in tests) and small Arrow batches for the session."""
     ensure_checkpoint_dir(spark)
@@ -49,6 +105,15 @@ def text_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """``docs`` as (row, id, key): all columns in one struct, doc_id, and the hash of the text.
+
+    What an operator adds stands beside the struct, so no column of ``docs`` can
+    clash with it; ``select("row.*")`` gives the columns back as they were.
+    """
+    return docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("key"))
+
+
 def bounded(df: DataFrame, rows: int) -> DataFrame:
     """``df`` with a broadcast hint if its counted rows stay under the bound, else as it is."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
