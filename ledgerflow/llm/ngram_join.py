@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import materialize, text_words
+from .common import frames, materialize, packed, text_words
 from .graph import components
 
 WORDS = 5
@@ -60,6 +60,8 @@ BUCKET = 500_000
 #: Total length of short lists up to which they are merged with a heap; longer
 #: ones are merged by counting, which gives the same result.
 HEAP = 2_000
+#: Texts that a task turns into sets at a time.
+FRAME_ROWS = 2_000
 #: Side of nodes in a block that is searched against itself; 0 and 1 face each other.
 ALONE = 2
 
@@ -99,22 +101,9 @@ def spare(n: np.ndarray | int) -> np.ndarray | int:
     return (SPARE_PCT * n + 99) // 100
 
 
-def _regroup(batches: Iterator[pd.DataFrame], rows: int = 2_000) -> Iterator[pd.DataFrame]:
-    """The same rows in frames of about ``rows``, whatever the size of Arrow's batches."""
-    held: list[pd.DataFrame] = []
-    for batch in batches:
-        for at in range(0, len(batch), rows):
-            held.append(batch.iloc[at : at + rows])
-            if sum(map(len, held)) >= rows:
-                yield pd.concat(held, ignore_index=True)
-                held = []
-    if held:
-        yield pd.concat(held, ignore_index=True)
-
-
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows (doc_id, sid, n, tkey) of documents; rows (token, seen) of shingles frequent in the batch."""
-    for batch in _regroup(batches):
+    for batch in frames(batches, FRAME_ROWS):
         own, ids, sizes, at = [], [], [], {}
         for text in batch["text"]:
             tokens = shingles(text)
@@ -136,7 +125,7 @@ def _prefixes(long: np.ndarray, seen: np.ndarray, buckets: int):
     """Prefix postings of each batch: (bucket, payload) for short lists, (sid, token, df) for long ones."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in _regroup(batches):
+        for batch in frames(batches, FRAME_ROWS):
             known, toks, sids, far, far_sid = set(), [], [], [], []
             for text in batch["text"]:
                 tokens = shingles(text)
@@ -421,16 +410,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """
     found = materialize(_classes(docs).select("doc_id", "tkey", "root"), "classes")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tkey")).alias("first")
-    chosen = found.where("root IS NOT NULL").groupBy("root").agg(first).select(F.col("first.doc_id").alias("_id"), F.col("first.tkey").alias("_key"))
-    again = found.groupBy(F.col("doc_id").alias("_id"), F.col("tkey").alias("_key")).agg(
-        F.max("root").isNull().alias("_empty"), (F.count("*") > 1).alias("_again")
-    )
-    same = again["_id"].eqNullSafe(chosen["_id"]) & (again["_key"] == chosen["_key"])
-    kept = again.where("_empty").select("_id", "_key", F.lit(False).alias("_again")).union(
-        again.where("NOT _empty").join(chosen, same, "left_semi").select("_id", "_key", "_again")
-    )
-    rows = docs.withColumn("_text_key", F.xxhash64("text"))
-    rows = rows.join(kept, rows["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))).drop("_id", "_key")
-    return (
-        rows.where("NOT _again").unionByName(rows.where("_again").dropDuplicates(["doc_id", "_text_key"])).select(*docs.columns)
+    chosen = found.where("root IS NOT NULL").groupBy("root").agg(first).select("first.doc_id", "first.tkey")
+    again = found.groupBy("doc_id", "tkey").agg(F.max("root").isNull().alias("empty"), (F.count("*") > 1).alias("again"))
+    same = again["doc_id"].eqNullSafe(chosen["doc_id"]) & (again["tkey"] == chosen["tkey"])
+    kept = again.where("empty").select("doc_id", "tkey", F.lit(False).alias("again")).union(
+        again.where("NOT empty").join(chosen, same, "left_semi").select("doc_id", "tkey", "again")
     )
+    rows = packed(docs)
+    rows = rows.join(kept, rows["id"].eqNullSafe(kept["doc_id"]) & (rows["key"] == kept["tkey"])).select("row", "id", "key", "again")
+    return rows.where("NOT again").unionByName(rows.where("again").dropDuplicates(["id", "key"])).select("row.*")
