@@ -15,7 +15,8 @@ shingle; ordering by rarity over all documents makes it the rarest one. The join
 
 The document's words stay inside one generated stage (explode, probe, verify),
 so no word is shuffled. Probes are broadcast while they are at most
-:data:`BROADCAST_KEYS`; above that the same join runs as a shuffle join.
+:data:`BROADCAST_KEYS`; above that only positions and shingles are shuffled to
+them, and the candidates of a document go back to its text once.
 
 Defined cases: null or empty texts have no words and are clean; items without a
 word (or null) have no window; a document is known by doc_id and text, repeated
@@ -28,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, materialize
+from .common import bounded, materialize, packed
 
 #: Words of a decontamination text after lower-casing A-Z (fixed value of the contract).
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -84,6 +85,38 @@ def _exploded(docs: DataFrame, n: int) -> DataFrame:
     )
 
 
+def _beside_texts(docs: DataFrame, probes: DataFrame, k: int) -> DataFrame:
+    """Occurrences with broadcast probes: each is verified where its text is, no word is shuffled."""
+    start = F.col("pos") - F.col("offset")
+    return (
+        _exploded(docs, k).join(F.broadcast(probes), "key")
+        .where((start >= 0) & (start + F.col("n") <= F.size("words")))
+        .where(F.slice("words", start + 1, F.col("n")) == F.col("win_words"))
+        .select("doc_id", "text_key", start.alias("at"), "n", "win")
+    )
+
+
+def _by_candidates(docs: DataFrame, probes: DataFrame, k: int) -> DataFrame:
+    """The same with probes of any number: only (document, position, shingle) is shuffled to the probes.
+
+    The positional bounds leave few candidates; those of a document go back to its text
+    in one row, the words they name are cut out there, and only these are compared
+    with the window's words. Every step is linear in words and candidates.
+    """
+    n_words, start = F.size("words"), F.col("pos") - F.col("offset")
+    places = _exploded(docs, k).select("doc_id", "text_key", "pos", n_words.alias("n_words"), "key")
+    met = places.join(probes.select("key", "win", "n", "offset"), "key").where((start >= 0) & (start + F.col("n") <= F.col("n_words")))
+    met = met.select("doc_id", "text_key", F.struct(start.alias("at"), "n", "win").alias("place"))
+    own = met.groupBy("doc_id", "text_key").agg(F.collect_set("place").alias("places"))
+    texts = docs.select(F.col("doc_id").alias("d"), F.col("text_key").alias("t"), "words")
+    back = own.join(texts, own["doc_id"].eqNullSafe(texts["d"]) & (own["text_key"] == texts["t"]))
+    cut = back.select("doc_id", "text_key", F.explode("places").alias("place"), "words").select(
+        "doc_id", "text_key", "place.*", F.slice("words", F.col("place.at") + 1, F.col("place.n")).alias("found")
+    )
+    same = probes.select(F.col("win").alias("w"), "win_words")
+    return cut.join(same, (F.col("win") == F.col("w")) & (F.col("found") == F.col("win_words"))).select("doc_id", "text_key", "at", "n", "win")
+
+
 def occurrences(docs: DataFrame, wins: DataFrame) -> DataFrame:
     """Verified occurrences: doc_id, text_key, at (first word), n, win. ``docs`` has a words array.
 
@@ -107,13 +140,8 @@ def occurrences(docs: DataFrame, wins: DataFrame) -> DataFrame:
             rarest.where("rank.seen > 0").select("win", "win_words", "n", F.col("rank.offset").alias("offset"), F.col("rank.key").alias("key")),
             "probes",
         )
-        start = F.col("pos") - F.col("offset")
-        hits = (
-            _exploded(docs, k).join(bounded(probes, BROADCAST_KEYS), "key")
-            .where((start >= 0) & (start + F.col("n") <= F.size("words")))
-            .where(F.slice("words", start + 1, F.col("n")) == F.col("win_words"))
-            .select("doc_id", "text_key", start.alias("at"), "n", "win")
-        )
+        few = probes.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+        hits = _beside_texts(docs, probes, k) if few else _by_candidates(docs, probes, k)
         found = hits if found is None else found.union(hits)
     if found is None:
         found = docs.select("doc_id", "text_key", F.lit(0).alias("at"), F.lit(0).alias("n"), F.lit(0).cast("long").alias("win")).where("false")
@@ -161,9 +189,9 @@ def measure(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Data
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with their own columns."""
-    bad = measure(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
-    bad = bad.distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key")), "left_anti")
+    bad = measure(docs, benchmark).where("contaminated").select("doc_id", "text_key").distinct()
+    rows = packed(docs)
+    return rows.join(bad, rows["id"].eqNullSafe(bad["doc_id"]) & (rows["key"] == bad["text_key"]), "left_anti").select("row.*")
 
 
 #: The same by brute force: every window of every document against every window of every item.

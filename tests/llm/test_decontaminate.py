@@ -61,6 +61,17 @@ def test_shuffle_join_gives_the_same(make_docs, make_items, monkeypatch):
     assert result(make_docs(DOCS), make_items(ITEMS)) == brute(DOCS, ITEMS)
 
 
+def test_shuffled_probes_on_a_long_text(make_docs, make_items, monkeypatch):
+    """A text of 60,000 words with an item every 300: the candidates' way gives what the broadcast way gives."""
+    items = [(i, " ".join(f"i{i}w{k}" for k in range(15))) for i in range(200)]
+    text = " ".join("plain words " * 142 + items[i % 200][1] for i in range(200))
+    docs = [(1, text), (2, "other words"), (3, text[:200_000]), (3, text[:200_000])]
+    want = result(make_docs(docs), make_items(items))
+    monkeypatch.setattr(dc, "BROADCAST_KEYS", 0)
+    assert result(make_docs(docs), make_items(items)) == want
+    assert {r[0]: r[2] for r in want}[1] == 200 * 15
+
+
 def test_empty_tables(make_docs, make_items):
     assert dc.measure(make_docs([]), make_items(ITEMS)).count() == 0
     rows = result(make_docs(DOCS), make_items([]))
