@@ -15,7 +15,8 @@ starts again. Slots join blocks by index.
 Everything is a function of the seed, so reruns agree. Word counts and offsets
 are prefix sums within hash buckets of a source plus the totals of the buckets
 before, so a hot source is spread over many tasks. The driver holds one number
-per source, and per source and shard.
+per source, and per source and group of :data:`SHARD_GROUP` shards; the shards of a
+group are drawn in a task.
 
 Defined cases: null or empty texts have size 0 and are never taken; a null source
 is a source of its own, ordered last; sources of size 0 have target 0; repeated
@@ -26,7 +27,7 @@ empty table gives an empty mix; other columns are not read.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -35,10 +36,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import LongType
 
-from .common import materialize, text_words
+from .common import materialize, packed, text_words
 
 BLOCK_WORDS = 64
 SHARD_SLOTS = 65_536
+#: Output shards whose draws the driver makes as one, and slots that a task makes.
+SHARD_GROUP, SLOTS_PER_TASK = 64, 1 << 16
 MOST_REPEATS = 2
 #: Documents of a hash bucket in a source's stream.
 BUCKET_ROWS = 2_000
@@ -88,6 +91,20 @@ def shard_counts(quota: np.ndarray, shard_slots: int, seed: int = SEED) -> np.nd
     return np.array(rows, dtype=np.int64) if rows else np.zeros((0, len(quota)), np.int64)
 
 
+def _draw_shards(shard_slots: int, seed: int):
+    """Slots of each source in the shards of a group, from the group's own numbers: (shard, src, n, first slot of the source)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for group, quota, start in zip(b["shard_group"], b["n"], b["first"], strict=True):
+                counts = shard_counts(np.asarray(quota, np.int64), shard_slots, seed + 1 + int(group))
+                first = np.asarray(start, np.int64) + np.vstack([np.zeros((1, counts.shape[1]), np.int64), counts.cumsum(0)])[:-1]
+                shard, src = np.nonzero(counts)
+                yield pd.DataFrame({"shard": int(group) * SHARD_GROUP + shard, "src": src, "n": counts[shard, src], "first": first[shard, src]})
+
+    return run
+
+
 def permute(index: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray:
     """Pseudorandom permutation of range(size), for each element its own size and key."""
     bits = np.maximum(2, np.ceil(np.log2(np.maximum(size, 2))).astype(np.int64))
@@ -135,7 +152,6 @@ class Mix:
         self.sources["blocks"] = [-(-n // block) for n in sizes]
         # slots by the source's mean block, so that a short last block doesn't count as a whole one
         quota = np.array([round(t * b / n) if n else 0 for t, b, n in zip(*(self.sources[c] for c in ("target", "blocks", "size")), strict=True)], dtype=np.int64)
-        counts = shard_counts(quota, shard_slots, seed)
 
         table = [
             (i, None if pd.isna(s) else s, n, float(t), int(b), int(np.uint64(seed * 1_000_003 + i) & np.uint64(0x7FFFFFFF)))
@@ -161,15 +177,17 @@ class Mix:
             (F.col("before") + F.col("inner")).alias("first"),
         ).withColumn("start", F.col("first") + F.col("copy") * F.col("size")).drop("first")
 
-        first = np.vstack([np.zeros((1, counts.shape[1]), np.int64), counts.cumsum(0)])[:-1] if len(counts) else counts
-        draws = [
-            (int(k), int(s), int(counts[k, s]), int(first[k, s]))
-            for k in range(len(counts)) for s in range(counts.shape[1]) if counts[k, s]
-        ]
-        draws = spark.createDataFrame(draws, "shard int, src int, n long, first long")
-        self.draws = draws
+        # the driver draws for groups of shards; a group's shards are drawn where its slots are made
+        draws = shard_counts(quota, shard_slots * SHARD_GROUP, seed)
+        first = np.vstack([np.zeros((1, draws.shape[1]), np.int64), draws.cumsum(0)])[:-1] if len(draws) else draws
+        groups = spark.createDataFrame(
+            [(g, draws[g].tolist(), first[g].tolist()) for g in range(len(draws))], "shard_group long, n array<long>, first array<long>"
+        )
+        shards = groups.repartition(max(1, len(draws)), "shard_group").mapInPandas(_draw_shards(shard_slots, seed), "shard long, src int, n long, first long")
+        # many tasks whatever the size of the draws: an explicit number is not merged by AQE
+        tasks = max(1, int(quota.sum()) // SLOTS_PER_TASK)
         at = F.explode(F.sequence("first", F.col("first") + F.col("n") - 1))
-        slots = draws.repartition("shard", "src").select("shard", "src", at.alias("k"))
+        slots = shards.repartition(tasks, "shard", "src").select("shard", "src", at.alias("k"))
         slots = slots.join(F.broadcast(self.table.select("src", "blocks", "key")), "src")
         turn = F.floor(F.col("k") / F.col("blocks"))
         self.slots = slots.select(
@@ -246,18 +264,19 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     mix = Mix(docs)
     spans = (
         mix.mixed().groupBy("doc_id", "text_key", "src", "copy", "turn")
-        .agg(F.collect_set(F.struct("begin", "end")).alias("_spans"))
+        .agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
         .join(F.broadcast(mix.table.select("src", "name")), "src")
-        .select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("name").alias("_source"), "_spans", "copy", "turn")
+        .select("doc_id", "text_key", F.col("name").alias("source_name"), "spans", "copy")
     )
-    keyed = docs.withColumn("_text_key", F.xxhash64("text"))
-    # rows repeated exactly were numbered by the mix; one of them carries all copies
     spans = materialize(spans, "mix-spans")
+    keyed = packed(docs).withColumn("source", F.col("row.source"))
+    # rows repeated exactly were numbered by the mix; one of them carries all copies
     if not spans.where("copy > 0").isEmpty():
-        keyed = keyed.dropDuplicates(["doc_id", "_text_key", "source"])
-    same = keyed["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))
-    rows = keyed.join(spans, same & keyed["source"].eqNullSafe(F.col("_source")))
-    rows = rows.withColumn("text", cut_words(F.col("text"), F.col("_spans")))
+        keyed = keyed.dropDuplicates(["id", "key", "source"])
+    same = keyed["id"].eqNullSafe(spans["doc_id"]) & (keyed["key"] == spans["text_key"])
+    rows = keyed.join(spans, same & keyed["source"].eqNullSafe(spans["source_name"]))
+    rows = rows.select("row", cut_words(F.col("row.text"), F.col("spans")).alias("text"))
+    new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns)
+        new["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return rows.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])

@@ -87,3 +87,47 @@ def test_mixed_documents(make_docs):
     assert m.mixed_documents(make_docs([])).count() == 0
     assert m.Mix(make_docs([])).taken().count() == 0
     assert m.mixed_documents(make_docs([(1, None), (2, " ")])).count() == 0
+
+
+def test_taken_equals_a_recount_of_the_slots(make_docs):
+    """Each source's stream, blocks and permutation by hand, from the slots' own list of blocks."""
+    rows = docs_rows()
+    mix = m.Mix(make_docs(rows), block=16, shard_slots=500)
+    placed = mix.placed.collect()
+    streams = {}
+    for r in placed:  # the words of a source's stream, by the document they belong to
+        own = streams.setdefault(r["src"], {})
+        for k in range(r["size"]):
+            assert own.setdefault(r["start"] + k, (r["doc_id"], r["text_key"], r["copy"])) == (r["doc_id"], r["text_key"], r["copy"])
+    for src, own in streams.items():
+        assert sorted(own) == list(range(int(mix.sources["size"][src])))  # no gap, no overlap
+    taken, per = Counter(), Counter()
+    slots = mix.slots.collect()
+    for s in slots:
+        per[s["src"]] += 1
+        for k in range(s["block"] * 16, s["block"] * 16 + 16):
+            if k in streams[s["src"]]:
+                taken[streams[s["src"]][k]] += 1
+    got = Counter()
+    for r in mix.taken().collect():
+        got[r["doc_id"], r["text_key"]] += r["taken"]
+    want = Counter()
+    for (doc, text, _), n in taken.items():
+        want[doc, text] += n
+    assert {k: n for k, n in got.items() if n} == want
+    for src, n in per.items():  # turn after turn through all blocks, in the permuted order
+        blocks, key = int(mix.sources["blocks"][src]), [r["key"] for r in mix.table.collect() if r["src"] == src][0]
+        k = np.arange(n)
+        order = m.permute(k % blocks, np.full(n, blocks), np.full(n, key))
+        assert Counter(zip((k // blocks).tolist(), order.tolist())) == Counter((s["turn"], s["block"]) for s in slots if s["src"] == src)
+
+
+def test_slots_are_made_in_many_tasks(make_docs, monkeypatch):
+    monkeypatch.setattr(m, "SLOTS_PER_TASK", 50)
+    monkeypatch.setattr(m, "SHARD_GROUP", 2)
+    mix = m.Mix(make_docs(docs_rows()), block=16, shard_slots=100)
+    rows = mix.slots.withColumn("task", m.F.spark_partition_id()).groupBy("task").count().collect()
+    total = sum(r["count"] for r in rows)
+    assert len(rows) >= 20 and max(r["count"] for r in rows) < total / 4
+    shards = Counter(r["shard"] for r in mix.slots.collect())
+    assert sorted(shards) == list(range(len(shards))) and all(shards[k] == 100 for k in list(sorted(shards))[:-1])
