@@ -1,16 +1,20 @@
 """Sharding by histogram sort: exact splitters found by counting, then one exchange.
 
 Every row gets a 64-bit sort key: the upper 40 bits hash its text, the lower 24
-its id and row, so equal texts are neighbours while no group of equal texts (or of
-repeated rows) is a single key. The boundaries of the shards are found by rounds of counting:
+its id, so equal texts are neighbours while no group of equal texts is a single key.
+Exact repeats of a row (id and text) are numbered and hash their number too. Nothing
+depends on how the input is partitioned, so copies are placed alike in every run.
+The boundaries of the shards are found by rounds of counting:
 every round sums, over all partitions, the exact bytes and rows in the intervals
 between probe keys, and puts new probes into each interval that still holds a
 wanted boundary, until the bytes below every splitter are within its tolerance of
-the wanted sum or its interval holds one row. Only then rows move, once.
+the wanted sum or its interval holds one row. Only then rows move, once. The driver
+holds the boundaries of the shards and their probes, nothing that grows with the rows.
 
-Each shard is cut into sub-ranges of about :data:`RANGE_BYTES` by splitters of
-the same search, so a task sorts one sub-range; a row's slot is its number there
-plus the exact count of rows before.
+A shard is cut into ranges of about :data:`RANGE_BYTES`, the unit that a task sorts,
+by equal steps of the text hash; a range that holds more, as one text with very many
+copies makes it, is cut again by equal steps of the id hash. One count per range
+gives the rows before it; a row's slot is that and its number in the range.
 
 Defined cases: a null text has size :data:`ROW_BYTES` and the crc32 of no bytes;
 null ids sort by the hash of null; repeated rows are all kept, each with a slot of
@@ -23,22 +27,23 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import materialize
+from .common import bounded, materialize
 
 SHARDS = 24
-#: Largest distance of a shard's boundary from its even place, as a share of a
-#: shard; sub-ranges need only be near their size.
-TOLERANCE, RANGE_TOLERANCE = 0.002, 0.1
+#: Largest distance of a shard's boundary from its even place, as a share of a shard.
+TOLERANCE = 0.002
 #: Probes put into each interval that holds a boundary, per round.
 PROBES = 15
-#: Bytes of a sub-range, the unit that one task sorts.
-RANGE_BYTES = 32 << 20
+#: Bytes of a range, the unit that one task sorts, and how many times that it may hold before it is cut again.
+RANGE_BYTES, RANGE_SLACK = 32 << 20, 2
+#: Most ranges to be cut again that are broadcast (about 32 bytes each); above, rows are shuffled to them.
+BROADCAST_RANGES = 200_000
 ROW_BYTES = 8
-ROW_BITS = (1 << 24) - 1
+ROW_BITS = 24
 
 
 def histogram(keys: DataFrame, probes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -98,6 +103,42 @@ def splitters(keys: DataFrame, wanted: list[float], slack: list[float]) -> tuple
     return np.array([p[0] for p in found], dtype=np.int64), np.array([p[2] for p in found], dtype=np.int64), rounds
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, text_bits, at, part, ...) with ``again``: 0, or the number of a row among exact repeats.
+
+    Repeats are rare; where there are any, each input partition numbers its own and
+    one row per partition and repeated row gives the numbers before.
+    """
+    same = ["doc_id", "text_bits"]
+    repeated = rows.groupBy(*same).agg(F.count("*").alias("times")).where("times > 1").select(*same)
+    repeated = materialize(repeated, "shard-repeats")
+    if repeated.isEmpty():
+        return rows.withColumn("again", F.lit(0).cast("long"))
+    on = rows["doc_id"].eqNullSafe(repeated["doc_id"]) & (rows["text_bits"] == repeated["text_bits"])
+    own = rows.join(repeated, on, "left_semi")
+    parts = own.groupBy(*same, "part").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy(*same).orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    parts = parts.select(F.col("doc_id").alias("p_id"), F.col("text_bits").alias("p_bits"), F.col("part").alias("p_part"), F.coalesce(before, F.lit(0)).alias("before"))
+    own = own.withColumn("number", F.row_number().over(Window.partitionBy(*same, "part").orderBy("at")))
+    at = own["doc_id"].eqNullSafe(parts["p_id"]) & (own["text_bits"] == parts["p_bits"]) & (own["part"] == parts["p_part"])
+    own = own.join(parts, at).withColumn("again", F.col("before") + F.col("number") - 1).select(*rows.columns, "again")
+    return rows.join(repeated, on, "left_anti").withColumn("again", F.lit(0).cast("long")).unionByName(own)
+
+
+def sort_keys(docs: DataFrame, row: Column) -> DataFrame:
+    """(row, _size, _key, tie) of every document; ``tie`` orders rows of equal keys."""
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + ROW_BYTES
+    rows = docs.select(
+        row.alias("row"), size.alias("size"), "doc_id", F.xxhash64("text").alias("text_bits"),
+        F.monotonically_increasing_id().alias("at"), F.spark_partition_id().alias("part"),
+    )
+    rows = _numbered(materialize(rows, "shard-rows"))
+    low = (1 << ROW_BITS) - 1
+    id_bits = F.xxhash64("doc_id", "again").bitwiseAND(F.lit(low).cast("long"))
+    key = F.col("text_bits").bitwiseAND(F.lit(~low).cast("long")).bitwiseOR(id_bits)
+    return rows.select("row", F.col("size").alias("_size"), key.alias("_key"), F.xxhash64(F.lit(1), "doc_id", "again").alias("tie"))
+
+
 def shard(
     docs: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE, columns: Sequence[str] | None = None
 ) -> DataFrame:
@@ -107,27 +148,29 @@ def shard(
     of ``docs`` named shard, slot or size are replaced.
     """
     own = [c for c in columns or docs.columns if c not in ("shard", "slot", "size")]
-    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + ROW_BYTES
-    text_bits, row_bits = F.xxhash64("text"), F.xxhash64("doc_id", F.monotonically_increasing_id())
-    key = text_bits.bitwiseAND(F.lit(~ROW_BITS).cast("long")).bitwiseOR(row_bits.bitwiseAND(F.lit(ROW_BITS).cast("long")))
-    keyed = materialize(docs.select(*own, size.alias("_size"), key.alias("_key")), "shard-keys")
-    total, n_rows = keyed.agg(F.coalesce(F.sum("_size"), F.lit(0)), F.count("*")).first()
-
-    per = max(1, -(-total // (shards * RANGE_BYTES)))
-    wanted = [total * i / (shards * per) for i in range(1, shards * per)]
-    slack = [(tolerance if i % per == 0 else RANGE_TOLERANCE / per) * total / shards for i in range(1, shards * per)]
-    keys, below, _ = splitters(keyed, wanted, slack)
-    offsets = np.concatenate([[0], np.minimum(below.astype(np.float64), n_rows).astype(np.int64)])
-    base = np.repeat(offsets[::per], per) if len(offsets) > 1 else np.zeros(1, np.int64)
+    keyed = sort_keys(docs, F.struct(*[F.col(f"`{c}`") for c in own]))  # a struct, so no column clashes with the helpers
+    total = keyed.agg(F.coalesce(F.sum("_size"), F.lit(0))).first()[0]
+    wanted = [total * i / shards for i in range(1, shards)]
+    keys, _, _ = splitters(keyed, wanted, [tolerance * total / shards] * len(wanted))
 
     @pandas_udf("int")
-    def range_of(key: pd.Series) -> pd.Series:
+    def shard_of(key: pd.Series) -> pd.Series:
         return pd.Series(np.searchsorted(keys, key.to_numpy(), side="right").astype(np.int32))
 
-    starts = F.array(*[F.lit(int(x)) for x in offsets - base]).cast("array<long>")
-    order = Window.partitionBy("_range").orderBy("_key")
-    placed = keyed.withColumn("_range", range_of("_key")).withColumn("_row", F.row_number().over(order))
-    return placed.select(
-        *own, F.col("_size").alias("size"), F.floor(F.col("_range") / per).cast("int").alias("shard"),
-        (F.col("_row") - 1 + F.element_at(starts, F.col("_range") + 1)).cast("long").alias("slot"),
-    )
+    # equal steps of the upper bits (as a number from 0), in all shards together
+    ranges = max(1, min(1 << 22, -(-total // RANGE_BYTES)))
+    upper = F.shiftright("_key", ROW_BITS) + F.lit(1 << (63 - ROW_BITS))
+    step = F.shiftright(upper * F.lit(ranges), 64 - ROW_BITS)
+    placed = keyed.select("row", "_size", "_key", "tie", shard_of("_key").alias("shard"), step.alias("step"))
+    sizes = placed.groupBy("shard", "step").agg(F.sum("_size").alias("bytes"))
+    full = sizes.where(F.col("bytes") > RANGE_SLACK * RANGE_BYTES).select("shard", "step", F.ceil(F.col("bytes") / RANGE_BYTES).alias("cuts"))
+    placed = placed.join(bounded(materialize(full, "shard-ranges"), BROADCAST_RANGES), ["shard", "step"], "left")
+    low = F.col("_key").bitwiseAND(F.lit((1 << ROW_BITS) - 1).cast("long"))
+    placed = placed.withColumn("cut", F.shiftright(low * F.coalesce("cuts", F.lit(1)), ROW_BITS)).drop("cuts")
+
+    span = ["shard", "step", "cut"]
+    counts = placed.groupBy(*span).agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("shard").orderBy("step", "cut").rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.select(*span, F.coalesce(before, F.lit(0)).alias("before"))
+    numbered = placed.withColumn("number", F.row_number().over(Window.partitionBy(*span).orderBy("_key", "tie")))
+    return numbered.join(counts, span).select("row.*", F.col("_size").alias("size"), "shard", (F.col("before") + F.col("number") - 1).cast("long").alias("slot"))

@@ -45,6 +45,28 @@ def test_shards_are_even_and_gapless(make_docs, monkeypatch, small_ranges):
     assert out.columns == [c for c in plain.columns if c not in ("shard", "slot", "size")] + ["size", "shard", "slot"]
 
 
+def test_places_do_not_depend_on_partitioning(make_docs, monkeypatch):
+    """Copies, repeated rows and distinct texts get the same shard and slot from 3, 5 and 8 input partitions."""
+    monkeypatch.setattr(hs, "RANGE_BYTES", 2000)
+    rows = [(i, f"text {i} " * (i % 7 + 1)) for i in range(400)] + [(i, "copy of one text " * 3) for i in range(400, 900)]
+    rows += [(5000, "repeated row")] * 300 + [(None, "repeated without id")] * 20 + [(None, None), (7, None)]
+    docs = make_docs(rows)
+    placed = [sorted((str(r["doc_id"]), str(r["text"]), r["shard"], r["slot"]) for r in hs.shard(docs.repartition(n)).collect()) for n in (3, 5, 8)]
+    assert placed[0] == placed[1] == placed[2] and len(placed[0]) == len(rows)
+
+
+def test_many_ranges_cost_the_driver_nothing(make_docs, monkeypatch):
+    """Thousands of ranges: the driver still probes for the shards' boundaries only."""
+    monkeypatch.setattr(hs, "RANGE_BYTES", 40)
+    probed = []
+    real = hs.histogram
+    monkeypatch.setattr(hs, "histogram", lambda keys, probes: probed.append(len(probes)) or real(keys, probes))
+    rows = [(i, f"some text {i} " * 3) for i in range(3000)] + [(i, "one text of many copies") for i in range(3000, 4000)]
+    out = hs.shard(make_docs(rows))
+    check(out.collect(), len(rows))
+    assert max(probed) <= 23 * (hs.PROBES + 2)
+
+
 def test_cases(make_docs):
     assert hs.shard(make_docs([])).count() == 0
     rows = hs.shard(make_docs([(1, None)])).collect()
