@@ -115,11 +115,18 @@ def _page(record_id: Column) -> Column:
 
 
 def records(spark: SparkSession, archive: Archive) -> DataFrame:
-    """Whole records as they stand in a WARC file: address, record (header, payload of responses, end)."""
+    """Whole records as they stand in a WARC file: address, record (header, payload of responses, end).
+
+    Only responses carry a payload, so only they meet the payload table; a response
+    whose payload is not stored is an error.
+    """
     payloads, headers = _tables(spark, archive)
     response = field(F.col("header"), "WARC-Type") == "response"
-    body = F.when(response, F.col("payload")).otherwise(F.lit(b""))
-    return headers.join(payloads, "address").select("address", F.concat("header", body, F.lit(b"\r\n\r\n")).alias("record"))
+    end = F.lit(b"\r\n\r\n")
+    absent = F.raise_error(F.concat(F.lit("no payload is stored for "), headers["address"])).cast("binary")
+    whole = headers.where(response).join(payloads, "address", "left")
+    whole = whole.select("address", F.concat("header", F.coalesce("payload", absent), end).alias("record"))
+    return whole.unionAll(headers.where(~response).select("address", F.concat("header", end).alias("record")))
 
 
 def read_pages(spark: SparkSession, archive: Archive) -> DataFrame:
@@ -132,25 +139,47 @@ def read_pages(spark: SparkSession, archive: Archive) -> DataFrame:
     )
 
 
+def parse(whole: DataFrame) -> DataFrame:
+    """Rebuilt records taken apart: address, header, body, payload_bytes, payload_digest (of the body).
+
+    The header ends at the first empty line; the body is what follows, without the
+    record's end. A body whose length is not the header's Content-Length, or a
+    response whose digest is not the header's, is an error.
+    """
+    text = F.col("record").cast("string")
+    at = F.instr(text, "\r\n\r\n")
+    cut = whole.select("address", F.substring(text, F.lit(1), at + 1).alias("header"), F.substring(text, at + 4, F.length(text) - at - 7).alias("body"))
+    cut = cut.select("*", F.octet_length("body").cast("long").alias("payload_bytes"), F.sha1(F.col("body").cast("binary")).alias("payload_digest"))
+    h = F.col("header")
+    named = field(h, "WARC-Payload-Digest") == F.concat(F.lit("sha1:"), F.col("payload_digest"))
+    sound = (field(h, "Content-Length") == F.col("payload_bytes").cast("string")) & (named | (field(h, "WARC-Type") == "revisit"))
+    checked = F.when(sound, h).otherwise(F.raise_error(F.concat(F.lit("header and payload disagree in record "), field(h, "WARC-Record-ID"))).cast("string"))
+    return cut.withColumn("header", checked)
+
+
 def index(spark: SparkSession, archive: Archive) -> DataFrame:
-    """Per record: page_id, payload_bytes, payload_digest, record_type, refers_to, header_agrees.
+    """Per record, read back from the rebuilt records: page_id, payload_bytes, payload_digest, record_type, refers_to.
 
-    Size and digest are taken from the stored bytes; ``header_agrees`` tells
-    whether the record's own header says the same.
+    A revisit takes size and digest from the response it refers to, found by the
+    address (of payloads large enough to be revisited there is one response each);
+    a digest other than the one in the revisit's header is an error.
     """
-    payloads, headers = _tables(spark, archive)
-    facts = payloads.select(
-        "address", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("payload_digest")
-    )
     h = F.col("header")
-    parsed = headers.select(
-        "address", _page(field(h, "WARC-Record-ID")).alias("page_id"), field(h, "WARC-Type").alias("record_type"),
-        _page(field(h, "WARC-Refers-To")).alias("refers_to"), field(h, "WARC-Payload-Digest").alias("named"),
-    )
-    return parsed.join(facts, "address").select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
-        (F.col("named") == F.concat(F.lit("sha1:"), F.col("payload_digest"))).alias("header_agrees"),
+    parsed = parse(records(spark, archive)).select(
+        "address", _page(field(h, "WARC-Record-ID")).alias("page_id"), "payload_bytes", "payload_digest",
+        field(h, "WARC-Type").alias("record_type"), field(h, "WARC-Refers-To").alias("refers"), field(h, "WARC-Record-ID").alias("record_id"),
+        field(h, "WARC-Payload-Digest").alias("named"),
     )
+    parsed = materialize(parsed, "warc-index")  # facts only: the payloads stay behind
+    responses = parsed.where("record_type = 'response'")
+    firsts = responses.where(F.col("payload_bytes") >= REVISIT_BYTES).select(
+        "address", F.col("record_id").alias("refers"), F.col("payload_bytes").alias("bytes"), F.col("payload_digest").alias("sha1"), F.col("page_id").alias("first")
+    )
+    again = parsed.where("record_type = 'revisit'").join(firsts, ["address", "refers"], "left")
+    agrees = F.coalesce(F.col("named") == F.concat(F.lit("sha1:"), F.col("sha1")), F.lit(False))
+    wrong = F.raise_error(F.concat(F.lit("revisit disagrees with what it refers to: "), F.col("record_id"))).cast("string")
+    again = again.select("page_id", F.col("bytes").alias("payload_bytes"), F.when(agrees, F.col("sha1")).otherwise(wrong).alias("payload_digest"), "record_type", F.col("first").alias("refers_to"))
+    return responses.select("page_id", "payload_bytes", "payload_digest", "record_type", F.lit(None).cast("long").alias("refers_to")).unionByName(again)
 
 
 #: DuckDB has sha1() over UTF-8 text; page ids are distinct in the given tables.
