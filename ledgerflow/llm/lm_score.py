@@ -43,7 +43,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, materialize, one_label, text_words
+from .common import bounded, frames, materialize, one_label, text_words
 
 MU = 20.0
 FREQUENT = 50_000
@@ -61,8 +61,6 @@ WIDTH = 1 << 13
 GOOD, LAST, OFTEN = np.uint16(1 << 15), np.uint16(1 << 14), np.uint16(1 << 13)
 #: Largest number of target ids that is broadcast; above, documents are shuffled to them.
 BROADCAST_IDS = 1_000_000
-#: A vocabulary of at most so many words is known whole on the driver.
-VOCABULARY = 100_000
 
 U = np.uint64
 START = U(0x5EED)
@@ -71,19 +69,6 @@ WORD, PAIR, TYPES = 1, 2, 3
 COUNTS = ("n", "target", "context", "context_target")
 
 
-def _slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The same rows in frames of about SLICE, whatever the size of Arrow's batches."""
-    held: list[pd.DataFrame] = []
-    for batch in batches:
-        for at in range(0, len(batch), SLICE):
-            held.append(batch.iloc[at : at + SLICE])
-            if sum(map(len, held)) >= SLICE:
-                yield pd.concat(held, ignore_index=True)
-                held = []
-    if held:
-        yield pd.concat(held, ignore_index=True)
-
-
 def tokens(texts: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(previous word, word, document) of every token; words as 64-bit hashes, texts start with START."""
     prev, own, doc = [], [], []
@@ -111,7 +96,7 @@ def ends(doc: np.ndarray) -> np.ndarray:
 
 def _find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Counts of a slice (all, target; as words, as contexts): all words, bigrams that may be frequent, all tokens (kind 0)."""
-    for batch in _slices(batches):
+    for batch in frames(batches, SLICE):
         prev, own, doc = tokens(batch["text"])
         good, inner = batch["target"].to_numpy(dtype=bool)[doc], ~ends(doc)
         total = [len(own), int(good.sum()), int((~inner).sum()), int((~inner & good).sum())]
@@ -130,7 +115,7 @@ def _count(pairs: np.ndarray):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found = np.zeros((2, len(pairs)), np.int64)
-        for batch in _slices(batches):
+        for batch in frames(batches, SLICE):
             prev, own, doc = tokens(batch["text"])
             at, known = locate(pairs, pair(prev, own))
             for k, mask in enumerate((known, known & batch["target"].to_numpy(dtype=bool)[doc])):
@@ -189,7 +174,7 @@ def _deal(known: Known, buckets: int):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         task, k = TaskContext.get().partitionId(), 0
-        for batch in _slices(batches):
+        for batch in frames(batches, SLICE):
             prev, own, doc = tokens(batch["text"])
             keys, size = pair(prev, own), len(batch)
             is_good = batch["target"].to_numpy(dtype=bool)
@@ -327,7 +312,7 @@ def score(docs: DataFrame, target: DataFrame) -> DataFrame:
     least = max(total / FREQUENT, BUCKET / BUCKET_PART)
     names = pairs.where(F.col("n") >= least - total / (SEARCH_PART * FREQUENT)).select("key").toPandas()
     names = np.sort(names["key"].to_numpy(dtype=np.int64).view(np.uint64))
-    often = words if types <= VOCABULARY else words.where(F.col("n") * FREQUENT >= total)
+    often = words.where(F.col("n") * FREQUENT >= total)
     rows = [often.union(found.where("kind = 0")).toPandas(), pd.DataFrame([[TYPES, 0, types, 0, 0, 0]], columns=found.columns)]
     if len(names):
         counted = marked.mapInPandas(_count(names), "key long, n long, target long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("target").alias("target"))

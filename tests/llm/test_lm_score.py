@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 
 from ledgerflow.llm import lm_score as lm
+from ledgerflow.llm.common import frames
 
 
 def one_hash(word):
@@ -61,7 +62,9 @@ def test_scores_equal_brute_force(spark, make_docs, monkeypatch, small):
     ids = spark.createDataFrame([(i,) for i in [*target, 999, None]], "doc_id long")
     got = lm.score(make_docs(rows, extra=True), ids).collect()
     assert (len(seen["known"].pairs) > 0) == small
-    want = brute(rows, target, seen["known"])
+    model = Exact(rows, target, lm.FREQUENT)
+    assert set(seen["known"].words.tolist()) == set(model.words.tolist())
+    want = brute(rows, target, model)
     key = lambda r: (str(r[0]), r[1])
     got = sorted(((r["doc_id"], r["n_tokens"], r["target_loss"], r["background_loss"], r["score"]) for r in got), key=key)
     assert [g[:2] for g in got] == [w[:2] for w in sorted(want, key=key)]
@@ -135,11 +138,9 @@ class Exact:
         return np.array([[(n[w] + 0.5) / (n.total() + 0.5 * self.types) for w in low.tolist()] for n in self.n])
 
 
-@pytest.mark.parametrize("vocabulary", [0, 1000])
-def test_rare_words_have_their_own_counts(spark, make_docs, monkeypatch, vocabulary):
+def test_rare_words_have_their_own_counts(spark, make_docs, monkeypatch):
     for name, value in (("FREQUENT", 40), ("BUCKET", 150), ("SLICE", 7)):
         monkeypatch.setattr(lm, name, value)
-    monkeypatch.setattr(lm, "VOCABULARY", vocabulary, raising=False)
     rng = random.Random(10)
     rows = [(i, " ".join(["the", *(f"w{int(rng.expovariate(0.05))}" for _ in range(20))] * (1 + i % 2))) for i in range(40)]
     rows += [(100 + i, " ".join(f"x{k}" for k in rng.sample(range(60), 12)) + (" onlygood" if i % 2 else " onlybad")) for i in range(30)]
@@ -153,3 +154,27 @@ def test_rare_words_have_their_own_counts(spark, make_docs, monkeypatch, vocabul
     for r in got:
         n, t, b = want[r["doc_id"]]
         assert r["n_tokens"] == n and r["target_loss"] == pytest.approx(t, abs=2e-5) and r["background_loss"] == pytest.approx(b, abs=2e-5)
+
+
+def test_frames_are_bounded_by_rows_and_characters():
+    """2,000 long texts never meet in one frame; every row comes out once and in order."""
+    texts = ["x" * n for n in [70_000] * 300 + [0, 5, 900_000, 3, 200_000] + [40] * 5000] + [None, ""]
+    batches = [pd.DataFrame({"text": texts[a : a + 333]}) for a in range(0, len(texts), 333)]
+    out = list(frames(iter(batches), 2_000, 250_000))
+    assert [t for f in out for t in f["text"]] == texts
+    sizes = [f["text"].map(lambda t: len(t or "")).sum() for f in out]
+    assert all(len(f) <= 2_000 for f in out) and all(n <= 250_000 or len(f) == 1 for f, n in zip(out, sizes, strict=True))
+    assert max(len(f) for f in out) == 2_000  # short texts still fill a frame
+
+
+def test_a_task_of_long_texts_stays_small():
+    """Counting a slice of 27 MB takes memory for one frame at a time."""
+    import tracemalloc
+
+    texts = ["some words of a long text " * 2_700] * 400
+    batches = (pd.DataFrame({"text": texts[a : a + 50], "target": False}) for a in range(0, len(texts), 50))
+    tracemalloc.start()
+    n = sum(int(f[f["kind"] == 0]["n"].sum()) for f in lm._find(batches))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 400 * 2_700 * 6 and peak < 400e6
