@@ -12,6 +12,12 @@ match, with partial sums over all labelled rows of a class; terms mostly found i
 toxic documents stay, weighted by their log odds. Phrases of a term and a neighbouring word that occur mostly in
 harmless documents become exceptions, which cancel the hits inside them.
 
+Terms and exceptions are tables. Up to :data:`LEXICON_PART` of each, tasks get them
+whole; a larger table is cut by hash into parts of about that many, and one part's
+automaton after another goes over the texts; a word's heaviest term, and whether
+an exception covers it, are then taken over all parts. The result is the same, and
+neither the driver nor a task ever holds more than a part.
+
 A text's hits are the words matched by some term (the heaviest one counts) outside
 exceptions. Their weights, per thousand words and as a bounded sum, go through a
 logistic curve fitted on at most :data:`FIT_ROWS` labelled rows.
@@ -36,6 +42,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
 from .common import bounded, materialize, one_label
 
@@ -50,6 +58,8 @@ FIT_ROWS = 20_000
 #: Most labels that are broadcast (about 16 bytes each); above, documents are shuffled to them.
 BROADCAST_LABELS = 1_000_000
 MAX_WEIGHT = 6.0
+#: Terms (or exceptions) that the driver collects and a task holds at a time, some 200 bytes each.
+LEXICON_PART = 250_000
 #: Terms that a task counts before it passes the counts on.
 HELD = 400_000
 
@@ -217,6 +227,12 @@ class Matcher:
                     del found[at]
         return found
 
+    def excepted(self, words: list[str], at: int) -> bool:
+        """Whether an exception phrase covers the word that starts at ``at`` in the joined text."""
+        if not len(self.exceptions):
+            return False
+        return any(end - back <= at < end for end, back in self.exceptions.iter(f" {' '.join(words)} "))
+
 
 def full_hits(words: list[str], full: list[Reading], hits: dict[int, float], matcher: Matcher) -> dict[tuple[int, int], tuple[float, str]]:
     """Of words without a plain hit, the matched full reading with the heaviest term: (first, end) to weight and reading."""
@@ -258,15 +274,151 @@ def evidence(words: list[str], matcher: Matcher, full: list[Reading] = ()) -> tu
     return len(hits) + len(more), float(np.log1p(1000.0 * total / max(20, len(words)))), min(1.0, total / (3 * MAX_WEIGHT))
 
 
+def parts_of(table: DataFrame, n: int) -> Iterator[list]:
+    """Rows of ``table`` (with a column term, n rows) in parts of about LEXICON_PART, by hash."""
+    k = max(1, -(-n // LEXICON_PART))
+    for p in range(k):
+        yield table.where(F.pmod(F.xxhash64("term"), F.lit(k)) == p).collect()
+
+
+#: A matched word of a text: words first up to end, "" or the full reading that matched, heaviest weight.
+HIT = "uid long, first int, end int, form string, weight double"
+SPOT = ["uid", "first", "end", "form"]
+
+
+def _matched(words: list[str], full: list[Reading], matcher: Matcher) -> list[tuple[int, int, str, float]]:
+    """All hits of one automaton in a text: plain words and full readings, each with its heaviest term."""
+    out, places = [], {}
+    hits = matcher.hits(words)
+    if hits:
+        places = {at: k for k, at in enumerate(accumulate((len(w) + 1 for w in words[:-1]), initial=0))}
+        out = [(places[at], places[at] + 1, "", weight) for at, weight in hits.items()]
+    for first, end, form in full:
+        before = words[first - 1 : first] if first else []
+        weight = matcher.hits([*before, form, *words[end : end + 1]]).get(sum(len(w) + 1 for w in before))
+        if weight is not None:
+            out.append((first, end, form, weight))
+    return out
+
+
+def match_parts(texts: DataFrame, terms: DataFrame, n: int) -> DataFrame:
+    """Hits of ``texts`` (uid, text) over all parts of ``terms`` (term, weight), before exceptions."""
+    found = None
+    for rows in parts_of(terms, n):
+        own = {r["term"]: r["weight"] for r in rows}
+
+        def run(batches: Iterator[pd.DataFrame], own=own) -> Iterator[pd.DataFrame]:
+            matcher = Matcher(own, set())
+            for batch in batches:
+                out = [(uid, *hit) for uid, text in zip(batch["uid"], batch["text"], strict=True) for hit in _matched(*readings(text), matcher)]
+                if out:
+                    yield pd.DataFrame(out, columns=[*SPOT, "weight"])
+
+        part = materialize(texts.select("uid", "text").mapInPandas(run, HIT), "toxic-hits")  # the part's rows can go
+        found = part if found is None else found.unionByName(part)
+    return found.groupBy(*SPOT).agg(F.max("weight").alias("weight"))
+
+
+def _with_hits(texts: DataFrame, hits: DataFrame) -> DataFrame:
+    """Texts that have hits, with these as an array."""
+    own = hits.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("first", "end", "form", "weight"))).alias("hits"))
+    return texts.join(own, "uid")
+
+
+def _resolved(hits: list) -> dict[tuple[int, int], tuple[float, str]]:
+    """Hits that count: plain words, and of readings without one the heaviest (of equal weight the last in order)."""
+    plain = {h["first"]: (h["weight"], "") for h in hits if not h["form"]}
+    out = {(k, k + 1): v for k, v in plain.items()}
+    more: dict[tuple[int, int], tuple[float, str]] = {}
+    for h in hits:
+        spot = h["first"], h["end"]
+        if h["form"] and not any(k in plain for k in range(*spot)):
+            more[spot] = max(more.get(spot, (0.0, "")), (h["weight"], h["form"]))
+    return out | more
+
+
+def cancel_parts(texts: DataFrame, hits: DataFrame, exceptions: DataFrame, n: int) -> DataFrame:
+    """``hits`` without those that an exception phrase (term) covers, over all parts of ``exceptions``."""
+    held = materialize(_with_hits(texts.select("uid", "text"), hits), "toxic-held")
+    gone = None
+    for rows in parts_of(exceptions, n):
+        own = {r["term"] for r in rows}
+
+        def run(batches: Iterator[pd.DataFrame], own=own) -> Iterator[pd.DataFrame]:
+            matcher = Matcher({}, own)
+            for batch in batches:
+                out = []
+                for uid, text, hits in zip(batch["uid"], batch["text"], batch["hits"], strict=True):
+                    words = fold(text)
+                    for h in hits:
+                        spot = [h["form"]] if h["form"] else words[h["first"] : h["end"]]
+                        before = words[h["first"] - 1 : h["first"]] if h["first"] else []
+                        if matcher.excepted([*before, *spot, *words[h["end"] : h["end"] + 1]], sum(len(w) + 1 for w in before)):
+                            out.append((uid, h["first"], h["end"], h["form"]))
+                if out:
+                    yield pd.DataFrame(out, columns=SPOT)
+
+        part = materialize(held.mapInPandas(run, "uid long, first int, end int, form string"), "toxic-cancelled")
+        gone = part if gone is None else gone.unionByName(part)
+    return hits.join(gone.distinct(), SPOT, "left_anti")
+
+
+def phrase_counts(texts: DataFrame, hits: DataFrame) -> DataFrame:
+    """Phrases of a hit and a neighbouring word: term, and toxic and other texts that hold it."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            seen: tuple[Counter, Counter] = (Counter(), Counter())
+            for text, label, hits in zip(batch["text"], batch["label"], batch["hits"], strict=True):
+                words, found = fold(text), set()
+                for (first, end), (_, form) in _resolved(hits).items():
+                    spot = form or words[first]
+                    found.update(f" {w} {spot} " for w in words[max(0, first - 1) : first])
+                    found.update(f" {spot} {w} " for w in words[end : end + 1])
+                seen[1 if label else 0].update(found)
+            names = list(seen[0].keys() | seen[1].keys())
+            if names:
+                yield pd.DataFrame({"term": names, "toxic": [seen[1][t] for t in names], "other": [seen[0][t] for t in names]})
+
+    return _with_hits(texts, hits).mapInPandas(run, "term string, toxic long, other long")
+
+
+def evidence_parts(texts: DataFrame, hits: DataFrame) -> DataFrame:
+    """(uid, n_hits, a, b) of texts (uid, n_words) with hits: what :func:`evidence` gives."""
+
+    @pandas_udf(StructType([StructField("n", IntegerType()), StructField("total", DoubleType())]))
+    def summed(hits: pd.Series) -> pd.DataFrame:
+        found = [_resolved(h) for h in hits]
+        return pd.DataFrame({"n": [len(f) for f in found], "total": [float(sum(w for w, _ in f.values())) for f in found]})
+
+    own = _with_hits(texts, hits).select("uid", "n_words", summed("hits").alias("s"))
+    share = F.log1p(F.lit(1000.0) * F.col("s.total") / F.greatest(F.lit(20), F.col("n_words")))
+    return own.select("uid", F.col("s.n").alias("n_hits"), share.alias("a"), F.least(F.lit(1.0), F.col("s.total") / (3 * MAX_WEIGHT)).alias("b"))
+
+
+def _counted_words(texts: DataFrame) -> DataFrame:
+    """``texts`` kept on shared storage with a number (uid) and their folded words' count."""
+
+    @pandas_udf(LongType())
+    def n_words(text: pd.Series) -> pd.Series:
+        return pd.Series([len(fold(t)) for t in text], dtype="int64")
+
+    return materialize(texts.select("*", F.monotonically_increasing_id().alias("uid"), n_words("text").alias("n_words")), "toxic-texts")
+
+
 class Model:
-    """Fitted lexicon, exceptions and logistic curve."""
+    """Fitted lexicon, exceptions and logistic curve; tables beyond LEXICON_PART rows stay tables."""
 
-    def __init__(self, terms: dict[str, float], exceptions: set[str], curve: np.ndarray | None) -> None:
-        self.terms, self.exceptions, self.curve = terms, exceptions, curve
+    def __init__(
+        self, terms: dict[str, float], exceptions: set[str], curve: np.ndarray | None, tables: tuple[DataFrame, int, DataFrame, int] | None = None
+    ) -> None:
+        self.terms, self.exceptions, self.curve, self.tables = terms, exceptions, curve, tables
 
     def score(self, docs: DataFrame) -> DataFrame:
         """(doc_id, n_words, n_hits, score) of every row."""
         terms, exceptions, curve = self.terms, self.exceptions, self.curve
+        if self.tables is not None:
+            return self._score_by_parts(docs)
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             matcher = Matcher(terms, exceptions)
@@ -281,6 +433,17 @@ class Model:
 
         return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, n_words long, n_hits long, score double")
 
+    def _score_by_parts(self, docs: DataFrame) -> DataFrame:
+        terms, n_terms, exceptions, n_exceptions = self.tables
+        texts = _counted_words(docs.select("doc_id", "text"))
+        hits = cancel_parts(texts, match_parts(texts, terms, n_terms), exceptions, n_exceptions)
+        own = evidence_parts(texts.select("uid", "n_words"), hits)
+        rows = texts.select("uid", "doc_id", "n_words").join(own, "uid", "left")
+        c = [0.0, 0.0, 0.0] if self.curve is None else [float(x) for x in self.curve]
+        z = F.lit(c[0]) + F.coalesce("a", F.lit(0.0)) * c[1] + F.coalesce("b", F.lit(0.0)) * c[2]
+        score = F.lit(0.0) if self.curve is None else 1 / (1 + F.exp(-z))
+        return rows.select("doc_id", "n_words", F.coalesce("n_hits", F.lit(0)).cast("long").alias("n_hits"), score.alias("score"))
+
 
 def fit_curve(x: np.ndarray, y: np.ndarray) -> np.ndarray | None:
     """Penalised logistic regression of labels on the evidence (Newton steps)."""
@@ -295,6 +458,34 @@ def fit_curve(x: np.ndarray, y: np.ndarray) -> np.ndarray | None:
     return w
 
 
+def _exceptions(counts: DataFrame, n_toxic: int, n_other: int) -> DataFrame:
+    """Phrases (term) that occur in enough harmless texts and mostly there."""
+    toxic, other = F.col("toxic") / n_toxic, F.col("other") / n_other
+    return counts.where((F.col("other") >= MIN_HARMLESS) & (other >= EXCEPTION_SHARE * (toxic + other))).select("term")
+
+
+def _fit_by_parts(known: DataFrame, lexicon: DataFrame, n_terms: int, n_toxic: int, n_other: int) -> Model:
+    """The same model with terms and exceptions kept as tables; ``known`` has doc_id, text, label."""
+    odds = F.log((F.col("toxic") + 0.5) / (n_toxic + 1)) - F.log((F.col("other") + 0.5) / (n_other + 1))
+    weight = F.least(F.lit(MAX_WEIGHT), F.greatest(F.lit(0.0), odds))
+    terms = materialize(lexicon.select("term", weight.alias("weight")), "lexicon")
+    texts = _counted_words(known)
+    hits = materialize(match_parts(texts, terms, n_terms), "toxic-hits")
+    counts = phrase_counts(texts, hits).groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
+    exceptions = materialize(_exceptions(counts, n_toxic, n_other), "exceptions")
+    n_exceptions = exceptions.count()
+    own = evidence_parts(texts.select("uid", "n_words"), cancel_parts(texts, hits, exceptions, n_exceptions))
+    xy = texts.select("uid", "doc_id", "label").join(own, "uid", "left")
+    xy = xy.select("doc_id", F.coalesce("a", F.lit(0.0)).alias("a"), F.coalesce("b", F.lit(0.0)).alias("b"), "label")
+    return Model({}, set(), _curve(xy), (terms, n_terms, exceptions, n_exceptions))
+
+
+def _curve(xy: DataFrame) -> np.ndarray | None:
+    """The logistic curve, fitted on at most FIT_ROWS measured rows (doc_id, a, b, label)."""
+    xy = xy.orderBy(F.xxhash64("doc_id"), "doc_id", "a").limit(FIT_ROWS).toPandas()
+    return fit_curve(xy[["a", "b"]].to_numpy(), (xy["label"] > 0).to_numpy().astype(float))
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Learn from the labelled documents given (doc_id, text; doc_id, toxic)."""
     marked = bounded(one_label(labels, "toxic"), BROADCAST_LABELS)
@@ -314,8 +505,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     )
     precise = toxic / n_toxic >= MIN_PRECISION * (toxic / n_toxic + other / n_other)
     good = counts.where(F.col("docs") >= MIN_DOCS).where(precise & (ratio >= MIN_RATIO))
-    rows = uncovered(materialize(good.select("term", "toxic", "other"), "terms")).collect()
-    terms = choose_terms([(r["term"], r["toxic"], r["other"]) for r in rows], n_toxic, n_other)
+    lexicon = materialize(uncovered(materialize(good.select("term", "toxic", "other"), "terms")), "lexicon")
+    n_terms = lexicon.count()
+    if n_terms > LEXICON_PART:
+        return _fit_by_parts(known, lexicon, n_terms, n_toxic, n_other)
+    terms = choose_terms([(r["term"], r["toxic"], r["other"]) for r in lexicon.collect()], n_toxic, n_other)
 
     def phrases(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         matcher = Matcher(terms, set())
@@ -331,8 +525,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     found = pairs.mapInPandas(phrases, "term string, toxic long, other long").groupBy("term").agg(
         F.sum("toxic").alias("toxic"), F.sum("other").alias("other")
     )
-    found = found.where((F.col("other") >= MIN_HARMLESS) & (F.col("other") / n_other >= EXCEPTION_SHARE * (F.col("toxic") / n_toxic + F.col("other") / n_other)))
-    exceptions = {r["term"] for r in found.select("term").collect()}
+    found = materialize(_exceptions(found, n_toxic, n_other), "exceptions")
+    n_exceptions = found.count()
+    if n_exceptions > LEXICON_PART:
+        return _fit_by_parts(known, lexicon, n_terms, n_toxic, n_other)
+    exceptions = {r["term"] for r in found.collect()}
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         matcher = Matcher(terms, exceptions)
@@ -341,6 +538,4 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "a": [e[1] for e in found], "b": [e[2] for e in found], "label": batch["label"]})
 
     # all labelled texts are measured where they lie; the sample is taken of the small rows
-    xy = known.mapInPandas(measure, "doc_id long, a double, b double, label int")
-    xy = xy.orderBy(F.xxhash64("doc_id"), "doc_id", "a").limit(FIT_ROWS).toPandas()
-    return Model(terms, exceptions, fit_curve(xy[["a", "b"]].to_numpy(), (xy["label"] > 0).to_numpy().astype(float)))
+    return Model(terms, exceptions, _curve(known.mapInPandas(measure, "doc_id long, a double, b double, label int")))

@@ -205,3 +205,61 @@ def test_full_readings_undo_every_substitute():
     assert tx.fold("mp3 h4t3 hello!") == ["mp3", "hat3", "heiio"]  # the plain words are as before
     assert tx.readings("a" * 200_000 + "!" + "1" * 200_000 + "b7")[1]
     assert tx.phrases_of(*(lambda words, full: (words, matcher, full))(*tx.readings("an 1d10t box"))) == {" an idiot ", " idiot box "}
+
+
+def disguised_rows(n, seed):
+    rng = random.Random(seed)
+    swap = str.maketrans("eaoi", "3401")
+    # a term of toxic texts that a few harmless ones hold too, always before the same word
+    rows = [(i, t if x or i % 9 == 0 else t.replace("trashy cinema", "plain cinema"), x) for i, t, x in toxic_rows(n, seed)]
+    return [(i, t if rng.random() < 0.5 else " ".join(w.translate(swap) if rng.random() < 0.2 else w for w in t.split()), x) for i, t, x in rows]
+
+
+@pytest.mark.parametrize("part", [1, 2])
+def test_lexicon_by_parts_equals_the_whole(make_docs, make_labels, monkeypatch, part):
+    """With the bound near 0 every term and exception goes through parts, with the same scores."""
+    rows = disguised_rows(300, 21)
+    labels = make_labels([(i, 1, t) for i, _, t in rows if i % 4])
+    docs = make_docs([r[:2] for r in rows] + EDGE + [(7000, "gr1mlet4 and a 5CUMBAG, trashy cinema tr4shy c1nema"), (7000, "scumbag"), (None, "scumbag")], extra=True)
+    key = lambda r: (str(r["doc_id"]), r["n_words"], r["n_hits"], round(r["score"], 9))
+    plain = tx.fit(docs, labels)
+    want = sorted(map(key, plain.score(docs).collect()))
+    assert plain.tables is None and plain.exceptions and any(r[2] for r in want)
+    monkeypatch.setattr(tx, "LEXICON_PART", part)
+    model = tx.fit(docs, labels)
+    assert model.tables is not None and model.tables[1] == len(plain.terms) > part and model.tables[3] == len(plain.exceptions)
+    assert sorted(map(key, model.score(docs).collect())) == want
+
+
+def test_hits_equal_a_substring_scan():
+    rng = random.Random(22)
+    for _ in range(300):
+        words = ["".join(rng.choice("ab") for _ in range(rng.randint(1, 7))) for _ in range(rng.randint(1, 12))]
+        terms = {}
+        for _ in range(rng.randint(0, 6)):
+            w = rng.choice(words) if rng.random() < 0.7 else "abab"
+            terms[rng.choice([f" {w} ", f" {w[: rng.randint(1, len(w))]}"])] = rng.randint(1, 5) / 2
+        exceptions = {f" {rng.choice(words)} {rng.choice(words)} " for _ in range(rng.randint(0, 2))}
+        joined, want, at = f" {' '.join(words)} ", {}, 0
+        for w in words:  # every term at every word, by comparison
+            heavy = [weight for t, weight in terms.items() if joined.startswith(t, at)]
+            over = any(joined.startswith(e, k) and k <= at < k + len(e) - 1 for e in exceptions for k in range(len(joined)))
+            if heavy and not over:
+                want[at] = max(heavy)
+            at += len(w) + 1
+        assert tx.Matcher(terms, exceptions).hits(words) == want
+
+
+def test_term_counts_equal_brute_force(spark):
+    texts = [("Scumbag scumbags scum", 1), ("scumbag", 1), ("scumbags go", 0), ("", 1), (None, 0), ("SCUMBAG sсumbag", 0)]
+    df = spark.createDataFrame(texts, "text string, label int")
+    found = df.repartition(3).mapInPandas(tx._count, "term string, toxic long, other long, docs long").groupBy("term").sum("toxic", "other", "docs").collect()
+    want = {}
+    for text, label in texts:
+        words = set(tx.fold(text))
+        for term in {f" {w} " for w in words} | {f" {w[:n]}" for w in words for n in tx.STEMS if len(w) > n}:
+            n = sum(f" {w} ".startswith(term) and (term.endswith(" ") or len(w) > len(term) - 1) for w in words)
+            c = want.setdefault(term, [0, 0, 0])
+            c[0 if label else 1] += n
+            c[2] += bool(label)
+    assert {r[0]: list(r)[1:] for r in found} == want
