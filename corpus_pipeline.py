@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerflow.llm import decontaminate, histogram_sort, mix, ngram_join, quality_rules
-from ledgerflow.llm.common import prepare, read, scratch_path
+from ledgerflow.llm.common import prepare, read, release, scratch_path, written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,11 +53,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``; each result is written as Parquet and reread."""
+    """Apply the stages to ``documents``; each result is written as Parquet and reread.
+
+    A stage's intermediate tables go when its result is written; those of the last
+    stage stay until the caller has written the rows and calls ``common.release``.
+    """
     prepare(spark)
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        path = scratch_path(spark, f"pipeline-{name}")
+        path, mark = scratch_path(spark, f"pipeline-{name}"), written()
         stage(spark, docs, sf_dir).write.parquet(path)
+        release(spark, mark)
         docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
