@@ -2,8 +2,10 @@
 
 Every row gets a 64-bit sort key: the upper 40 bits hash its text, the lower 24
 its id, so equal texts are neighbours while no group of equal texts is a single key.
-Exact repeats of a row (id and text) are numbered and hash their number too. Nothing
-depends on how the input is partitioned, so copies are placed alike in every run.
+Exact repeats of a row (id and text) share a key; where a group of them is large
+enough to matter for the shards' sizes, its rows are numbered and hash their number
+too. Nothing depends on how the input is partitioned, so copies are placed alike in
+every run.
 The boundaries of the shards are found by rounds of counting:
 every round sums, over all partitions, the exact bytes and rows in the intervals
 between probe keys, and puts new probes into each interval that still holds a
@@ -103,40 +105,47 @@ def splitters(keys: DataFrame, wanted: list[float], slack: list[float]) -> tuple
     return np.array([p[0] for p in found], dtype=np.int64), np.array([p[2] for p in found], dtype=np.int64), rounds
 
 
-def _numbered(rows: DataFrame) -> DataFrame:
-    """``rows`` (doc_id, text_bits, at, part, ...) with ``again``: 0, or the number of a row among exact repeats.
+def _numbered(rows: DataFrame, large: DataFrame) -> DataFrame:
+    """``rows`` with ``again``: 0, or the number of a row among the exact repeats in ``large`` (doc_id, text_bits).
 
-    Repeats are rare; where there are any, each input partition numbers its own and
-    one row per partition and repeated row gives the numbers before.
+    Each input partition numbers its own rows of a group, and one row per partition
+    and group gives the numbers before.
     """
     same = ["doc_id", "text_bits"]
-    repeated = rows.groupBy(*same).agg(F.count("*").alias("times")).where("times > 1").select(*same)
-    repeated = materialize(repeated, "shard-repeats")
-    if repeated.isEmpty():
-        return rows.withColumn("again", F.lit(0).cast("long"))
-    on = rows["doc_id"].eqNullSafe(repeated["doc_id"]) & (rows["text_bits"] == repeated["text_bits"])
-    own = rows.join(repeated, on, "left_semi")
+    on = rows["doc_id"].eqNullSafe(large["doc_id"]) & (rows["text_bits"] == large["text_bits"])
+    own = rows.join(F.broadcast(large), on, "left_semi")
     parts = own.groupBy(*same, "part").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy(*same).orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     parts = parts.select(F.col("doc_id").alias("p_id"), F.col("text_bits").alias("p_bits"), F.col("part").alias("p_part"), F.coalesce(before, F.lit(0)).alias("before"))
     own = own.withColumn("number", F.row_number().over(Window.partitionBy(*same, "part").orderBy("at")))
     at = own["doc_id"].eqNullSafe(parts["p_id"]) & (own["text_bits"] == parts["p_bits"]) & (own["part"] == parts["p_part"])
     own = own.join(parts, at).withColumn("again", F.col("before") + F.col("number") - 1).select(*rows.columns, "again")
-    return rows.join(repeated, on, "left_anti").withColumn("again", F.lit(0).cast("long")).unionByName(own)
+    rest = rows.join(F.broadcast(large), on, "left_anti").withColumn("again", F.lit(0).cast("long"))
+    return materialize(rest.unionByName(own), "shard-numbered")
 
 
-def sort_keys(docs: DataFrame, row: Column) -> DataFrame:
-    """(row, _size, _key, tie) of every document; ``tie`` orders rows of equal keys."""
+def sort_keys(docs: DataFrame, row: Column, share: float) -> tuple[DataFrame, int]:
+    """(row, _size, _key, tie) of every document and the sum of sizes; ``tie`` orders rows of equal keys.
+
+    Groups of exact repeats that hold more than ``share`` of all bytes are numbered:
+    at most 1 / share of them, so their list is broadcast.
+    """
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + ROW_BYTES
     rows = docs.select(
         row.alias("row"), size.alias("size"), "doc_id", F.xxhash64("text").alias("text_bits"),
         F.monotonically_increasing_id().alias("at"), F.spark_partition_id().alias("part"),
     )
-    rows = _numbered(materialize(rows, "shard-rows"))
+    rows = materialize(rows, "shard-rows")
+    total = rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    groups = rows.groupBy("doc_id", "text_bits").agg(F.count("*").alias("times"), F.sum("size").alias("bytes"))
+    large = materialize(groups.where((F.col("times") > 1) & (F.col("bytes") > share * total)).select("doc_id", "text_bits"), "shard-repeats")
+    rows = rows.withColumn("again", F.lit(0).cast("long")) if large.isEmpty() else _numbered(rows, large)
     low = (1 << ROW_BITS) - 1
     id_bits = F.xxhash64("doc_id", "again").bitwiseAND(F.lit(low).cast("long"))
     key = F.col("text_bits").bitwiseAND(F.lit(~low).cast("long")).bitwiseOR(id_bits)
-    return rows.select("row", F.col("size").alias("_size"), key.alias("_key"), F.xxhash64(F.lit(1), "doc_id", "again").alias("tie"))
+    # rows of one id and text differ, if at all, in other columns (maps have no hash)
+    others = [F.col("row").getField(f.name) for f in rows.schema["row"].dataType.fields if "map<" not in f.dataType.simpleString()]
+    return rows.select("row", F.col("size").alias("_size"), key.alias("_key"), F.xxhash64("doc_id", "again", *others).alias("tie")), total
 
 
 def shard(
@@ -148,8 +157,8 @@ def shard(
     of ``docs`` named shard, slot or size are replaced.
     """
     own = [c for c in columns or docs.columns if c not in ("shard", "slot", "size")]
-    keyed = sort_keys(docs, F.struct(*[F.col(f"`{c}`") for c in own]))  # a struct, so no column clashes with the helpers
-    total = keyed.agg(F.coalesce(F.sum("_size"), F.lit(0))).first()[0]
+    row = F.struct(*[F.col(f"`{c}`") for c in own])  # a struct, so no column clashes with the helpers
+    keyed, total = sort_keys(docs, row, tolerance / shards / 4)
     wanted = [total * i / shards for i in range(1, shards)]
     keys, _, _ = splitters(keyed, wanted, [tolerance * total / shards] * len(wanted))
 
