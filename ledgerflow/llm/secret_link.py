@@ -26,6 +26,8 @@ columns are not read.
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -54,6 +56,10 @@ PATTERNS = {
 }
 KINDS = list(PATTERNS)
 STRONG = KINDS[:3]
+#: A text without any of these (in lower case) has no match of the kind.
+KEYWORDS = {
+    "assign": ("password", "passwd", "secret", "token", "api"), "access": ("akia",), "login": ("user", "login", "account", "client"),
+}
 #: Blank lines part the scopes.
 BLANK = r"\n[\x20\t\r]*\n"
 #: Characters between the starts of an anchor and a part that belongs to it.
@@ -94,21 +100,26 @@ class Scan:
     """
 
     def __init__(self, docs: DataFrame) -> None:
-        text = F.coalesce("text", F.lit(""))
-        has = {k: text.rlike(PATTERNS[k]) for k in KINDS}
-        account = has["login"] & has["endpoint"]
-        wanted = {k: has[k] for k in STRONG}
-        wanted |= {"secret": has["access"] & has["secret"], "pass": account & has["pass"], "login": account, "endpoint": account}
-        wanted["blank"] = account | wanted["secret"]
+        text, folded = F.coalesce("text", F.lit("")), F.lower(F.coalesce("text", F.lit("")))
+        # plain substrings first: only texts that hold a keyword are searched by pattern
+        may = {k: reduce(or_, (F.contains(folded, F.lit(w)) for w in words)) for k, words in KEYWORDS.items()}
+        plain = docs.select("doc_id", text.alias("text"), *(c.alias(f"may_{k}") for k, c in may.items()))
+        has = {k: F.col("text").rlike(p) for k, p in PATTERNS.items()}
+        account = F.col("may_login") & has["login"] & has["endpoint"]
+        marked = plain.select("*", account.alias("account"), (F.col("may_access") & has["access"]).alias("access"))
+        wanted = {"assign": F.col("may_assign"), "access": F.col("access"), "hex": has["hex"]}
+        wanted |= {"secret": F.col("access"), **dict.fromkeys(("pass", "login", "endpoint"), F.col("account"))}
+        wanted["blank"] = F.col("access") | F.col("account")
         columns = []
         for kind, on in wanted.items():
-            for name, c in zip(("gap", "size", "good"), _hits(text, kind), strict=True):
+            for name, c in zip(("gap", "size", "good"), _hits(F.col("text"), kind), strict=True):
                 columns.append(F.when(on, c).alias(f"{kind}_{name}"))
-        wide = docs.select("doc_id", F.length(text).alias("n_chars"), *columns)
+        wide = marked.select("doc_id", F.length("text").alias("n_chars"), *columns)
         hits = [_listed(i, kind) for i, kind in enumerate(wanted)]
         rows = wide.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "n_chars", F.flatten(F.array_compact(F.array(*hits))).alias("hits"))
+        rows = rows.withColumn("hits", F.filter("hits", lambda h: h["size"].isNotNull()))
         self.rows = materialize(rows, "secret-rows")
-        each = self.rows.where(F.size("hits") > 0).select("uid", F.inline("hits")).where("size IS NOT NULL")
+        each = self.rows.where(F.size("hits") > 0).select("uid", F.inline("hits"))
         before = F.sum(F.col("gap") + F.col("size")).over(Window.partitionBy("uid", "kind").orderBy("at").rowsBetween(Window.unboundedPreceding, 0))
         spans = each.select("uid", "kind", "good", before.cast("long").alias("end"), "size").where("good")
         self.spans = materialize(spans.select("uid", "kind", (F.col("end") - F.col("size")).alias("start"), "end"), "secret-spans")
@@ -116,10 +127,12 @@ class Scan:
     def scoped(self) -> DataFrame:
         """Parts of credentials with the start of the scope they lie in: uid, kind, start, end, scope."""
         blanks = self.spans.where(F.col("kind") == len(KINDS)).select("uid", "start", "end")
-        sized = self.rows.where(F.exists("hits", lambda h: h["kind"] == len(KINDS))).select("uid", "n_chars")
+        # only texts with a weak part can hold a credential to be linked
+        weak = F.exists("hits", lambda h: (h["kind"] >= len(STRONG)) & (h["kind"] < len(KINDS)))
+        sized = self.rows.where(weak).select("uid", "n_chars")
         blanks = blanks.unionAll(sized.select("uid", F.lit(-1).cast("long"), F.lit(0).cast("long")))
         until = F.lead("start").over(Window.partitionBy("uid").orderBy("start"))
-        scopes = blanks.select("uid", F.col("end").alias("scope"), until.alias("until")).join(sized, "uid")
+        scopes = blanks.select("uid", F.col("end").alias("scope"), until.alias("until")).join(sized, "uid")  # texts without a weak part drop out
         until = F.coalesce("until", F.col("n_chars") + 1)
         last = F.floor(until / REACH)
         scopes = scopes.select("uid", "scope", until.alias("until"), F.explode(F.sequence(F.floor(F.col("scope") / REACH), last)).alias("bucket"))
@@ -200,9 +213,9 @@ def _oracle() -> str:
     return f"""
 WITH d AS (SELECT row_number() OVER () AS uid, doc_id, coalesce(text, '') AS text FROM documents),
 hits AS ({kinds}),
-each AS (SELECT uid, kind, unnest(range(1, len(found) + 1)) AS at, unnest(found) AS m, unnest(vals) AS val, unnest(gaps[:len(found)]) AS gap FROM hits),
+each AS (SELECT uid, kind, unnest(range(1, len(found) + 1)) AS pos, unnest(found) AS m, unnest(vals) AS val, unnest(gaps[:len(found)]) AS gap FROM hits),
 spans AS (
-  SELECT uid, kind, m, val, sum(gap + length(m)) OVER (PARTITION BY uid, kind ORDER BY at) AS stop, stop - length(m) AS start FROM each),
+  SELECT uid, kind, m, val, sum(gap + length(m)) OVER (PARTITION BY uid, kind ORDER BY pos) AS stop, stop - length(m) AS start FROM each),
 good AS (
   SELECT uid, kind, start::BIGINT AS start, stop::BIGINT AS stop FROM spans
   WHERE CASE kind WHEN 0 THEN length(val) >= {ASSIGN_VALUE}
